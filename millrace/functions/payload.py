@@ -14,6 +14,7 @@ from pyspark.sql import Column, functions as F
 
 RECORD_TYPE = "map<string,string>"
 DEFINITION_TYPE = "array<struct<path:array<string>,default:string>>"
+LAYOUT_TYPE = "struct<parents:array<array<string>>,cells:array<struct<parent:int,key:string,default:string>>>"
 
 Definitions = Sequence[tuple[Sequence[str], str | None]]
 Decoder = Callable[[Column], Column]
@@ -67,38 +68,98 @@ def lookup(record: Column, path: Sequence[str], default: str | None) -> Column:
         return fallback
     for segment in path[:-1]:
         record = parse_record(record[segment])
-    return F.when(F.map_contains_key(record, path[-1]), record[path[-1]]).otherwise(fallback)
+    return _pick(record, F.lit(path[-1]), fallback)
 
 
-def _step(found: Column, key: Column) -> Column:
-    # array(..) + transform binds the parsed level once for both uses
-    level = F.transform(
-        F.array(parse_record(found["text"])),
-        lambda m: F.struct(
-            m[key].alias("text"),
-            F.coalesce(F.map_contains_key(m, key), F.lit(False)).alias("present"),
+def _pick(level: Column, key: Column, default: Column) -> Column:
+    return F.when(F.map_contains_key(level, key), level[key]).otherwise(default)
+
+
+def _bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def definition_layout(definitions: Column) -> Column:
+    """Definitions as ``struct<parents,cells>``: every nested object they reach into, once, and
+    for every cell the number of its object (0 is the record), its key and its default.
+
+    Meant to be computed where the definitions are kept, one row per topic.
+    """
+    parents = F.array_distinct(
+        F.transform(
+            F.filter(definitions, lambda d: F.size(d["path"]) > 1),
+            lambda d: F.slice(d["path"], F.lit(1), F.size(d["path"]) - 1),
+        )
+    )
+    return _bind(
+        parents,
+        lambda p: F.struct(
+            p.alias("parents"),
+            F.transform(
+                definitions,
+                lambda d: F.struct(
+                    F.when(F.size(d["path"]) < 2, 0)
+                    .otherwise(F.array_position(p, F.slice(d["path"], F.lit(1), F.size(d["path"]) - 1)))
+                    .cast("int")
+                    .alias("parent"),
+                    F.get(d["path"], F.size(d["path"]) - 1).alias("key"),
+                    d["default"].alias("default"),
+                ),
+            ).alias("cells"),
         ),
     )
-    return F.get(level, F.lit(0))
 
 
-def lookup_column(record: Column, path: Column, default: Column) -> Column:
-    """As :func:`lookup` for a path that is itself data."""
-    first = F.get(path, F.lit(0))
-    top = F.struct(
-        record[first].alias("text"),
-        F.coalesce(F.map_contains_key(record, first), F.lit(False)).alias("present"),
+def _nested(record: Column, path: Column) -> Column:
+    """The object at a path that is data."""
+    rest = F.slice(path, F.lit(2), F.size(path) - 1)
+    first = parse_record(record[F.get(path, F.lit(0))])
+    return F.aggregate(rest, first, lambda level, key: parse_record(level[key]))
+
+
+def laid_out_array(record: Column, layout: Column) -> Column:
+    """Pick values by a :func:`definition_layout`; every nested object is parsed once."""
+    levels = F.concat(F.array(record), F.transform(layout["parents"], lambda p: _nested(record, p)))
+    return _bind(
+        levels,
+        lambda level: F.transform(
+            layout["cells"], lambda c: _pick(F.get(level, c["parent"]), c["key"], c["default"])
+        ),
+    )
+
+
+def _fixed_array(record: Column, definitions: Definitions) -> Column:
+    parents = list(dict.fromkeys(tuple(path[:-1]) for path, _ in definitions if len(path) > 1))
+    if not parents:
+        return F.array(*[lookup(record, path, default) for path, default in definitions])
+
+    def nested(path: Sequence[str]) -> Column:
+        level = record
+        for segment in path:
+            level = parse_record(level[segment])
+        return level
+
+    def cell(levels: Column, path: Sequence[str], default: str | None) -> Column:
+        if len(path) < 2:
+            return lookup(record, path, default)
+        level = F.get(levels, F.lit(parents.index(tuple(path[:-1]))))
+        return _pick(level, F.lit(path[-1]), F.lit(default).cast("string"))
+
+    return _bind(
+        F.array(*[nested(p) for p in parents]),
+        lambda levels: F.array(*[cell(levels, path, default) for path, default in definitions]),
     )
-    rest = F.slice(path, F.lit(2), F.greatest(F.size(path) - 1, F.lit(0)))
-    found = F.aggregate(rest, top, _step)
-    return F.when((F.size(path) > 0) & found["present"], found["text"]).otherwise(default)
 
 
 def json_to_array(record: Column, definitions: Column | Definitions) -> Column:
-    """Pick values by definition, in order; a present JSON null stays NULL."""
-    if isinstance(definitions, Column):
-        return F.transform(definitions, lambda d: lookup_column(record, d["path"], d["default"]))
-    return F.array(*[lookup(record, path, default) for path, default in definitions])
+    """Pick values by definition, in order; a present JSON null stays NULL.
+
+    Definitions are a list known now, or a column with their :func:`definition_layout`.
+    """
+    if not isinstance(definitions, Column):
+        return _fixed_array(record, definitions)
+    return laid_out_array(record, definitions)
 
 
 def _quoted(cell: Column, separator: str) -> Column:

@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# Bytes of printable ASCII (0x20 to 0x7E) and of ASCII digits, in hex text.
-PRINTABLE_HEX = "^(?:[2-6][0-9A-F]|7[0-9A-E])+$"
-DIGITS_HEX = "^(?:3[0-9])+$"
+# Fixed value: printable ASCII (space to tilde) that is not digits alone.
+PLAIN_TEXT = r"^(?![0-9]+\z)[ -~]+\z"
 
 
 def long_bytes(n: Column) -> Column:
@@ -23,24 +22,21 @@ def text_bytes(s: Column) -> Column:
 
 def long_value(value: Column) -> Column:
     """8 bytes as signed long, 4 bytes as signed int; NULL, empty and other lengths read 0."""
-    number = F.conv(F.hex(value), 16, -10).cast("bigint")
-    length = F.octet_length(value)
-    return (
-        F.when(length == 8, number)
-        .when(length == 4, F.when(number >= 2**31, number - 2**32).otherwise(number))
-        .otherwise(F.lit(0).cast("bigint"))
-    )
+    digits = F.hex(value)
+    # four bytes take the sign of their first digit along
+    full = F.when(digits >= "8", F.lpad(digits, 16, "F")).otherwise(F.lpad(digits, 16, "0"))
+    wide = F.octet_length(value).isin(4, 8)
+    number = F.conv(F.when(F.octet_length(value) == 8, digits).otherwise(full), 16, -10)
+    return F.when(wide, number.cast("bigint")).otherwise(F.lit(0).cast("bigint"))
 
 
 def text_value(value: Column) -> Column:
     """Best guess as text: 4 or 8 bytes that are digits or not printable are a number."""
-    as_hex = F.hex(value)
-    length = F.octet_length(value)
-    numeric = as_hex.rlike(DIGITS_HEX) | ~as_hex.rlike(PRINTABLE_HEX)
+    text = value.cast("string")
     return (
-        F.when(value.isNull() | (length == 0), "")
-        .when(length.isin(4, 8) & numeric, long_value(value).cast("string"))
-        .otherwise(value.cast("string"))
+        F.when(value.isNull() | (F.octet_length(value) == 0), "")
+        .when(F.octet_length(value).isin(4, 8) & ~text.rlike(PLAIN_TEXT), long_value(value).cast("string"))
+        .otherwise(text)
     )
 
 

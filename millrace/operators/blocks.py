@@ -81,6 +81,20 @@ def running_totals(
     return summed.where("_body = 1").drop("_body")
 
 
+def running_from(
+    rows: DataFrame, keys: Sequence[str], seq: Sequence[str], measures: Mapping[str, Column]
+) -> DataFrame:
+    """As :func:`running_totals` for rows that were joined to their block's totals and carry
+    ``_block`` and ``<name>_before``. The window is partitioned as that join is."""
+    earlier = Window.partitionBy(*keys, "_block").orderBy(*seq).rowsBetween(Window.unboundedPreceding, -1)
+    sums = [
+        (F.col(f"{n}_before") + F.coalesce(F.sum(m).over(earlier), F.lit(0))).cast("bigint").alias(n)
+        for n, m in measures.items()
+    ]
+    carried = {"_block", *[f"{n}_before" for n in measures]}
+    return rows.select(*[c for c in rows.columns if c not in carried], *sums)
+
+
 def number_rows(rows: DataFrame, order: Sequence[str], name: str = "rownum") -> DataFrame:
     """Number all rows from 1 in an order that may have no dense key.
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from millrace.functions.ids import file_range_id, split_dsid, parse_file_range
 from millrace.functions.timekeys import floor_div
-from millrace.operators.blocks import block_totals, running_totals
+from millrace.operators.blocks import block_totals, running_from, running_totals
 from millrace.operators.joins import lookup_join
 from millrace.operators.ledger import DONE, RUN
 
@@ -65,42 +65,40 @@ def files_to_read(progress: DataFrame, ranges: DataFrame, wanted: Callable[[Colu
 # --- lines and positions -----------------------------------------------------------------
 
 
+def _measures() -> dict[str, Column]:
+    return {"start": F.col("bytes"), "line_no": F.lit(1)}
+
+
 def line_totals(lines: DataFrame) -> DataFrame:
     """Bytes and lines of every block of a file, and those before it.
 
     Where the file size is known, a file that is three bytes longer than its lines has a byte
     mark at its head, which moves all its lines.
     """
-    measures = {"start": F.col("bytes"), "line_no": F.lit(1)}
     if "file_size" not in lines.columns:
-        return block_totals(lines, ["file"], F.col("block"), measures)
+        return block_totals(lines, ["file"], F.col("block"), _measures())
     size = F.max("file_size").alias("_size")
-    totals = block_totals(lines, ["file"], F.col("block"), measures, [size])
+    totals = block_totals(lines, ["file"], F.col("block"), _measures(), [size])
     counted = F.sum("start").over(Window.partitionBy("file"))
     mark = F.when(F.col("_size") - counted >= BYTE_MARK - 1, BYTE_MARK).otherwise(0)
     return totals.withColumn("start_before", F.col("start_before") + mark)
 
 
-def line_offsets(lines: DataFrame, totals: DataFrame | None = None) -> DataFrame:
+def _with_end(placed: DataFrame) -> DataFrame:
+    end = F.col("start") + F.col("bytes")
+    if "file_size" in placed.columns:
+        end = F.least(end, F.col("file_size"))  # the last line may lack its newline
+    return placed.withColumn("end", end)
+
+
+def line_offsets(lines: DataFrame) -> DataFrame:
     """Add ``start``, ``end`` and ``line_no`` (from 0) to lines ``(file, block, seq, bytes, ...)``.
 
     ``block`` is the start of the part of the file a line was read from; parts are summed first
     and each line is placed inside its part, so no task sees more than one part.
     """
-    if totals is None:
-        totals = line_totals(lines)
-    placed = running_totals(
-        lines,
-        ["file"],
-        ["seq"],
-        F.col("block"),
-        {"start": F.col("bytes"), "line_no": F.lit(1)},
-        totals,
-    )
-    end = F.col("start") + F.col("bytes")
-    if "file_size" in lines.columns:
-        end = F.least(end, F.col("file_size"))  # the last line may lack its newline
-    return placed.withColumn("end", end)
+    totals = line_totals(lines)
+    return _with_end(running_totals(lines, ["file"], ["seq"], F.col("block"), _measures(), totals))
 
 
 def read_new_lines(lines: DataFrame, positions: DataFrame) -> DataFrame:
@@ -108,17 +106,18 @@ def read_new_lines(lines: DataFrame, positions: DataFrame) -> DataFrame:
 
     Parts of a file that lie wholly before the position are dropped before any line moves.
     """
-    totals = line_totals(lines)
     known = positions.select("file", "sent_size")
-    pending = (
-        totals.join(known, "file", "left")
+    open_parts = (
+        line_totals(lines)
+        .join(known, "file", "left")
         .withColumn("sent_size", F.coalesce("sent_size", F.lit(0)))
-        .where(F.col("start_before") + F.col("start") > F.col("sent_size"))
+        .where("start_before + start > sent_size")
+        .select("file", "_block", "sent_size", "start_before", "line_no_before")
     )
     # file and part are unique together, so this join has no heavy key
-    open_parts = pending.select("file", F.col("_block").alias("block"), "sent_size")
-    unread = lines.join(open_parts, ["file", "block"])
-    return line_offsets(unread, pending).where("start >= sent_size").drop("sent_size")
+    unread = lines.withColumn("_block", F.col("block")).join(open_parts, ["file", "_block"])
+    placed = running_from(unread, ["file"], ["seq"], _measures())
+    return _with_end(placed).where("start >= sent_size").drop("sent_size")
 
 
 def batch_lines(placed: DataFrame, size: int, first: Column | None = None) -> DataFrame:

@@ -81,7 +81,7 @@ def value_distribution(
     in one task, whatever its number of values.
     """
     counts = (
-        values.where(F.col(value).isNotNull())
+        values.where(F.col(name).isNotNull() & F.col(value).isNotNull())
         .groupBy(name, F.col(value).cast("bigint").alias("_v"))
         .agg(F.count("*").alias("_n"))
         .withColumn("_block", floor_div(F.col("_v"), block))

@@ -7,11 +7,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.functions.payload import (
-    DEFINITION_TYPE,
     Decoder,
     Encoder,
     decode_failed,
     decode_payload,
+    definition_layout,
     encode_payload,
 )
 from millrace.functions.timekeys import TimeParser, event_time, hour_key
@@ -22,13 +22,15 @@ SPREAD = ("partition", "offset")
 
 
 def with_settings(messages: DataFrame, resolved: DataFrame, spread: Sequence[str] = SPREAD) -> DataFrame:
-    """Messages with the settings of their topic; a topic without any gets the defaults."""
-    joined = lookup_join(messages, resolved, ["topic"], "left", spread)
+    """Messages with the settings of their topic; a topic without any gets the defaults.
+
+    The definitions come along laid out, which is done once per topic.
+    """
+    ready = resolved.withColumn("layout", definition_layout(F.col("definitions"))).drop("definitions")
+    joined = lookup_join(messages, ready, ["topic"], "left", spread)
     for name, value in DEFAULTS.items():
         joined = joined.withColumn(name, F.coalesce(F.col(name), F.lit(value)))
-    return joined.withColumn(
-        "definitions", F.coalesce("definitions", F.array().cast(DEFINITION_TYPE))
-    )
+    return joined
 
 
 def decode_messages(messages: DataFrame, custom: Mapping[str, Decoder] | None = None) -> DataFrame:
@@ -59,10 +61,10 @@ def key_and_encode(
     ts_ms = event_time(F.col("record"), F.col("time_parser"), now_ms, time_path, time_parsers)
     timed = good.withColumn("ts_ms", ts_ms)
     return timed.select(
-        *[c for c in timed.columns if c not in ("record", "failed", "definitions")],
+        *[c for c in timed.columns if c not in ("record", "failed", "layout")],
         hour_key(F.col("topic"), F.col("ts_ms")).alias("key"),
         encode_payload(
-            F.col("value"), F.col("record"), F.col("encoder"), F.col("definitions"), encoders
+            F.col("value"), F.col("record"), F.col("encoder"), F.col("layout"), encoders
         ).alias("line"),
     )
 

@@ -65,7 +65,7 @@ def encode_payload(spark, sf_dir):
     rows = messages(spark, sf_dir)
     with_record = processing.decode_messages(processing.with_settings(rows, settings(rows)))
     kept = processing.drop_null_payload(with_record)
-    line = encode(F.col("value"), F.col("record"), F.col("encoder"), F.col("definitions"))
+    line = encode(F.col("value"), F.col("record"), F.col("encoder"), F.col("layout"))
     known = F.when(F.col("encoder") == "avro", "default").otherwise(F.col("encoder"))
     return kept.select("offset", known.alias("encoder"), line.alias("line"))
 

@@ -14,6 +14,9 @@ SETTINGS = {
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
 }
 
+# On one machine even a small shuffle is worth all cores; a cluster keeps Spark's default.
+LOCAL_SETTINGS = {"spark.sql.adaptive.coalescePartitions.minPartitionSize": "16k"}
+
 
 def local_session(cores: str = "*", **extra: str) -> SparkSession:
     """A single-machine session for tests and the bench; a cluster brings its own."""
@@ -25,7 +28,7 @@ def local_session(cores: str = "*", **extra: str) -> SparkSession:
         .config("spark.driver.host", "localhost")
         .config("spark.sql.shuffle.partitions", "8")
     )
-    for key, value in {**SETTINGS, **extra}.items():
+    for key, value in {**SETTINGS, **LOCAL_SETTINGS, **extra}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -33,7 +36,8 @@ def local_session(cores: str = "*", **extra: str) -> SparkSession:
 
 
 def apply_settings(spark: SparkSession) -> SparkSession:
-    for key, value in SETTINGS.items():
+    local = spark.sparkContext.master.startswith("local")
+    for key, value in {**SETTINGS, **(LOCAL_SETTINGS if local else {})}.items():
         spark.conf.set(key, value)
     return spark
 

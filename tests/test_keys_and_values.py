@@ -1,0 +1,123 @@
+import datetime as dt
+import struct
+
+import pytest
+from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
+
+from millrace.functions import ids, timekeys as t, values as v
+
+
+def one(spark, column):
+    return spark.range(1).select(column.alias("x")).first()["x"]
+
+
+@pytest.mark.parametrize(
+    "name, model, want",
+    [
+        ("web_12_hr_2014010203.gz", 1, ("web", "12", "2014010203")),
+        ("web_2014-01-02-03.gz", 2, ("web", "1", "2014010203")),
+        ("web_2014010203.gz", 2, ("web", "1", "2014010203")),
+        ("web.txt", 1, ("web", "txt", None)),
+    ],
+)
+def test_file_names(spark, name, model, want):
+    assert tuple(one(spark, t.parse_file_name(F.lit(name), model))) == want
+
+
+@pytest.mark.parametrize(
+    "model, want", [(1, "dt=20140102/hr=2014010203"), (2, "year=2014/month=01/day=02/hour=03")]
+)
+def test_directories(spark, model, want):
+    assert one(spark, t.partition_dir(F.lit("2014010203"), model)) == want
+    assert one(spark, t.partition_dir(F.lit("2014010229"), model)) is None
+
+
+def test_remote_path(spark):
+    path = t.remote_path(F.lit("/log/raw"), F.lit("web"), F.lit("dt=1/hr=2"), F.lit("h"), F.lit("f.gz"))
+    assert one(spark, path) == "/log/raw/web/dt=1/hr=2/h-f.gz"
+
+
+def test_hour_key_does_not_depend_on_the_time_zone(spark):
+    moments = [0, 1_710_054_000_000, 1_704_067_199_999, -1, 253_402_300_799_999]
+    df = spark.createDataFrame([(m,) for m in moments], "ms bigint")
+    epoch = dt.datetime(1970, 1, 1)
+    want = ["web_" + (epoch + dt.timedelta(milliseconds=m)).strftime("%Y%m%d%H") for m in moments]
+    try:
+        for zone in ("UTC", "America/New_York", "Asia/Kolkata"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            assert [r[0] for r in df.select(t.hour_key(F.lit("web"), F.col("ms"))).collect()] == want
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_event_time(spark):
+    record = F.from_json(F.lit('{"ts": 17, "x": {"at": 18}, "bad": "soon"}'), "map<string,string>")
+    now = F.lit(99)
+    assert one(spark, t.event_time(record, F.lit("obj"), now)) == 17
+    assert one(spark, t.event_time(record, F.lit("obj"), now, ["x", "at"])) == 18
+    assert one(spark, t.event_time(record, F.lit("obj"), now, ["bad"])) == 99
+    assert one(spark, t.event_time(record, F.lit("obj"), now, ["none"])) == 99
+    assert one(spark, t.event_time(record, F.lit("now"), now)) == 99
+    assert one(spark, t.event_time(record, F.lit("no such"), now)) == 99
+
+
+def test_dsid_round_trip(spark):
+    made = ids.make_dsid(F.lit("ds"), ids.file_range_id(F.lit("n"), F.lit("f"), F.lit(0), F.lit(9)))
+    assert one(spark, made) == "ds\x01n\x01f\x010\x019"
+    assert tuple(one(spark, ids.split_dsid(made))) == ("ds", "n\x01f\x010\x019")
+    assert tuple(one(spark, ids.parse_file_range(ids.split_dsid(made)["id"]))) == ("n", "f", 0, 9)
+    assert tuple(one(spark, ids.split_dsid(F.lit("ds")))) == ("ds", "")
+
+
+@pytest.mark.parametrize("path, want", [("a//b/", "/a/b"), ("/a", "/a"), ("a", "/a"), ("//a", "/a")])
+def test_clean_path(spark, path, want):
+    assert one(spark, ids.clean_path(F.lit(path))) == want
+
+
+NUMBERS = [0, 5, -5, 2**31 - 1, -(2**31), 2**40, -(2**63), 2**63 - 1]
+
+
+@pytest.mark.parametrize("n", NUMBERS)
+def test_longs_are_big_endian(spark, n):
+    raw = v.long_bytes(F.lit(n).cast("bigint"))
+    assert bytes(one(spark, raw)) == struct.pack(">q", n)
+    assert one(spark, v.long_value(raw)) == n
+
+
+@pytest.mark.parametrize("n", [n for n in NUMBERS if -(2**31) <= n < 2**31])
+def test_ints_are_big_endian(spark, n):
+    raw = v.int_bytes(F.lit(n))
+    assert bytes(one(spark, raw)) == struct.pack(">i", n)
+    assert one(spark, v.long_value(raw)) == n
+
+
+def guess(raw: bytes) -> str:
+    """What a reader of untyped values shows."""
+    if len(raw) in (4, 8):
+        text = raw.decode("utf-8", "replace")
+        if text.isdigit() or not all(" " <= c <= "~" for c in text):
+            return str(int.from_bytes(raw, "big", signed=True))
+        return text
+    return raw.decode("utf-8", "replace")
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.one_of(st.binary(min_size=4, max_size=4), st.binary(min_size=8, max_size=8), st.text(max_size=9).map(str.encode), st.from_regex(r"\A[0-9]{4}\Z|\A[ -~]{8}\Z").map(str.encode)), min_size=1, max_size=40))
+def test_text_guess(spark, raws):
+    df = spark.createDataFrame([(i, bytearray(r)) for i, r in enumerate(raws)], "i int, b binary")
+    got = df.select("i", v.text_value(F.col("b")).alias("t")).orderBy("i").collect()
+    assert [r["t"] for r in got] == [guess(r) for r in raws]
+
+
+def test_odd_lengths_and_null(spark):
+    df = spark.createDataFrame([(None,), (bytearray(b""),), (bytearray(b"abc"),)], "b binary")
+    got = df.select(v.long_value(F.col("b")), v.text_value(F.col("b"))).collect()
+    assert [tuple(r) for r in got] == [(0, ""), (0, ""), (0, "abc")]
+
+
+def test_tagged_and_text_bytes(spark):
+    df = spark.createDataFrame([("7", "i"), ("7", "l"), ("7", None), ("hi", None), ("-7", None)], "s string, t string")
+    got = [r[0] for r in df.select(F.hex(v.tagged_bytes(F.col("s"), F.col("t")))).collect()]
+    assert got == ["00000007", "0000000000000007", "0000000000000007", "6869", "2D37"]
+    assert bytes(one(spark, v.text_bytes(F.lit("hi")))) == b"hi"
