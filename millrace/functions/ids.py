@@ -56,3 +56,8 @@ def clean_path(path: Column) -> Column:
 
 def join_path(ns: Column, path: Column) -> Column:
     return clean_path(F.concat_ws("/", ns, path))
+
+
+def plain_path(path: Column) -> Column:
+    """A local path without its scheme, however that was written; other paths as they are."""
+    return F.regexp_replace(path, "^file:/+", "/")

@@ -71,14 +71,18 @@ def idle_rolls(
     )
 
 
-def idle_rolls_stream(lines: DataFrame, keys: Sequence[str], ts: str, idle: str, late: str) -> DataFrame:
+def idle_rolls_stream(
+    lines: DataFrame, keys: Sequence[str], ts: str, late: str, idle_ms: int = IDLE_MS
+) -> DataFrame:
     """The same on a stream: a file is emitted once the watermark has passed its idle time.
 
-    Lines are summed per key and instant-wide session by Spark's own session state.
+    Sessions that touch are one session to Spark, so the gap is one microsecond short of the
+    idle time.
     """
+    gap = f"{idle_ms * 1000 - 1} microseconds"
     return (
         lines.withWatermark(ts, late)
-        .groupBy(*keys, F.session_window(ts, idle))
+        .groupBy(*keys, F.session_window(ts, gap))
         .agg(F.count("*").alias("n"), F.max(ts).alias("last_ts"))
         .select(*keys, F.col("session_window.start").alias("first_ts"), "last_ts", "n")
     )

@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator, Mapping
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from millrace.functions.ids import plain_path
 from millrace.functions.timekeys import (
     DirFormat,
     NameParser,
@@ -61,7 +62,9 @@ def import_lines(
     file, and writing again replaces what was there.
     """
     manifest = import_manifest(units, host, file_model=file_model, name_of=name_of)
-    found = lookup_join(lines, manifest.select("id", "name", "type", "date_hour"), ["id"], "inner", ["value"])
+    named = manifest.select(plain_path(F.col("id")).alias("id"), "name", "type", "date_hour")
+    read = lines.select(plain_path(F.col("id")).alias("id"), "value")
+    found = lookup_join(read, named, ["id"], "inner", ["value"])
     placed = found.select(
         "value",
         "type",
@@ -96,8 +99,8 @@ def import_files(
 
 def missing_units(spark: SparkSession, landed: str, units: DataFrame) -> DataFrame:
     """Units whose file is not there (any more)."""
-    there = list_files(spark, landed).select(F.col("path").alias("id"))
-    return units.join(there, "id", "left_anti")
+    there = list_files(spark, landed).select(plain_path(F.col("path")).alias("_path"))
+    return units.join(there, plain_path(F.col("id")) == F.col("_path"), "left_anti")
 
 
 def delete_files(paths: DataFrame, path: str = "path") -> DataFrame:

@@ -28,7 +28,10 @@ def read_placed_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def list_files(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
-    """``(path, size, mtime)`` of the files in a directory; their content is not read."""
+    """``(path, size, mtime)`` of the files in a directory; their content is not read.
+
+    Spark's reader passes over empty files, which have no lines to send either.
+    """
     reader = spark.read.format("binaryFile")
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)

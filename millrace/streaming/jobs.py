@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
+from millrace.functions.ids import plain_path
 from millrace.operators.files import batch_lines, range_units, read_new_lines, sent_size
 from millrace.operators.ledger import RUN, LedgerTable, deserialized, of_source
 from millrace.operators.processing import process_messages
@@ -131,9 +132,10 @@ def upload_stream(
 
     def upload(batch: DataFrame, batch_id: int) -> None:
         name = f"done-{batch_id}"
-        here = batch.select("id").distinct()
+        here = batch.select(plain_path(F.col("id")).alias("_path")).distinct()
         running = of_source(ledger.state(name), ds).where(F.col("status") == RUN)
-        units = deserialized(running).select("ds", F.col("ids").alias("id")).join(here, "id", "left_semi")
+        waiting = deserialized(running).select("ds", F.col("ids").alias("id"))
+        units = waiting.join(here, plain_path(F.col("id")) == F.col("_path"), "left_semi")
         import_lines(batch, units, f"{out}/batch={batch_id}", host, file_model, name_of=name_of)
         ledger.mark_done(units, F.current_timestamp() if at is None else at, name)
 
