@@ -173,8 +173,8 @@ class LedgerTable:
     """Events in a shared folder: ``<path>/v=<version>/batch=<name>``.
 
     A batch is written under its own name and replaced when it is written again, so a retried
-    job leaves the ledger as one run would. ``expire`` writes the live state as the next
-    version and is for one owner at a time; readers take the newest finished version.
+    job leaves the ledger as one run would. ``compact`` and ``expire`` write the state as the
+    next version and are for one owner at a time; readers take the newest finished version.
     """
 
     SCHEMA = "dsid string, status string, ts timestamp, at timestamp"
@@ -214,7 +214,13 @@ class LedgerTable:
     def mark_done(self, units: DataFrame, at: Column, batch: str) -> None:
         self.append(mark_done(self.state(batch), units, at), batch)
 
+    def _next_version(self, state: DataFrame) -> None:
+        live = state.select(*STATE, F.col("ts").alias("at"))
+        live.write.mode("overwrite").parquet(f"{self.path}/v={self._version() + 1}/batch=base")
+
+    def compact(self) -> None:
+        """Start a version that holds the state in place of its events."""
+        self._next_version(self.state())
+
     def expire(self, cutoff: Column) -> None:
-        version = self._version()
-        live = expire(self.state(), cutoff).select(*STATE, F.col("ts").alias("at"))
-        live.write.mode("overwrite").parquet(f"{self.path}/v={version + 1}/batch=base")
+        self._next_version(expire(self.state(), cutoff))

@@ -148,21 +148,21 @@ def poll_files(
 ) -> DataFrame:
     """One poll of a directory of growing files: the new lines in batches.
 
-    The batches are written first, then tracked in ``run``, and only then does the position of
-    the files move: whatever stops the job, no line is lost. Give the same number to a poll
-    that is repeated and the next number to the next poll.
+    The batches are written first, then tracked in ``run``, and only then do the positions move:
+    whatever stops the job, no line is lost. Give the same number to a poll that is repeated and
+    the next number to the next poll; a poll reads the positions the one before has left.
     """
-    earlier = [f"{work}/progress/batch={n}" for n in range(batch)]
     schema = "ns string, file string, delta bigint"
-    moved = spark.read.schema(schema).parquet(*earlier) if earlier else spark.createDataFrame([], schema)
+    positions = spark.createDataFrame([], schema)
+    if batch:
+        positions = spark.read.schema(schema).parquet(f"{work}/positions/batch={batch - 1}")
     lines = read_placed_lines(spark, landed)
     folder = f"{work}/lines/batch={batch}"
-    batches = batch_lines(read_new_lines(lines, sent_size(moved)), batch_size)
+    batches = batch_lines(read_new_lines(lines, sent_size(positions)), batch_size)
     batches.write.mode("overwrite").parquet(folder)
     written = spark.read.parquet(folder)
     ledger.mark_run(range_units(written, ns), F.current_timestamp() if at is None else at, f"poll-{batch}")
-    delta = (F.col("end") - F.col("start")).alias("delta")
-    written.select(F.lit(ns).alias("ns"), "file", delta).write.mode("overwrite").parquet(
-        f"{work}/progress/batch={batch}"
-    )
+    read = written.select(F.lit(ns).alias("ns"), "file", (F.col("end") - F.col("start")).alias("delta"))
+    moved = sent_size(positions.unionByName(read)).withColumnRenamed("sent_size", "delta")
+    moved.write.mode("overwrite").parquet(f"{work}/positions/batch={batch}")
     return written

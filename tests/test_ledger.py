@@ -115,6 +115,17 @@ def test_table_expiry_writes_a_new_version(spark, rows, tmp_path):
     assert [r["dsid"] for r in table.state().collect()] == ["ds\x01old"]
 
 
+def test_compaction_keeps_the_state(spark, rows, tmp_path):
+    table = g.LedgerTable(spark, str(tmp_path / "ledger"))
+    table.mark_run(rows([("ds", str(i)) for i in range(4)], "ds string, id string"), at(0), "a")
+    table.mark_done(rows([("ds", "1")], "ds string, id string"), at(1), "b")
+    before = sorted(map(tuple, table.state().collect()))
+    table.compact()
+    assert sorted(map(tuple, table.state().collect())) == before and table.events().count() == 4
+    table.mark_done(rows([("ds", "2")], "ds string, id string"), at(2), "b")
+    assert {r["status"]: r["n"] for r in g.status_counts(table.state(), "ds").collect()} == {"run": 2, "done": 2}
+
+
 def test_replay_only_of_files_that_are_there(rows, hundred):
     listing = rows([("id3",), ("id7",), ("other",)], "path string")
     got = g.processor_replay(hundred, "ds", listing).collect()

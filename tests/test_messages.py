@@ -100,6 +100,23 @@ def test_large_routes_are_salted_not_broadcast(rows, no_broadcast):
     assert "_salt" in plan and "Broadcast" not in plan
 
 
+def test_a_derived_table_is_measured_not_guessed(spark, rows):
+    """A few topics of a stream that is itself too large to broadcast."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20000")
+    try:
+        df = spark.range(20_000).select(
+            F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("t"), F.col("id") % 5)).alias("topic"),
+            F.lit(0).alias("partition"), F.col("id").alias("offset"),
+        )
+        few = df.select("topic").distinct().withColumn("processor", F.lit("p"))
+        assert not joins.fits_broadcast(few) and joins.fits_broadcast(joins.settled(few))
+        sent = routing.route(df, few)
+        assert "BroadcastHashJoin" in sent._jdf.queryExecution().executedPlan().toString() and sent.count() == 20_000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
 def test_message_without_processor_stops_the_job(rows):
     routes = rows([("a", "q")], "topic string, processor string")
     with pytest.raises(Exception, match="no processor for topic hot"):
