@@ -76,31 +76,34 @@ def value_distribution(
     """Count, min, max, mean, standard deviation and exact quantiles of a bigint by name.
 
     A quantile is the smallest value with at least that share of the values at or below it.
-    Equal values are counted on the map side and values are cut into blocks of ``block``
-    neighbours; only the blocks that hold a wanted rank are looked into. No name has to fit
-    in one task, whatever its number of values.
+    Values are cut into blocks of ``block`` neighbours, which are summed on the map side; only
+    the blocks that hold a wanted rank are looked into, where equal values are counted on the
+    map side again. No name has to fit in one task, whatever its number of values.
     """
-    counts = (
-        values.where(F.col(name).isNotNull() & F.col(value).isNotNull())
-        .groupBy(name, F.col(value).cast("bigint").alias("_v"))
-        .agg(F.count("*").alias("_n"))
-        .withColumn("_block", floor_div(F.col("_v"), block))
+    rows = values.where(F.col(name).isNotNull() & F.col(value).isNotNull()).select(
+        name, F.col(value).cast("bigint").alias("_v"), floor_div(F.col(value).cast("bigint"), block).alias("_block")
     )
-    blocks = counts.groupBy(name, "_block").agg(
-        F.sum("_n").alias("_n"),
+    # values enter the sums by their place in the block, which keeps the sums exact
+    place = (F.col("_v") - F.col("_block") * block).cast("double")
+    blocks = rows.groupBy(name, "_block").agg(
+        F.count("*").alias("_n"),
         F.min("_v").alias("_min"),
         F.max("_v").alias("_max"),
-        F.sum(F.col("_v").cast("decimal(38,0)") * F.col("_n")).alias("_sum"),
-        F.sum(F.col("_v").cast("double") * F.col("_v") * F.col("_n")).alias("_squares"),
+        F.sum(place).alias("_sum"),
+        F.sum(place * place).alias("_squares"),
     )
     every = Window.partitionBy(name)
     before = every.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    placed = blocks.select(
-        name,
-        "_block",
-        "_n",
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
-        F.sum("_n").over(every).alias("_total"),
+    origin = F.min("_block").over(every) * block
+    placed = (
+        blocks.withColumn("_origin", origin)
+        .withColumn("_mean", F.col("_block") * block - F.col("_origin") + F.col("_sum") / F.col("_n"))
+        .select(
+            "*",
+            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
+            F.sum("_n").over(every).alias("_total"),
+            (F.sum(F.col("_mean") * F.col("_n")).over(every) / F.sum("_n").over(every)).alias("_center"),
+        )
     )
     ranks = F.array(
         *[
@@ -117,23 +120,25 @@ def value_distribution(
         .select(name, "_block", "q", F.expr("rank - _before").alias("rank"))
     )
     inside = Window.partitionBy(name, "_block").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    reached = counts.join(wanted.select(name, "_block").distinct(), [name, "_block"], "left_semi").select(
-        name, "_block", "_v", "_n", F.sum("_n").over(inside).alias("_cum")
-    )
+    looked_into = rows.join(wanted.select(name, "_block").distinct(), [name, "_block"], "left_semi")
+    counts = looked_into.groupBy(name, "_block", "_v").agg(F.count("*").alias("_n"))
+    reached = counts.select(name, "_block", "_v", "_n", F.sum("_n").over(inside).alias("_cum"))
     picked = (
         wanted.join(reached, [name, "_block"])
         .where("rank <= _cum and rank > _cum - _n")
         .groupBy(name)
         .agg(*[F.max(F.when(F.col("q") == str(q), F.col("_v"))).alias(quantile_name(q)) for q in quantiles])
     )
-    n, total = F.sum("_n"), F.sum("_sum").cast("double")
-    variance = (F.sum("_squares") - total * total / n) / F.when(n > 1, n - 1)
-    stats = blocks.groupBy(name).agg(
+    n = F.sum("_n")
+    # spread inside the blocks and of the blocks around the common mean
+    away = F.col("_mean") - F.col("_center")
+    spread = F.sum(F.col("_squares") - F.col("_sum") * F.col("_sum") / F.col("_n")) + F.sum(away * away * F.col("_n"))
+    stats = placed.groupBy(name).agg(
         n.alias("n"),
         F.min("_min").alias("min"),
         F.max("_max").alias("max"),
-        (total / n).alias("mean"),
-        F.sqrt(F.greatest(variance, F.lit(0.0))).alias("stddev"),
+        F.max(F.col("_origin") + F.col("_center")).alias("mean"),
+        F.sqrt(F.greatest(spread, F.lit(0.0)) / F.when(n > 1, n - 1)).alias("stddev"),
     )
     return stats.join(picked, name)
 

@@ -63,7 +63,7 @@ def counter_totals(spark, sf_dir):
 
 
 @query("""
-WITH v AS (SELECT l_returnflag AS name, CAST(round(l_extendedprice * 100) AS BIGINT) AS value FROM lineitem),
+WITH v AS (SELECT l_returnflag AS name, CAST(floor(l_extendedprice * 100 + 0.5::DOUBLE) AS BIGINT) AS value FROM lineitem),
 r AS (SELECT *, row_number() OVER (PARTITION BY name ORDER BY value) AS rn, count(*) OVER (PARTITION BY name) AS n FROM v)
 SELECT name, max(n) AS n, min(value) AS min, max(value) AS max, round(avg(value), 3) AS mean, round(stddev_samp(value), 3) AS stddev,
   max(CASE WHEN rn = ceil(0.5 * n) THEN value END) AS p50, max(CASE WHEN rn = ceil(0.75 * n) THEN value END) AS p75,
@@ -72,7 +72,7 @@ SELECT name, max(n) AS n, min(value) AS min, max(value) AS max, round(avg(value)
 FROM r GROUP BY name
 """)
 def value_distribution(spark, sf_dir):
-    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
+    cents = F.floor(F.col("l_extendedprice") * 100 + 0.5)
     rows = table(spark, sf_dir, "lineitem").select(F.col("l_returnflag").alias("name"), cents.alias("value"))
     return ops.value_distribution(rows).withColumns({c: F.round(c, 3) for c in ("mean", "stddev")})
 
@@ -100,16 +100,23 @@ FROM lineitem
 """)
 def decode_values(spark, sf_dir):
     key, line = F.col("l_orderkey"), F.col("l_linenumber")
-    as_long, as_int = values.long_bytes(key), values.int_bytes(-line)
-    digits = F.lpad(line.cast("string"), 4, "0")
-    return table(spark, sf_dir, "lineitem").select(
+    stored = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber",
+        values.long_bytes(key).alias("long"),
+        values.int_bytes(-line).alias("int"),
+        values.text_bytes(F.col("l_returnflag")).alias("flag"),
+        values.text_bytes(F.concat("l_returnflag", F.lit("-ab"))).alias("words"),
+        values.text_bytes(F.lpad(line.cast("string"), 4, "0")).alias("number"),
+        values.tagged_bytes(line.cast("string"), F.lit("i")).alias("tagged"),
+    )
+    return stored.select(
         "l_orderkey", "l_linenumber",
-        values.long_value(as_long).alias("long_value"),
-        values.long_value(as_int).alias("int_value"),
-        values.long_value(values.text_bytes(F.col("l_returnflag"))).alias("other_value"),
-        values.text_value(as_long).alias("long_text"),
-        values.text_value(as_int).alias("int_text"),
-        values.text_value(values.text_bytes(F.concat("l_returnflag", F.lit("-ab")))).alias("text"),
-        values.text_value(values.text_bytes(digits)).alias("digits"),
-        values.long_value(values.tagged_bytes(line.cast("string"), F.lit("i"))).alias("tagged"),
+        values.long_value(F.col("long")).alias("long_value"),
+        values.long_value(F.col("int")).alias("int_value"),
+        values.long_value(F.col("flag")).alias("other_value"),
+        values.text_value(F.col("long")).alias("long_text"),
+        values.text_value(F.col("int")).alias("int_text"),
+        values.text_value(F.col("words")).alias("text"),
+        values.text_value(F.col("number")).alias("digits"),
+        values.long_value(F.col("tagged")).alias("tagged"),
     )

@@ -96,6 +96,13 @@ def test_distribution_is_exact(rows, block):
             assert r["stddev"] == pytest.approx(statistics.stdev(values))
 
 
+def test_spread_of_large_close_values(rows):
+    values = [1_700_000_000_000_000 + d for d in (0, 1, 2, 70_000, 70_001)]
+    got = meters.value_distribution(rows([("n", v) for v in values], "name string, value bigint")).first()
+    assert got["stddev"] == pytest.approx(statistics.stdev(values), rel=1e-9)
+    assert got["mean"] == pytest.approx(statistics.mean(values), abs=0.5)
+
+
 PATHS = [("/a/b/1", "x"), ("a//b/2/", "y"), ("/a/c", "z"), ("/ab/c", "no"), ("/a/b/2/deep/er", "w"), ("/a", "root")]
 
 
