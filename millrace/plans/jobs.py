@@ -205,7 +205,7 @@ def refresh_settings(spark, sf_dir):
     chosen.write.parquet(kept)
     out, work = new_folder(spark, "hourly"), new_folder(spark, "stream")
     jobs.refresh_settings(
-        stream, lambda session: session.read.parquet(kept), out, work, F.lit(NOW_MS), every=None
+        stream, lambda session: session.read.parquet(kept), out, work, F.lit(NOW_MS), every=None, salts=2
     ).awaitTermination()
     return hours(spark, out, "/batch=*")
 
@@ -219,7 +219,7 @@ def rolled_files(spark, sf_dir):
     lines = stream.select(F.lit("all").alias("topic"), "offset", "ts_ms", F.col("value").alias("line"))
     out, work = new_folder(spark, "rolled"), new_folder(spark, "stream")
     tracked = LedgerTable(spark, new_folder(spark, "ledger"))
-    jobs.rolled_files(lines, out, tracked, "rolled", work, instant(), every=None).awaitTermination()
+    jobs.rolled_files(lines, out, tracked, "rolled", work, instant(), every=None, salts=2).awaitTermination()
     written = (
         spark.read.schema(TREE).option("basePath", out).text(f"{out}/batch=*")
         .groupBy(F.col("_metadata.file_path").alias("ids"), "hr").agg(F.count("*").alias("n"))

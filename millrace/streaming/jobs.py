@@ -41,6 +41,32 @@ def hourly_counts(lines: DataFrame, ts: str = "ts", late: str | None = None) ->
     )
 
 
+def throughput_stream(
+    lines: DataFrame, checkpoint: str, out: str | None = None,
+    width: str = "1 minute", late: str = "1 minute", every: str | None = POLL,
+) -> StreamingQuery:
+    """Messages and bytes per second by topic and in ``total``, to CSV files or to the console.
+
+    A window is reported once the watermark has passed it.
+    """
+    written = lines.where(F.col("line").isNotNull()).withWatermark("ts", late)
+    labels = F.explode(F.array("topic", F.lit("total"))).alias("topic")
+    counts = (
+        written.select("ts", F.octet_length("line").alias("size"), labels)
+        .groupBy(F.window("ts", width).alias("_w"), "topic")
+        .agg(F.count("*").alias("n"), F.sum("size").alias("bytes"))
+    )
+    seconds = F.unix_seconds("_w.end") - F.unix_seconds("_w.start")
+    rates = counts.select(
+        "topic", F.unix_millis("_w.start").alias("window_ms"), "n", "bytes",
+        (F.col("n") / seconds).alias("n_per_sec"), (F.col("bytes") / seconds).alias("bytes_per_sec"),
+    )
+    writer = rates.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
+    if out is None:
+        return triggered(writer.format("console"), every).start()
+    return triggered(writer.format("csv").option("path", out).option("header", True), every).start()
+
+
 def hourly_stream(
     messages: DataFrame, resolved: DataFrame, out: str, checkpoint: str,
     now_ms: Column | None = None, codec: str = "gzip", every: str | None = POLL, salts: int = 8,
@@ -66,13 +92,13 @@ def hourly_stream(
 
 def rolled_files(
     lines: DataFrame, out: str, ledger: LedgerTable, ds: str, checkpoint: str,
-    at: Column | None = None, every: str | None = POLL,
+    at: Column | None = None, every: str | None = POLL, salts: int = 8,
 ) -> StreamingQuery:
     """Write each micro-batch as closed hour files and track every file in ``run``."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         folder = f"{out}/batch={batch_id}"
-        write_hourly(batch, folder, mode="overwrite", salt="offset")
+        write_hourly(batch, folder, mode="overwrite", salt="offset", salts=salts)
         if batch.where(F.col("line").isNotNull()).isEmpty():
             return
         written = list_files(batch.sparkSession, f"{folder}/topic=*/dt=*/hr=*", "*.txt*")
@@ -91,14 +117,14 @@ def _for_each_batch(
 
 def refresh_settings(
     messages: DataFrame, load: Callable[[SparkSession], DataFrame], out: str, checkpoint: str,
-    now_ms: Column | None = None, every: str | None = POLL,
+    now_ms: Column | None = None, every: str | None = POLL, salts: int = 8,
 ) -> StreamingQuery:
     """As the hourly stream, with the settings read again for every batch."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         now = F.unix_millis(F.current_timestamp()) if now_ms is None else now_ms
         lines = process_messages(batch, load(batch.sparkSession), now)
-        write_hourly(lines, f"{out}/batch={batch_id}", mode="overwrite", salt="offset")
+        write_hourly(lines, f"{out}/batch={batch_id}", mode="overwrite", salt="offset", salts=salts)
 
     return _for_each_batch(messages, write, checkpoint, every)
 

@@ -244,3 +244,18 @@ def test_hourly_counts_of_stream_and_batch_agree(spark, tmp_path):
     query = jobs.triggered(jobs.hourly_counts(stream).writeStream.format("memory").queryName("counts").outputMode("complete"), None).start()
     query.awaitTermination()
     assert {(r["topic"], r["hour"]): r["n"] for r in spark.table("counts").collect()} == batch
+
+
+def test_throughput_stream_reports_closed_windows(spark, tmp_path):
+    folder, out, start = str(tmp_path / "in"), str(tmp_path / "out"), dt.datetime(2024, 1, 1)
+    data = [("a", 0, "xx"), ("a", 5, "yyy"), ("b", 9, "z"), ("b", 9, None), ("b", 25, "é"), ("b", 300, "end")]
+    lines = [(t, start + dt.timedelta(seconds=s), x) for t, s, x in data]
+    spark.createDataFrame(lines, "topic string, ts timestamp, line string").coalesce(1).write.parquet(folder)
+    stream = spark.readStream.schema("topic string, ts timestamp, line string").parquet(folder)
+    jobs.throughput_stream(stream, str(tmp_path / "w"), out, "10 seconds", "0 seconds", every=None).awaitTermination()
+    schema = "topic string, window_ms bigint, n bigint, bytes bigint, n_per_sec double, bytes_per_sec double"
+    got = spark.read.schema(schema).option("header", True).csv(out).collect()
+    first = int(start.replace(tzinfo=dt.timezone.utc).timestamp() * 1000)
+    assert sorted((r["topic"], r["window_ms"] - first, r["n"], r["bytes"], r["n_per_sec"]) for r in got) == [
+        ("a", 0, 2, 5, 0.2), ("b", 0, 1, 1, 0.1), ("b", 20_000, 1, 2, 0.1), ("total", 0, 3, 6, 0.3), ("total", 20_000, 1, 2, 0.1),
+    ]
