@@ -17,6 +17,8 @@ from millrace.operators.ledger import DONE, RUN
 
 # Width in bytes of the cells that lines and ranges of a file are matched in.
 RANGE_CELL = 1 << 20
+# A range is cut into spans of so many cells first, which keeps the lists short for any range.
+SPAN_CELLS = 4096
 # Bytes of a UTF-8 mark at the head of a file, which the text reader leaves out.
 BYTE_MARK = 3
 
@@ -146,12 +148,19 @@ def read_ranges(placed: DataFrame, ranges: DataFrame, cell: int = RANGE_CELL) ->
     Lines and ranges meet in cells of the file, so even a file with very many of both is
     matched cell by cell on many tasks.
     """
-    cells = F.sequence(floor_div(F.col("start"), cell), floor_div(F.col("end") - 1, cell))
-    wanted = ranges.where("end > start").select(
-        "file",
-        F.col("start").alias("range_start"),
-        F.col("end").alias("range_end"),
-        F.explode(cells).alias("_cell"),
+    span = SPAN_CELLS * cell
+    spans = F.sequence(floor_div(F.col("start"), span), floor_div(F.col("end") - 1, span))
+    first = F.greatest(floor_div(F.col("range_start"), cell), F.col("_span") * SPAN_CELLS)
+    last = F.least(floor_div(F.col("range_end") - 1, cell), F.col("_span") * SPAN_CELLS + SPAN_CELLS - 1)
+    wanted = (
+        ranges.where("end > start")
+        .select(
+            "file",
+            F.col("start").alias("range_start"),
+            F.col("end").alias("range_end"),
+            F.explode(spans).alias("_span"),
+        )
+        .select("file", "range_start", "range_end", F.explode(F.sequence(first, last)).alias("_cell"))
     )
     held = placed.withColumn("_cell", floor_div(F.col("start"), cell))
     return held.join(wanted, ["file", "_cell"]).where("start >= range_start and end <= range_end").drop("_cell")

@@ -66,15 +66,17 @@ def batch_messages(
     seq: str = "offset",
     stop_at_null: str | None = None,
     block_rows: int = BLOCK_ROWS,
+    ties: Sequence[str] = (),
 ) -> DataFrame:
     """Add ``batch``: consecutive messages of a key in groups of ``size``.
 
-    With ``stop_at_null`` a key ends at its first message where that column is NULL.
+    With ``stop_at_null`` a key ends at its first message where that column is NULL. Where a
+    key spans several partitions of a topic, ``ties`` orders their equal offsets.
     """
     measures = {"_row": F.lit(1)}
     if stop_at_null:
         measures["_nulls"] = F.col(stop_at_null).isNull().cast("int")
-    numbered = running_totals(messages, keys, [seq], seq_block(seq, block_rows), measures)
+    numbered = running_totals(messages, keys, [seq, *ties], seq_block(seq, block_rows), measures)
     if stop_at_null:
         numbered = numbered.where((F.col("_nulls") == 0) & F.col(stop_at_null).isNotNull())
     return numbered.withColumn("batch", floor_div(F.col("_row"), size)).drop(*measures)
@@ -105,8 +107,8 @@ def group_by_key(
 ) -> DataFrame:
     """Lines of a key in order, ready to be written in one go.
 
-    A key comes in parts of at most ``group_rows`` lines (``part`` rises with ``seq``), so a key
-    of any size is never gathered in one place.
+    A key comes in parts of at most ``group_rows`` values of ``seq`` (``part`` rises with it), so
+    a key of any size is never gathered in one place.
     """
     items = F.sort_array(F.collect_list(F.struct(seq, value)))
     parts = messages.groupBy(*keys, seq_block(seq, group_rows).alias("part")).agg(

@@ -26,13 +26,15 @@ def size_rolls(
     line: str = "line",
     roll_bytes: int = ROLL_BYTES,
     block_rows: int = BLOCK_ROWS,
+    ties: Sequence[str] = (),
 ) -> DataFrame:
     """Add ``roll``: the number of whole roll sizes written to the key before the line.
 
-    A file therefore passes the roll size by less than the one line that crosses it.
+    A file therefore passes the roll size by less than the one line that crosses it. Where a key
+    spans several partitions of a topic, ``ties`` orders their equal offsets.
     """
     placed = running_totals(
-        lines, keys, [seq], seq_block(seq, block_rows), {"_bytes": line_bytes(F.col(line))}
+        lines, keys, [seq, *ties], seq_block(seq, block_rows), {"_bytes": line_bytes(F.col(line))}
     )
     return placed.withColumn("roll", floor_div(F.col("_bytes"), roll_bytes)).drop("_bytes")
 

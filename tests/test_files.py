@@ -92,8 +92,9 @@ def test_batches_are_exact_and_contiguous(spark, folder, small_splits):
         assert all(r["n"] == 50 for r in mine[:-1])
 
 
-@pytest.mark.parametrize("cell", [16, 1000, 1 << 20])
-def test_ranges_match_brute_force_in_any_cells(spark, rows, folder, cell):
+@pytest.mark.parametrize("cell, span", [(16, 4), (16, 4096), (1000, 2), (1 << 20, 4096)])
+def test_ranges_match_brute_force_in_any_cells(spark, rows, folder, monkeypatch, cell, span):
+    monkeypatch.setattr(f, "SPAN_CELLS", span)
     placed = f.line_offsets(read_placed_lines(spark, str(folder)))
     uri = {name_of(r[0]): r[0] for r in placed.select("file").distinct().collect()}
     big = brute_lines(contents()["big.txt"])

@@ -47,6 +47,13 @@ def test_batches_match_brute_force_for_any_block_size(rows, block_rows):
     assert {r["offset"]: r["batch"] for r in got} == want and len(got) == len(data)
 
 
+def test_equal_offsets_of_partitions_are_ordered_by_ties(rows):
+    data = [("t", p, o, f"{o}-{p}") for p in range(3) for o in range(40)]
+    got = m.batch_messages(rows(data, SCHEMA), 5, block_rows=4, ties=["partition"]).collect()
+    want = {(o, p): i // 5 for i, (o, p) in enumerate((o, p) for o in range(40) for p in range(3))}
+    assert {(r["offset"], r["partition"]): r["batch"] for r in got} == want
+
+
 def test_batches_end_at_the_first_null(rows):
     data = [("t", 0, i, None if i in (5, 8) else str(i)) for i in range(12)] + [("u", 0, i, str(i)) for i in range(4)]
     got = m.batch_messages(rows(data, SCHEMA), 3, stop_at_null="value", block_rows=2).collect()
