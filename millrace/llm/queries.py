@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import lines, sentencepiece, tokencount
+from millrace.llm import chat, lines, sentencepiece, tokencount, warc
 from millrace.llm.tables import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,6 +56,42 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(r"""
+WITH t AS (SELECT DISTINCT conv_id, coalesce(turn, -1) AS turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+           FROM conversations WHERE conv_id IS NOT NULL),
+u AS (SELECT conv_id, turn, string_agg(role || chr(31) || text, chr(30) ORDER BY role, text) AS said FROM t GROUP BY ALL),
+p AS (SELECT conv_id, turn, max(turn) OVER (PARTITION BY conv_id) AS last,
+             sha256(string_agg(turn || chr(31) || said, chr(29)) OVER (PARTITION BY conv_id ORDER BY turn)) AS prefix FROM u),
+k AS (SELECT min(conv_id) AS conv_id, count(*) AS n_logs FROM p e WHERE turn = last AND NOT EXISTS
+      (SELECT 1 FROM p o WHERE o.prefix = e.prefix AND o.turn < o.last) GROUP BY prefix)
+SELECT conv_id, CAST(greatest(turn // 1024, 0) AS BIGINT) AS part, count(*) AS n_turns, n_logs,
+       sha256(string_agg('<|im_start|>' || role || chr(10)
+              || regexp_replace(text, '<\|(im_start|im_end)\|>', '<\\|\1|>', 'g') || '<|im_end|>' || chr(10), ''
+              ORDER BY turn, role, text)) AS chat_sha256
+FROM t JOIN k USING (conv_id) GROUP BY conv_id, greatest(turn // 1024, 0), n_logs
+""")
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chats = chat.format_chats(load(spark, sf_dir, "conversations"))
+    return chats.select("conv_id", "part", "n_turns", "n_logs", F.sha2("chat", 256).alias("chat_sha256"))
+
+
+@query("""
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS d FROM pages),
+f AS (SELECT page_id, n, d, CASE WHEN n >= 100 THEN min(page_id) OVER (PARTITION BY d) ELSE page_id END AS f FROM p)
+SELECT page_id, n AS payload_bytes, d AS payload_digest,
+       CASE WHEN page_id > f THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id > f THEN f END AS refers_to
+FROM f
+""")
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write the pages as archives and read these back."""
+    archives = warc.write_archives(load(spark, sf_dir, "pages"))
+    records = warc.read_archives(spark, archives, payload=False)
+    return records.select(
+        F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 @query()
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")

@@ -35,14 +35,14 @@ def unstored(*tables: DataFrame) -> None:
 
 
 def join_counted(
-    rows: DataFrame, table: DataFrame, keys: Sequence[str], count: str, spread: Sequence[Column]
+    rows: DataFrame, table: DataFrame, keys: Sequence[str], count: str, spread: Sequence[Column], how: str = "inner"
 ) -> DataFrame:
-    """Inner join of ``rows`` with a stored ``table`` of one row per key.
+    """Join (inner or left) of ``rows`` with a stored ``table`` of one row per key.
 
     ``count`` is a column of the table that holds how many rows have the key, so hot keys are
     known: at most ``HOT_KEYS`` of them have over that share of all counted rows and are
-    broadcast. Hot rows then travel under a key made of ``spread``, which deals them evenly, so
-    no task gets a key whole. Rows whose key is NULL or not in the table are not returned.
+    broadcast. Hot rows, and those with a NULL key, then travel under a key made of ``spread``,
+    which deals them evenly, so no task gets a key whole.
     """
     keys = list(keys)
     total = table.agg(F.sum(count)).first()[0] or 0
@@ -52,13 +52,14 @@ def join_counted(
         *[F.col(k).alias(f"_k_{k}") for k in keys], F.struct(*values).alias("_cold")
     )
     marked = rows.join(F.broadcast(hot), keys, "left")
-    dealt = marked.withColumn("_deal", F.when(F.col("_hot").isNotNull(), F.xxhash64(*spread)).otherwise(0))
+    alone = F.col("_hot").isNotNull() | F.array_contains(F.array(*[F.col(k).isNull() for k in keys]), True)
+    dealt = marked.withColumn("_deal", F.when(alone, F.xxhash64(*spread)).otherwise(0))
     joined = dealt.join(
         cold.withColumn("_zero", F.lit(0).cast("bigint")),
         [F.col(k) == F.col(f"_k_{k}") for k in keys] + [F.col("_deal") == F.col("_zero")],
         "left",
     )
     found = F.coalesce("_hot", "_cold")
-    return joined.where(found.isNotNull()).select(
+    return (joined if how == "left" else joined.where(found.isNotNull())).select(
         *[c for c in rows.columns], *[found[v].alias(v) for v in values]
     )
