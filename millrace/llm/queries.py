@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import chat, lines, neardup, sentencepiece, tokencount, warc
+from millrace.llm import chat, decontaminate, lines, neardup, sentencepiece, tokencount, warc
 from millrace.llm.tables import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,6 +39,26 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Distinct runs of five words of each text; a text with fewer words is one run.
+SHINGLES = r"""SELECT DISTINCT id, unnest(CASE WHEN len(w) >= 5
+    THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) ELSE [array_to_string(w, ' ')] END) AS s
+  FROM (SELECT id, list_filter(regexp_split_to_array(regexp_replace(lower(text), '[^\p{L}\p{N}\p{M}\s]', '', 'g'), '\s+'),
+                               lambda x: x <> '') AS w FROM {source}) WHERE len(w) > 0"""
+
+
+@query(f"""
+WITH d AS ({SHINGLES.replace('{source}', '(SELECT doc_id AS id, text FROM documents)')}),
+b AS ({SHINGLES.replace('{source}', '(SELECT item_id AS id, text FROM benchmark)')}),
+n AS (SELECT id, count(*) AS n_shingles FROM b GROUP BY id)
+SELECT d.id AS doc_id, b.id AS item_id, count(*) AS n_shared, n_shingles
+FROM d JOIN b USING (s) JOIN n ON n.id = b.id GROUP BY d.id, b.id, n_shingles HAVING 5 * count(*) >= 4 * n_shingles
+""")
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that contains an item of the benchmark."""
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontaminate.contaminated(docs, load(spark, sf_dir, "benchmark"))
+
+
 @query(rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
 l AS (SELECT r, doc_id, unnest(range(len(ls))) AS p, unnest(ls) AS line FROM d),
