@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import chat, decontaminate, lines, neardup, sentencepiece, tokencount, warc
+from millrace.llm import chat, decontaminate, license, lines, neardup, quality, sentencepiece, tokencount, warc
 from millrace.llm.tables import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,6 +95,34 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chats.select("conv_id", "part", "n_turns", "n_logs", F.sha2("chat", 256).alias("chat_sha256"))
 
 
+def license_values() -> str:
+    quoted = [f"('{n}', '{t.replace(chr(39), chr(39) * 2)}')" for n, t in license.TEMPLATES]
+    return ", ".join(quoted)
+
+
+@query(rf"""
+WITH w AS (SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(
+    regexp_replace(lower(text), '[^\p{{L}}\p{{N}}\p{{M}}\s]+', '', 'g'), '\s+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT r, doc_id, unnest(range(greatest(len(w) - 4, 1))) AS p,
+             unnest(list_transform(range(1, greatest(len(w) - 3, 2)), lambda i: array_to_string(w[i:i + 4], ' '))) AS s
+      FROM w WHERE len(w) > 0),
+tw AS (SELECT license, list_filter(regexp_split_to_array(
+    regexp_replace(lower(text), '[^\p{{L}}\p{{N}}\p{{M}}\s]+', '', 'g'), '\s+'), lambda x: x <> '') AS w
+       FROM (VALUES {license_values()}) AS v(license, text)),
+t AS (SELECT DISTINCT license, unnest(list_transform(range(1, greatest(len(w) - 3, 2)),
+                                                      lambda i: array_to_string(w[i:i + 4], ' '))) AS s FROM tw),
+n AS (SELECT license, count(*) AS n_shingles, CAST(2 ** ceil(log2(count(*))) AS BIGINT) AS half FROM t GROUP BY license),
+m AS (SELECT r, doc_id, license, s, n_shingles, unnest([p // half, p // half - 1]) AS w
+      FROM s JOIN t USING (s) JOIN n USING (license)),
+f AS (SELECT doc_id, license, n_shingles, count(DISTINCT s) AS n_shared FROM m WHERE w >= 0
+      GROUP BY r, doc_id, license, n_shingles, w HAVING 5 * count(DISTINCT s) >= 4 * n_shingles)
+SELECT doc_id, license, max(n_shared) AS n_shared, n_shingles FROM f GROUP BY doc_id, license, n_shingles
+""".replace("\\\\", "\\"))
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every license notice of every document."""
+    return license.scan_licenses(load(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query("""
 WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS d FROM pages),
 f AS (SELECT page_id, n, d, CASE WHEN n >= 100 THEN min(page_id) OVER (PARTITION BY d) ELSE page_id END AS f FROM p)
@@ -118,6 +146,13 @@ def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(load(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+@query()
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics of every document and the verdict of rules learned from the labels."""
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality.apply_quality_rules(docs, load(spark, sf_dir, "labels"))
+
+
 @query()
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
