@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import chat, decontaminate, license, lines, neardup, quality, sentencepiece, tokencount, warc
+from millrace.llm import chat, decontaminate, language, license, lines, neardup, quality, sentencepiece, tokencount, warc
 from millrace.llm.tables import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,6 +95,16 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chats.select("conv_id", "part", "n_turns", "n_logs", F.sha2("chat", 256).alias("chat_sha256"))
 
 
+@query()
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predict the language of every text with what the other three quarters of the ids teach."""
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language.fit(docs.where(~language.held_out()))
+    return language.with_language(docs, model).select(
+        "doc_id", language.held_out().alias("held_out"), "lang_pred", "score"
+    )
+
+
 def license_values() -> str:
     quoted = [f"('{n}', '{t.replace(chr(39), chr(39) * 2)}')" for n, t in license.TEMPLATES]
     return ", ".join(quoted)
