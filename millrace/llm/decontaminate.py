@@ -35,8 +35,13 @@ def permuted(hashes: np.ndarray, band: int) -> np.ndarray:
     return mix(hashes + np.uint64((band + 1) * 0x9E3779B97F4A7C15 % (1 << 64)))
 
 
+def places(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The two bits of every shingle in the bit table."""
+    return hashes >> np.uint64(HASH_BITS - FILTER_BITS), mix(hashes) >> np.uint64(64 - FILTER_BITS)
+
+
 def signed_items(items: DataFrame, item: str, text: str, bands: int) -> DataFrame:
-    """``item, shingles, cls`` and, per band, the minimum and the shingle that has it."""
+    """``item, shingles, cls``, the ``minima`` of all bands and the ``bits`` of the shingles that have them."""
 
     def sign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -48,14 +53,15 @@ def signed_items(items: DataFrame, item: str, text: str, bands: int) -> DataFram
                 values = [permuted(own, b) for b in range(bands)] if len(own) else []
                 rows["s"].append(own.view(np.int64))
                 rows["m"].append(np.array([v.min() for v in values], np.uint64).view(np.int64))
-                rows["x"].append(own[[v.argmin() for v in values]].view(np.int64) if len(own) else own.view(np.int64))
+                minimal = own[sorted({int(v.argmin()) for v in values})]
+                rows["x"].append(np.unique(np.concatenate(places(minimal))).view(np.int64))
             lists = [pa.array(v, pa.list_(pa.int64())) for v in rows.values()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(size_class(counts)), *lists], names=["item", "cls", "shingles", "minima", "minimal"]
+                [batch.column(0), pa.array(size_class(counts)), *lists], names=["item", "cls", "shingles", "minima", "bits"]
             )
 
     kind = items.schema[item].dataType.simpleString()
-    schema = f"item {kind}, cls bigint, shingles array<bigint>, minima array<bigint>, minimal array<bigint>"
+    schema = f"item {kind}, cls bigint, shingles array<bigint>, minima array<bigint>, bits array<bigint>"
     return items.select(F.col(item).alias("item"), F.col(text).alias("text")).mapInArrow(sign, schema)
 
 
@@ -65,8 +71,7 @@ def bit_table(items: DataFrame) -> np.ndarray:
     The table has a fixed size and comes in words of 64 bits, so it can be broadcast however many
     items there are; more items let more documents through to the exact steps, none is lost.
     """
-    place = F.shiftright("shingle", HASH_BITS - FILTER_BITS).alias("place")
-    words = items.select(F.explode("minimal").alias("shingle")).select(place).select(
+    words = items.select(F.explode("bits").alias("place")).select(
         F.shiftright("place", 6).alias("word"), F.expr("shiftleft(1L, CAST(place & 63 AS INT))").alias("bit")
     )
     found = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
@@ -76,8 +81,10 @@ def bit_table(items: DataFrame) -> np.ndarray:
 
 
 def flagged(hashes: np.ndarray, table: np.ndarray) -> np.ndarray:
-    place = hashes >> np.uint64(HASH_BITS - FILTER_BITS)
-    return (table[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63)) & np.uint64(1)).astype(bool)
+    one, two = (
+        table[(p >> np.uint64(6)).astype(np.int64)] >> (p & np.uint64(63)) & np.uint64(1) for p in places(hashes)
+    )
+    return (one & two).astype(bool)
 
 
 def window_minima(hashes: np.ndarray, marked: np.ndarray, classes: Sequence[int], bands: int) -> Iterator[tuple[int, int, np.ndarray]]:
