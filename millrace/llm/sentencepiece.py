@@ -23,12 +23,13 @@ from pyspark.sql import DataFrame, functions as F
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"  # stands for a blank inside pieces
 UNIGRAM, BPE = 1, 2
+PUNCTUATION = ".,;:!?#*$%&|<>\"'()[]{}-+=/\\~`^@"
 UNKNOWN_PENALTY = 10.0  # an unknown character scores this much below the worst piece
 
 # A model is broadcast, so its size is bounded; what a task remembers is bounded too.
 MAX_MODEL_PIECES = 1 << 20
-REMEMBERED_CHUNKS = 500_000
-REMEMBERED_PAIRS = 1_000_000
+REMEMBERED_CHUNKS = 250_000
+REMEMBERED_PAIRS = 500_000
 REMEMBERED_LENGTH = 64
 
 
@@ -99,12 +100,22 @@ class Encoder:
         self.characters = set().union(*self.ids)
         self.pairs = Bounded(REMEMBERED_PAIRS)
         self.chunks = Chunks(self)
-        # Where no piece holds a blank after another character, a text falls apart there; so it
-        # does around newlines if no piece holds one.
-        self.cut = None
-        if not any(SPACE in p.lstrip(SPACE) for p in self.ids):
-            alone = "" if "\n" in self.characters else "\n"
-            self.cut = re.compile(f"{SPACE}*[^{SPACE}{alone}]+|{SPACE}+" + (f"|{alone}" if alone else ""))
+        self.cut = self.boundaries()
+
+    def boundaries(self) -> re.Pattern | None:
+        """Chunks that no piece reaches over, which can be encoded and remembered one by one.
+
+        Where no piece holds a blank after another character, a text falls apart before blanks;
+        so it does around newlines if no piece holds one, and after a run of letters before a
+        character that no piece holds after a letter.
+        """
+        if any(SPACE in p.lstrip(SPACE) for p in self.ids):
+            return None
+        follow = {b for p in self.ids for a, b in zip(p, p[1:], strict=False) if a.isalpha()}
+        alone = "" if "\n" in self.characters else "\n"
+        apart = "".join(re.escape(c) for c in PUNCTUATION if c not in follow) + alone + SPACE
+        letters = rf"{SPACE}*[^\W\d_]+(?=[{apart}])"
+        return re.compile(rf"{letters}|{SPACE}*[^{SPACE}{alone}]+|{SPACE}+" + (f"|{alone}" if alone else ""))
 
     def merged(self, symbols: list[str]) -> list[str]:
         """What merging by score makes of these symbols; only for the few characters of a pair."""
