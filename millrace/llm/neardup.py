@@ -5,14 +5,14 @@
    samples; two documents share one with the probability of their weighted Jaccard similarity.
 3. Documents with equal texts become one member; members that share a band meet in a bucket.
 4. Members are verified against the pivot of their bucket, and against one another only where
-   they did not come out connected and the triangle inequality does not rule a link out.
+   they did not come out connected and no bound rules a link out.
 5. Connected components are the classes.
 """
 
 from __future__ import annotations
 
 import functools
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +26,8 @@ SIMILARITY = 0.8
 BANDS, ROWS = 12, 3  # a pair at 0.8 shares no band with probability 0.0002
 FREQUENCY_BITS = 18  # documents are counted in so many (as a power of two) buckets of shingles
 QUANTILES = 1 << 14
+GROUPS = 256  # groups of shingles in the profile of a text
+BLOCK = 4096  # members of a pivot that are compared with as many others at a time
 PORTION = 1 << 16  # shingles sampled at a time, so that arrays stay in the cache
 
 
@@ -172,17 +174,18 @@ def similarities(left: Sequence[str], right: Sequence[str], idf: np.ndarray) ->
     return out
 
 
-def verified(pairs: DataFrame, docs: DataFrame, members: DataFrame, doc: str, text: str, idf: np.ndarray) -> DataFrame:
-    """``a, b`` and their similarity, for pairs of members; all of them, linked or not.
+def texts_of(wanted: DataFrame, docs: DataFrame, members: DataFrame, doc: str, text: str) -> DataFrame:
+    """``id, text`` of the members in ``wanted`` (column ``member``), and of no other document."""
+    marked = wanted.distinct().join(members.select("member", "t1", "t2"), "member").withColumnRenamed("member", "id")
+    source = docs.select(F.col(doc).alias("id"), *hash_pair(F.col(text), "t"), F.col(text).alias("text"))
+    return source.join(marked, ["id", "t1", "t2"], "left_semi").dropDuplicates(["id"]).select("id", "text")
 
-    Texts are read again for the members in pairs only.
-    """
+
+def verified(pairs: DataFrame, docs: DataFrame, members: DataFrame, doc: str, text: str, idf: np.ndarray) -> DataFrame:
+    """``a, b`` and their similarity, for pairs of members; all of them, linked or not."""
     shared = docs.sparkSession.sparkContext.broadcast(idf)
-    wanted = pairs.select(F.col("a").alias("member")).union(pairs.select("b")).distinct()
-    wanted = wanted.join(members.select("member", "t1", "t2"), "member").withColumnRenamed("member", "id")
-    source = docs.select(F.col(doc).alias("id"), *hash_pair(F.col(text), "t"), F.col(text).alias("text"))
-    texts = source.join(wanted, ["id", "t1", "t2"], "left_semi").dropDuplicates(["id"]).select("id", "text")
-    texts = stored(texts, "paired-texts")
+    wanted = pairs.select(F.col("a").alias("member")).union(pairs.select("b"))
+    texts = stored(texts_of(wanted, docs, members, doc, text), "paired-texts")
     both = pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
     both = both.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
 
@@ -198,6 +201,52 @@ def verified(pairs: DataFrame, docs: DataFrame, members: DataFrame, doc: str, te
     return out
 
 
+# --- pairs that no pivot settles -----------------------------------------------------------
+
+
+def profiled(wanted: DataFrame, docs: DataFrame, members: DataFrame, doc: str, text: str, idf: np.ndarray) -> DataFrame:
+    """``member, weight, profile``: the total weight of a text, and its weight by group of shingles."""
+    shared = docs.sparkSession.sparkContext.broadcast(idf)
+
+    def profile(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, weights, profiles = batch.column(1).to_pylist(), [], []
+            for first, end in portions(texts):
+                hashes, weight, counts = weighted(texts[first:end], shared.value)
+                owner = np.repeat(np.arange(end - first), counts)
+                place = owner * GROUPS + (hashes % np.uint64(GROUPS)).astype(np.int64)
+                sums = np.bincount(place, weight, (end - first) * GROUPS).reshape(-1, GROUPS)
+                weights += sums.sum(1).tolist()
+                profiles += [row.tobytes() for row in sums.astype(np.float32)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(weights, pa.float64()), pa.array(profiles, pa.binary())],
+                names=["member", "weight", "profile"],
+            )
+
+    kind = docs.schema[doc].dataType.simpleString()
+    return texts_of(wanted, docs, members, doc, text).mapInArrow(profile, f"member {kind}, weight double, profile binary")
+
+
+def possible_pairs(x: pa.Table, y: pa.Table, similarity: float) -> pa.Table:
+    """``a, b`` of one block of open members and one of members of the same pivot, of which no
+    bound says that they are less similar."""
+    column = lambda t, c: t.column(c).to_numpy(zero_copy_only=False)
+    own = np.frombuffer(b"".join(x.column("profile").to_pylist()), np.float32).reshape(-1, GROUPS)
+    other = np.frombuffer(b"".join(y.column("profile").to_pylist()), np.float32).reshape(-1, GROUPS)
+    members, labels, far, weights = (column(y, c) for c in ("member", "label", "distance", "weight"))
+    settled, pairs = column(y, "settled").astype(bool), []
+    for k, (member, label, distance, weight) in enumerate(
+        zip(*(column(x, c) for c in ("member", "label", "distance", "weight")), strict=True)
+    ):
+        left = (labels != label) & (settled | (members > member)) & (np.abs(far - distance) <= 1 - similarity + 1e-6)
+        left = np.flatnonzero(left)
+        common = np.minimum(own[k], other[left]).sum(1, dtype=np.float64)  # as much as both can have in common
+        good = common * (1 + 1e-5) >= similarity * (weight + weights[left] - common)
+        pairs += [(member, m) for m in members[left[good]]]
+    kind = x.schema.field("member").type
+    return pa.table({"a": pa.array([a for a, _ in pairs], kind), "b": pa.array([b for _, b in pairs], kind)})
+
+
 # --- classes -------------------------------------------------------------------------------
 
 
@@ -243,9 +292,8 @@ def near_duplicates(
     Links are searched in buckets of equal bands. In each bucket the member that meets most others
     is the pivot, and all are verified against it: as many pairs as members. Members that are in
     another component than their pivot afterwards are then verified against all members of the
-    bucket in other components than their own, but for those that cannot be similar: 1 - similarity
-    is a distance, so two members whose distances from the pivot differ by more than
-    ``1 - similarity`` are further apart than that. Nothing is capped or sampled.
+    pivot in other components than their own, but for those that two bounds prove not to be
+    similar (:func:`unsettled`). Nothing is capped or sampled.
 
     Returned is one row per id: rows that repeat an id are one document, and of its texts the one
     with the smallest hash counts. Rows with a NULL id are not returned, for no class could name
@@ -276,7 +324,8 @@ def near_duplicates(
     links = checked.where(F.col("similarity") >= similarity).select("a", "b")
     labels = components(links)
 
-    again = stored(unsettled(starred, checked, labels, similarity), "unsettled")
+    profiles = lambda wanted: profiled(wanted, docs, members, doc, text, idf)
+    again = stored(unsettled(starred, checked, labels, similarity, profiles), "unsettled")
     if not again.isEmpty():
         more = verified(again, docs, members, doc, text, idf)
         labels = components(links.union(more.where(F.col("similarity") >= similarity).select("a", "b")))
@@ -291,9 +340,17 @@ def near_duplicates(
     return found.select(F.col("doc").alias(doc), F.coalesce("class_id", "doc").alias("class_id"))
 
 
-def unsettled(starred: DataFrame, checked: DataFrame, labels: DataFrame, similarity: float) -> DataFrame:
-    """Pairs ``a, b`` that still have to be verified: members of one bucket in different components
-    of which one is not in the pivot's, unless the distances from the pivot rule a link out."""
+def unsettled(
+    starred: DataFrame, checked: DataFrame, labels: DataFrame, similarity: float, profiles: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """Pairs ``a, b`` that still have to be verified: members with one pivot in different components,
+    of which one is not in the pivot's, unless a bound rules a link out.
+
+    Two bounds do so: 1 - similarity is a distance, so distances from the pivot may not differ by
+    more; and two texts have in common at most what both have in each group of shingles. Members of
+    a pivot are compared in blocks, each with each, and only pairs that may be similar leave a
+    block: as a rule next to none.
+    """
     of_b = labels.select(F.col("node").alias("b"), F.col("label").alias("label"))
     of_a = labels.select(F.col("node").alias("a"), F.col("label").alias("pivot_label"))
     tagged = checked.join(of_b, "b", "left").join(of_a, "a", "left").select(
@@ -301,14 +358,24 @@ def unsettled(starred: DataFrame, checked: DataFrame, labels: DataFrame, similar
         F.col("b").alias("member"),
         (1 - F.col("similarity")).alias("distance"),
         F.coalesce("label", "b").alias("label"),
-        F.coalesce("pivot_label", "a").alias("pivot_label"),
+        (F.coalesce("label", "b") == F.coalesce("pivot_label", "a")).alias("settled"),
+    )
+    tagged = stored(tagged, "tagged")
+    blocks = tagged.groupBy("pivot").agg(
+        F.ceil(F.count(F.when(~F.col("settled"), 1)) / BLOCK).cast("int").alias("n_x"),
+        F.ceil(F.count("*") / BLOCK).cast("int").alias("n_y"),
+        F.count("*").alias("n"),
     )
-    tagged = tagged.withColumn("settled", F.col("label") == F.col("pivot_label"))
-    placed = starred.join(tagged, ["pivot", "member"])
-    x = placed.where(~F.col("settled")).alias("x")
-    y = placed.alias("y")
-    near = F.abs(F.col("x.distance") - F.col("y.distance")) <= (1 - similarity) + 1e-6
-    once = F.col("y.settled") | (F.col("x.member") < F.col("y.member"))
-    same = (F.col("x.band") == F.col("y.band")) & (F.col("x.key") == F.col("y.key"))
-    pairs = x.join(y, same & (F.col("x.label") != F.col("y.label")) & near & once)
-    return pairs.select(F.col("x.member").alias("a"), F.col("y.member").alias("b")).distinct()
+    blocks = stored(blocks.where("n_x > 0 and n > 1"), "blocks")
+    placed = join_counted(tagged, blocks, ["pivot"], "n", [F.col("member")])
+    if placed.isEmpty():
+        return checked.select("a", "b").limit(0)
+    full = stored(placed.join(profiles(placed.select("member")), "member"), "placed")
+    block = lambda n: F.pmod(F.xxhash64("member"), F.col(n)).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    x = full.where(~F.col("settled")).withColumn("bx", block("n_x")).withColumn("by", each("n_y"))
+    y = full.withColumn("by", block("n_y")).withColumn("bx", each("n_x"))
+    keys = ["pivot", "bx", "by"]
+    kind = checked.schema["a"].dataType.simpleString()
+    pairs = x.groupBy(*keys).cogroup(y.groupBy(*keys))
+    return pairs.applyInArrow(lambda a, b: possible_pairs(a, b, similarity), f"a {kind}, b {kind}").distinct()
