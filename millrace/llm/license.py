@@ -117,9 +117,11 @@ def scan_licenses(
     keyed = F.broadcast(notices.select("license", "cls", "size", "template", F.posexplode("minima").alias("band", "least")))
 
     read = with_shingles(docs, F.col(text), [F.col(doc).alias("doc")])
-    # filtered as a list of one, for Spark would compute a pushed filter's words anew for every shingle
+    # filtered as a list of one: Spark would push a plain filter down and compute the words anew for
+    # every shingle; the outer form keeps it from checking the list a second time
     among = F.array(*map(F.lit, known)).cast("array<bigint>")
-    read = read.select("doc", F.explode(F.filter(F.array("shingles"), lambda s: F.arrays_overlap(s, among))).alias("shingles"))
+    marked = F.explode_outer(F.filter(F.array("shingles"), lambda s: F.arrays_overlap(s, among)))
+    read = read.select("doc", marked.alias("shingles")).where("shingles is not null")
     halves = F.array(*[F.struct(F.lit(c).alias("cls"), F.lit(1 << c).alias("half")) for c in sorted(classes)])
     sized = read.select("doc", "shingles", F.inline(halves))
     begin = F.explode(F.sequence(F.lit(0), F.size("shingles") - 1, F.col("half"))).alias("begin")
