@@ -16,8 +16,8 @@ from dataclasses import dataclass
 
 import ahocorasick
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -28,8 +28,9 @@ UNKNOWN_PENALTY = 10.0  # an unknown character scores this much below the worst
 
 # A model is broadcast, so its size is bounded; what a task remembers is bounded too.
 MAX_MODEL_PIECES = 1 << 20
-REMEMBERED_CHUNKS = 250_000
-REMEMBERED_PAIRS = 500_000
+REMEMBERED_CHUNKS = 200_000
+REMEMBERED_PAIRS = 300_000
+SLICE = 2 << 20
 REMEMBERED_LENGTH = 64
 
 
@@ -266,6 +267,17 @@ def remembered(kind: type, model: Model) -> Encoder | Decoder:
     return _made[model.key, kind]
 
 
+def slices(rows: pa.Array, sizes: pa.Array) -> Iterator[pa.Array]:
+    """Runs of rows with about ``SLICE`` bytes or ids, which bounds what a task builds at a time."""
+    ends = np.cumsum(pc.fill_null(sizes, 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    at = 0
+    while at < len(rows):
+        before = ends[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(ends, before + SLICE, "right")))
+        yield rows.slice(at, end - at)
+        at = end
+
+
 def encode(docs: DataFrame, text: str = "text", model: str = MODEL, out: str = "ids") -> DataFrame:
     """Add the piece ids of each text as ``out`` (array<int>). No shuffle.
 
@@ -278,10 +290,11 @@ def encode(docs: DataFrame, text: str = "text", model: str = MODEL, out: str = "
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = remembered(Encoder, shared.value)
         for texts in batches:
-            encoded = [encoder.encode(value) for value in texts.to_pylist()]
-            ends = np.cumsum([0, *(len(e) // 4 for e in encoded)], dtype=np.int32)
-            values = pa.array(np.frombuffer(b"".join(encoded), np.int32))
-            yield pa.ListArray.from_arrays(pa.array(ends), values, mask=texts.is_null())
+            for part in slices(texts, pc.binary_length(texts)):
+                encoded = [encoder.encode(value) for value in part.to_pylist()]
+                ends = np.cumsum([0, *(len(e) // 4 for e in encoded)], dtype=np.int32)
+                values = pa.array(np.frombuffer(b"".join(encoded), np.int32))
+                yield pa.ListArray.from_arrays(pa.array(ends), values, mask=part.is_null())
 
     encoded = F.arrow_udf(ids, "array<int>", F.ArrowUDFType.SCALAR_ITER)(F.col(text))
     return docs.withColumn(out, encoded)
@@ -297,10 +310,16 @@ def decode(rows: DataFrame, ids: str = "ids", model: str = MODEL, out: str = "de
     """
     shared = rows.sparkSession.sparkContext.broadcast(read_model(model))
 
-    def texts(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def texts(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         decoder = remembered(Decoder, shared.value)
         for lists in batches:
-            yield pd.Series([None if v is None else decoder.decode(v) for v in lists], dtype=object)
+            for part in slices(lists, pc.list_value_length(lists)):
+                ends, flat = part.offsets.to_numpy(), part.values.to_numpy()
+                known = part.is_valid().to_numpy(zero_copy_only=False)
+                yield pa.array(
+                    [decoder.decode(flat[i:j].tolist()) if k else None for i, j, k in zip(ends, ends[1:], known, strict=False)],
+                    pa.string(),
+                )
 
     given = F.filter(F.col(ids), lambda i: i.isNotNull())
-    return rows.withColumn(out, F.pandas_udf(texts, "string", F.PandasUDFType.SCALAR_ITER)(given))
+    return rows.withColumn(out, F.arrow_udf(texts, "string", F.ArrowUDFType.SCALAR_ITER)(given))
