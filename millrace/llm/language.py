@@ -100,7 +100,8 @@ def ridge(rows: np.ndarray, langs: np.ndarray, landmarks: int = LANDMARKS, penal
     values, vectors = np.linalg.eigh(kernel(chosen, chosen).astype(np.float64))
     good = values > 1e-6 * values.max()
     root = vectors[:, good] / np.sqrt(values[good])
-    features = kernel(rows, chosen).astype(np.float64) @ root
+    blocks = [kernel(rows[at : at + SCORE_TEXTS], chosen) for at in range(0, len(rows), SCORE_TEXTS)]
+    features = np.concatenate(blocks).astype(np.float64) @ root
     target = np.where(langs[:, None] == np.array(languages, object)[None, :], 1.0, -1.0)
     # every language weighs the same, however many of its texts are there
     share = np.array([1.0 / (langs == lang).sum() for lang in langs]) * len(langs) / len(languages)
