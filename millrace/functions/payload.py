@@ -219,9 +219,17 @@ def encode_payload(
     encoder: Column,
     definitions: Column | Definitions,
     custom: Mapping[str, Encoder] | None = None,
+    decoder: Column | None = None,
 ) -> Column:
-    """Output line by encoder name. ``default`` and unknown names give the original payload."""
+    """Output line by encoder name. ``default`` and unknown names give the original payload.
+
+    ``json`` keeps the document of a JSON payload. A record that another ``decoder`` made is
+    written out as a JSON object, nested JSON text as text.
+    """
     line = value.cast("string")
+    if decoder is not None and "json" not in (custom or {}):
+        of_record = F.when(decoder == "json", ENCODERS["json"](value, record, definitions)).otherwise(F.to_json(record))
+        custom = {"json": lambda *_: of_record, **(custom or {})}
     for name, function in {**ENCODERS, **(custom or {})}.items():
         line = F.when(encoder == name, function(value, record, definitions)).otherwise(line)
     return line

@@ -25,6 +25,11 @@ BYTE_MARK = 3
 # --- listings and progress ---------------------------------------------------------------
 
 
+def _on(left: DataFrame, right: DataFrame) -> list[str]:
+    """Files are told apart by name space and path, where both tables have a name space."""
+    return [c for c in ("ns", "file") if c in left.columns and c in right.columns]
+
+
 def filter_files(listing: DataFrame, wanted: Callable[[Column], Column], path: str = "path") -> DataFrame:
     return listing.where(wanted(F.col(path)))
 
@@ -34,15 +39,18 @@ def sent_size(progress: DataFrame, listing: DataFrame | None = None) -> DataFram
     sent = progress.groupBy("ns", "file").agg(F.sum("delta").cast("bigint").alias("sent_size"))
     if listing is None:
         return sent
-    sizes = listing.select("file", "size")
+    on = _on(sent, listing)
     capped = F.least("sent_size", "size")  # least leaves out a NULL size
-    return sent.join(sizes, "file", "left").select("ns", "file", capped.alias("sent_size"))
+    return sent.join(listing.select(*on, "size"), on, "left").select("ns", "file", capped.alias("sent_size"))
 
 
 def file_progress(listing: DataFrame, positions: DataFrame) -> DataFrame:
-    """The listing with the recorded position of each file, 0 where there is none."""
-    known = positions.select("file", "sent_size")
-    return listing.join(known, "file", "left").withColumn("sent_size", F.coalesce("sent_size", F.lit(0)))
+    """The listing with the recorded position of each file, 0 where there is none.
+
+    A listing without ``ns`` is of one name space, and so have the positions to be.
+    """
+    on = _on(listing, positions)
+    return listing.join(positions.select(*on, "sent_size"), on, "left").withColumn("sent_size", F.coalesce("sent_size", F.lit(0)))
 
 
 def not_done_files(progress: DataFrame) -> DataFrame:
@@ -103,15 +111,16 @@ def line_offsets(lines: DataFrame) -> DataFrame:
     return _with_end(running_totals(lines, ["file"], ["seq"], F.col("block"), _measures(), totals))
 
 
-def read_new_lines(lines: DataFrame, positions: DataFrame) -> DataFrame:
-    """Lines at or after the recorded position of their file.
+def read_new_lines(lines: DataFrame, positions: DataFrame, closed: bool = False) -> DataFrame:
+    """Whole lines at or after the recorded position of their file.
 
-    Parts of a file that lie wholly before the position are dropped before any line moves.
+    Parts of a file that lie wholly before the position are dropped before any line moves. A last
+    line without newline may still grow: it is held back, and read whole once its newline is
+    there. ``closed`` files grow no more, and their last line is read as it is.
     """
-    known = positions.select("file", "sent_size")
     open_parts = (
         line_totals(lines)
-        .join(known, "file", "left")
+        .join(positions.select("file", "sent_size"), "file", "left")
         .withColumn("sent_size", F.coalesce("sent_size", F.lit(0)))
         .where("start_before + start > sent_size")
         .select("file", "_block", "sent_size", "start_before", "line_no_before")
@@ -119,6 +128,8 @@ def read_new_lines(lines: DataFrame, positions: DataFrame) -> DataFrame:
     # file and part are unique together, so this join has no heavy key
     unread = lines.withColumn("_block", F.col("block")).join(open_parts, ["file", "_block"])
     placed = running_from(unread, ["file"], ["seq"], _measures())
+    if "file_size" in lines.columns and not closed:
+        placed = placed.where("start + bytes <= file_size")
     return _with_end(placed).where("start >= sent_size").drop("sent_size")
 
 
@@ -184,7 +195,8 @@ def tracked_ranges(state: DataFrame) -> DataFrame:
 def recoverable_ranges(tracked: DataFrame, listing: DataFrame) -> DataFrame:
     """Ranges left in ``run`` whose file is still there, to be read before anything new."""
     left = tracked.where(F.col("status") == RUN)
-    return lookup_join(left, listing.select("file"), ["file"], "left_semi", ["start", "end"])
+    on = _on(left, listing)
+    return lookup_join(left, listing.select(*on), on, "left_semi", ["start", "end"])
 
 
 def ranges_by_file(ranges: DataFrame, cell: int = RANGE_CELL) -> DataFrame:
@@ -200,8 +212,9 @@ def ranges_by_file(ranges: DataFrame, cell: int = RANGE_CELL) -> DataFrame:
 
 def deletable_files(progress: DataFrame, tracked: DataFrame) -> DataFrame:
     """Files that are fully sent, have a ``done`` range and none left in ``run``."""
-    seen = tracked.groupBy("file").agg(
+    on = _on(progress, tracked)
+    seen = tracked.groupBy(*on).agg(
         F.max(F.col("status") == RUN).alias("_open"), F.max(F.col("status") == DONE).alias("_closed")
     )
-    finished = seen.where("_closed and not _open").select("file")
-    return done_files(progress).join(finished, "file", "left_semi")
+    finished = seen.where("_closed and not _open").select(*on)
+    return done_files(progress).join(finished, on, "left_semi")

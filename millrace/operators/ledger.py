@@ -21,16 +21,16 @@ STATE = ("dsid", "status", "ts")
 EVENT = (*STATE, "at")
 
 
+def last_events(events: DataFrame) -> DataFrame:
+    """The last change of every unit. Of changes at the same instant a removal counts most, then done."""
+    rank = F.struct("at", F.col("status").isNull().alias("gone"), (F.col("status") == DONE).alias("done"), "ts")
+    newest = F.max_by(F.struct("status", "ts", "at"), rank)
+    return events.groupBy("dsid").agg(newest.alias("_last")).select("dsid", "_last.*")
+
+
 def latest_state(events: DataFrame) -> DataFrame:
-    """Status and time of every unit after its last change; at the same instant done wins."""
-    newest = F.max_by(
-        F.struct("status", "ts"), F.struct("at", (F.col("status") == DONE).alias("done"), "ts")
-    )
-    return (
-        events.groupBy("dsid").agg(newest.alias("_last"))
-        .select("dsid", F.col("_last.status").alias("status"), F.col("_last.ts").alias("ts"))
-        .where(F.col("status").isNotNull())
-    )
+    """Status and time of every unit after its last change; removed units have none."""
+    return last_events(events).where(F.col("status").isNotNull()).select(*STATE)
 
 
 # --- reading -----------------------------------------------------------------------------
@@ -126,7 +126,7 @@ def mark_done(state: DataFrame, units: DataFrame, at: Column, strict: bool = Fal
     found = wanted.join(state, "dsid", "left" if strict else "inner")
     running = F.coalesce(F.col("status") == RUN, F.lit(False))
     if strict:
-        bad = F.raise_error(F.concat(F.lit("the tracking state is not valid for "), F.col("dsid")))
+        bad = F.raise_error(F.concat(F.lit("cannot be marked done, it is not in run: "), F.col("dsid")))
         running = F.when(running, True).otherwise(bad.cast("boolean"))
     return found.where(running).select("dsid", F.lit(DONE).alias("status"), "ts", at.alias("at"))
 
@@ -205,6 +205,20 @@ class LedgerTable:
             return self.spark.createDataFrame([], self.SCHEMA)
         return self.spark.read.schema(self.SCHEMA).parquet(*paths)
 
+    def _batch_folders(self, batch: str) -> list[str]:
+        return [f.getParent().toString() for f in self._glob(f"v=*/batch={batch}/_SUCCESS")]
+
+    def has(self, batch: str) -> bool:
+        """Whether a batch was written, in this version or before a compaction."""
+        return bool(self._batch_folders(batch))
+
+    def batch(self, batch: str) -> DataFrame:
+        """The events of one batch."""
+        folders = self._batch_folders(batch)
+        if not folders:
+            return self.spark.createDataFrame([], self.SCHEMA)
+        return self.spark.read.schema(self.SCHEMA).parquet(*folders)
+
     def state(self, without: str | None = None) -> DataFrame:
         return latest_state(self.events(without))
 
@@ -214,13 +228,14 @@ class LedgerTable:
     def mark_done(self, units: DataFrame, at: Column, batch: str) -> None:
         self.append(mark_done(self.state(batch), units, at), batch)
 
-    def _next_version(self, state: DataFrame) -> None:
-        live = state.select(*STATE, F.col("ts").alias("at"))
-        live.write.mode("overwrite").parquet(f"{self.path}/v={self._version() + 1}/batch=base")
+    def _next_version(self, keep: Column) -> None:
+        """The last change of every unit that is kept, with its moment, as the next version."""
+        live = last_events(self.events()).where(F.col("status").isNotNull() & keep)
+        live.select(*EVENT).write.mode("overwrite").parquet(f"{self.path}/v={self._version() + 1}/batch=base")
 
     def compact(self) -> None:
-        """Start a version that holds the state in place of its events."""
-        self._next_version(self.state())
+        """Start a version that holds the last event of every unit in place of all its events."""
+        self._next_version(F.lit(True))
 
     def expire(self, cutoff: Column) -> None:
-        self._next_version(expire(self.state(), cutoff))
+        self._next_version(F.col("ts") > cutoff)

@@ -33,10 +33,20 @@ def with_settings(messages: DataFrame, resolved: DataFrame, spread: Sequence[str
     return joined
 
 
+def computed(rows: DataFrame, value: Column, name: str) -> DataFrame:
+    """Rows with a costly column that is computed once, whatever is filtered or selected by it later.
+
+    Catalyst moves a filter below a projection by repeating the projected expression in it; it
+    does not move one below the list of one element that this makes.
+    """
+    kept = [c for c in rows.columns if c != name]
+    return rows.select(*kept, F.explode_outer(F.array(value)).alias(name))
+
+
 def decode_messages(messages: DataFrame, custom: Mapping[str, Decoder] | None = None) -> DataFrame:
     """Add ``record`` and ``failed`` by the ``decoder`` column."""
     value, decoder = F.col("value"), F.col("decoder")
-    decoded = messages.withColumn("record", decode_payload(value, decoder, custom))
+    decoded = computed(messages, decode_payload(value, decoder, custom), "record")
     return decoded.withColumn("failed", decode_failed(value, F.col("record"), decoder, custom))
 
 
@@ -60,13 +70,12 @@ def key_and_encode(
     """Add ``ts_ms``, the hour ``key`` and the output ``line``."""
     ts_ms = event_time(F.col("record"), F.col("time_parser"), now_ms, time_path, time_parsers)
     timed = good.withColumn("ts_ms", ts_ms)
-    return timed.select(
-        *[c for c in timed.columns if c not in ("record", "failed", "layout")],
-        hour_key(F.col("topic"), F.col("ts_ms")).alias("key"),
-        encode_payload(
-            F.col("value"), F.col("record"), F.col("encoder"), F.col("layout"), encoders
-        ).alias("line"),
+    line = encode_payload(
+        F.col("value"), F.col("record"), F.col("encoder"), F.col("layout"), encoders, F.col("decoder")
     )
+    encoded = computed(timed, line, "line").withColumn("key", hour_key(F.col("topic"), F.col("ts_ms")))
+    kept = [c for c in timed.columns if c not in ("record", "failed", "layout", "key", "line")]
+    return encoded.select(*kept, "key", "line")
 
 
 def process_messages(

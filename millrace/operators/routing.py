@@ -16,6 +16,11 @@ def route(messages: DataFrame, routes: DataFrame, spread: Sequence[str] = SPREAD
     return lookup_join(messages, routes, ["topic"], "inner", spread)
 
 
+def route_all(messages: DataFrame, routes: DataFrame, spread: Sequence[str] = SPREAD) -> DataFrame:
+    """As :func:`route`, and messages without a route with a NULL ``processor``."""
+    return lookup_join(messages, routes, ["topic"], "left", spread)
+
+
 def unroutable(messages: DataFrame, routes: DataFrame, spread: Sequence[str] = SPREAD) -> DataFrame:
     """Messages whose topic no processor takes."""
     return lookup_join(messages, routes.select("topic"), ["topic"], "left_anti", spread)

@@ -15,6 +15,7 @@ from millrace.plans.inputs import (
     increments,
     lines,
     listing,
+    listing_of_both,
 )
 from millrace.plans.registry import query, table
 
@@ -24,7 +25,7 @@ def positions(spark, sf_dir) -> DataFrame:
 
 
 def progress(spark, sf_dir) -> DataFrame:
-    return ops.file_progress(listing(spark, sf_dir), positions(spark, sf_dir))
+    return ops.file_progress(listing_of_both(spark, sf_dir), positions(spark, sf_dir))
 
 
 def placed(spark, sf_dir) -> DataFrame:
@@ -45,7 +46,8 @@ def tracked(spark, sf_dir) -> DataFrame:
 
 
 def left_ranges(spark, sf_dir) -> DataFrame:
-    return ops.recoverable_ranges(tracked(spark, sf_dir), listing(spark, sf_dir)).select("file", "start", "end")
+    there = listing_of_both(spark, sf_dir).where((F.col("ns") != NS) | ~F.col("file").endswith("8"))
+    return ops.recoverable_ranges(tracked(spark, sf_dir), there).select("file", "start", "end")
 
 
 @query(ON_LINES + 'SELECT file, line_no, start, "end", value FROM lines')
@@ -57,13 +59,13 @@ def line_offsets(spark, sf_dir):
 SELECT l.file, l.start, l."end", l.value FROM lines l JOIN progress p USING (file) WHERE l.start >= p.sent_size
 """)
 def read_new_lines(spark, sf_dir):
-    new = ops.read_new_lines(lines(spark, sf_dir), positions(spark, sf_dir))
+    new = ops.read_new_lines(lines(spark, sf_dir), positions(spark, sf_dir), closed=True)
     return new.select("file", "start", "end", "value")
 
 
 @query(ON_RANGES + """
 SELECT r.file, r.start AS range_start, r."end" AS range_end, l.start, l."end", l.value
-FROM ranges r JOIN lines l ON l.file = r.file AND l.start >= r.start AND l."end" <= r."end" WHERE r.status = 'run'
+FROM ranges r JOIN lines l ON l.file = r.file AND l.start >= r.start AND l."end" <= r."end" WHERE r.status = 'run' AND NOT r.file LIKE '%8'
 """)
 def read_ranges(spark, sf_dir):
     found = ops.read_ranges(placed(spark, sf_dir), left_ranges(spark, sf_dir), cell=4096)
@@ -91,22 +93,22 @@ def sent_size(spark, sf_dir):
     return positions(spark, sf_dir)
 
 
-@query(ON_PROGRESS + "SELECT file, size, sent_size FROM progress")
+@query(ON_PROGRESS + "SELECT ns, file, size, sent_size FROM spaces")
 def file_progress(spark, sf_dir):
-    return progress(spark, sf_dir).select("file", "size", "sent_size")
+    return progress(spark, sf_dir).select("ns", "file", "size", "sent_size")
 
 
-@query(ON_PROGRESS + "SELECT file, size, sent_size FROM progress WHERE sent_size >= size")
+@query(ON_PROGRESS + "SELECT ns, file, size, sent_size FROM spaces WHERE sent_size >= size")
 def done_files(spark, sf_dir):
-    return ops.done_files(progress(spark, sf_dir)).select("file", "size", "sent_size")
+    return ops.done_files(progress(spark, sf_dir)).select("ns", "file", "size", "sent_size")
 
 
-@query(ON_PROGRESS + "SELECT file, size, sent_size FROM progress WHERE sent_size <> size")
+@query(ON_PROGRESS + "SELECT ns, file, size, sent_size FROM spaces WHERE sent_size <> size")
 def not_done_files(spark, sf_dir):
-    return ops.not_done_files(progress(spark, sf_dir)).select("file", "size", "sent_size")
+    return ops.not_done_files(progress(spark, sf_dir)).select("ns", "file", "size", "sent_size")
 
 
-@query(ON_RANGES + """SELECT file, start, "end" FROM ranges WHERE status = 'run'""")
+@query(ON_RANGES + """SELECT file, start, "end" FROM ranges WHERE status = 'run' AND NOT file LIKE '%8'""")
 def recoverable_ranges(spark, sf_dir):
     return left_ranges(spark, sf_dir)
 
@@ -114,7 +116,7 @@ def recoverable_ranges(spark, sf_dir):
 @query(ON_RANGES + """
 SELECT file, start // 4096 AS part, count(*) AS n, min(start) AS start, max("end") AS "end",
   string_agg(start || '-' || "end", ',' ORDER BY start) AS ranges
-FROM ranges WHERE status = 'run' GROUP BY file, start // 4096
+FROM ranges WHERE status = 'run' AND NOT file LIKE '%8' GROUP BY file, start // 4096
 """)
 def ranges_by_file(spark, sf_dir):
     grouped = ops.ranges_by_file(left_ranges(spark, sf_dir), cell=4096)
@@ -123,16 +125,16 @@ def ranges_by_file(spark, sf_dir):
 
 
 @query(ON_RANGES + """
-SELECT file, size FROM progress WHERE sent_size >= size
+SELECT ns, file, size FROM spaces WHERE sent_size >= size AND ns = 'documents'
   AND file IN (SELECT file FROM ranges WHERE status = 'done') AND file NOT IN (SELECT file FROM ranges WHERE status = 'run')
 """)
 def deletable_files(spark, sf_dir):
-    return ops.deletable_files(progress(spark, sf_dir), tracked(spark, sf_dir)).select("file", "size")
+    return ops.deletable_files(progress(spark, sf_dir), tracked(spark, sf_dir)).select("ns", "file", "size")
 
 
 @query(ON_RANGES + """
-SELECT file FROM progress WHERE sent_size <> size AND NOT file LIKE '%9'
-UNION SELECT file FROM ranges WHERE status = 'run'
+SELECT file FROM spaces WHERE sent_size <> size AND NOT file LIKE '%9'
+UNION SELECT file FROM ranges WHERE status = 'run' AND NOT file LIKE '%8'
 """)
 def merge_distinct(spark, sf_dir):
     wanted = lambda file: ~file.endswith("9")

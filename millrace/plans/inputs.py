@@ -189,6 +189,10 @@ progress AS (
   SELECT file, doc_id, size, CASE doc_id % 3 WHEN 0 THEN size // 2 WHEN 1 THEN size ELSE 0 END AS sent_size
   FROM listing)
 """
+SPACES = """
+spaces AS (
+  SELECT 'documents' AS ns, file, size, sent_size FROM progress UNION ALL SELECT 'archive', file, size, 0 FROM progress)
+"""
 RANGES = """
 ranges AS (
   SELECT *, CASE WHEN doc_id % 4 = 0 AND batch % 2 = 0 THEN 'run' ELSE 'done' END AS status
@@ -198,8 +202,8 @@ ranges AS (
     FROM lines GROUP BY file, doc_id, line_no // 20))
 """
 ON_LINES = with_ctes(LINES)
-ON_PROGRESS = with_ctes(LINES, PROGRESS)
-ON_RANGES = with_ctes(LINES, PROGRESS, RANGES)
+ON_PROGRESS = with_ctes(LINES, PROGRESS, SPACES)
+ON_RANGES = with_ctes(LINES, PROGRESS, SPACES, RANGES)
 
 BATCH_LINES = 20
 NS = "documents"
@@ -225,6 +229,12 @@ def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def listing_of_both(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same files in two name spaces; only of one are positions and ranges known."""
+    spaces = F.explode(F.array(F.lit(NS), F.lit("archive"))).alias("ns")
+    return listing(spark, sf_dir).select(spaces, "file", "size")
+
+
 def increments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What was read of each file so far, in two steps."""
     size, third = F.col("size"), F.col("doc_id") % 3

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import pandas as pd
+from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.functions.timekeys import hour_text
-from millrace.operators import meters
-from millrace.operators.ledger import LedgerTable
+from millrace.operators import meters, processing
+from millrace.operators.ledger import LedgerTable, deserialized, replay_run
 from millrace.plans.inputs import (
     LINES,
     MESSAGES,
@@ -56,10 +58,20 @@ def read_lines(spark, sf_dir):
     return line_source.read_lines(spark, written_lines(spark, sf_dir))
 
 
-@query()
+@query("""
+SELECT lang, CAST(sum(strlen(text) + 1) AS BIGINT) AS size FROM documents WHERE text IS NOT NULL GROUP BY lang
+UNION ALL SELECT 'none', 0
+""")
 def list_files(spark, sf_dir):
-    found = line_source.list_files(spark, sf_dir, "*.parquet")
-    return found.select(imports.file_name(F.col("path")).alias("name"), "size")
+    """Documents as text files by language, and an empty file: sizes of the listed files by folder."""
+    folder = new_folder(spark, "listed")
+    docs = table(spark, sf_dir, "documents").where("text is not null")
+    docs.select(F.col("text").alias("value"), "lang").write.partitionBy("lang").text(folder)
+    empty = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/lang=none/empty.txt")
+    empty.getFileSystem(spark._jsc.hadoopConfiguration()).create(empty).close()
+    found = line_source.list_files(spark, f"{folder}/lang=*", "*.txt")
+    lang = F.regexp_extract("path", "lang=([^/]+)/", 1).alias("lang")
+    return found.groupBy(lang).agg(F.sum("size").alias("size"))
 
 
 @query(ON_MESSAGES + "SELECT value FROM messages WHERE value IS NOT NULL")
@@ -82,60 +94,99 @@ def write_hourly(spark, sf_dir):
 
 # --- landed files to the dated tree --------------------------------------------------------
 
-LANDED = with_ctes(MESSAGES) + """
-SELECT 'log' AS type, strftime(make_timestamp(ts_ms * 1000), '%Y%m%d') AS dt,
-  strftime(make_timestamp(ts_ms * 1000), '%Y%m%d%H') AS hr,
-  'host-a-log_1_hr_' || strftime(make_timestamp(ts_ms * 1000), '%Y%m%d%H') AS src, value
-FROM messages WHERE value IS NOT NULL
+def landed_sql(name: str, directory: str) -> str:
+    """Rows of the dated tree: files of a topic and day each, named by a file model after its first hour."""
+    return with_ctes(MESSAGES) + f"""
+SELECT type, {directory}, 'host-a-' || {name} AS src, value
+FROM (SELECT *, topic AS type, strftime(t, '%Y%m%d%H') AS hour FROM (SELECT *, date_trunc('day', make_timestamp(ts_ms * 1000)) AS t FROM messages))
+WHERE value IS NOT NULL
 """
 
 
+FLAT = "strftime(t, '%Y%m%d') AS dt, hour AS hr"
+NESTED = "strftime(t, '%Y') AS year, strftime(t, '%m') AS month, strftime(t, '%d') AS day, strftime(t, '%H') AS hour"
+BY_DAY = "strftime(t, '%Y%m%d') AS day"
+
+
 def folder_name(path):
     """The name of a landed file whose lines are in one folder ``name=<file name>``."""
     return F.regexp_extract(path, r"name=([^/]+)/", 1)
 
 
-def landed_files(spark: SparkSession, sf_dir: str) -> tuple[str, LedgerTable]:
-    """Messages as landed files of one hour each, every file tracked in ``run``."""
+def landed_files(spark: SparkSession, sf_dir: str, name) -> tuple[str, LedgerTable]:
+    """Messages as landed files of one topic and day each, every file tracked in ``run``."""
     folder = new_folder(spark, "landed")
     rows = messages(spark, sf_dir).where("value is not null")
-    named = rows.select("value", F.concat(F.lit("log_1_hr_"), hour_text(F.col("ts_ms"))).alias("name"))
+    named = rows.select("value", name(F.col("topic"), F.date_trunc("day", F.timestamp_millis("ts_ms"))).alias("name"))
     text.clustered(named, ["name"]).write.partitionBy("name").text(folder)
     tracked = LedgerTable(spark, new_folder(spark, "ledger"))
     files = line_source.list_files(spark, f"{folder}/name=*", "*.txt")
     tracked.mark_run(files.select(F.lit("rolled").alias("ds"), F.col("path").alias("id")), instant(), "run-0")
-    return folder, tracked
+    return f"{folder}/name=*", tracked
 
 
-def running_units(tracked: LedgerTable) -> DataFrame:
-    from millrace.operators.ledger import replay_run
+def model_1(topic, ts):
+    return F.concat(topic, F.lit("_1_hr_"), F.date_format(ts, "yyyyMMddHH"))
+
+
+def model_2(topic, ts):
+    return F.concat(topic, F.lit("_"), F.date_format(ts, "yyyy-MM-dd-HH"), F.lit(".gz"))
 
+
+def own_name(topic, ts):
+    return F.concat(F.date_format(ts, "yyyyMMddHH"), F.lit("+"), topic)
+
+
+def own_parser(name):
+    parts = F.split(name, r"\+")
+    return F.struct(parts[1].alias("type"), F.lit("1").alias("id"), parts[0].alias("date_hour"))
+
+
+def running_units(tracked: LedgerTable) -> DataFrame:
     return replay_run(tracked.state(), "rolled").select("ds", F.col("ids").alias("id"))
 
 
-def imported(spark: SparkSession, out: str) -> DataFrame:
-    tree = "value string, type string, dt string, hr string, src string"
-    return spark.read.schema(tree).option("basePath", out).text(f"{out}/batch=*").drop("batch")
+def imported(spark: SparkSession, out: str, keys: str) -> DataFrame:
+    columns = ["type", *keys.split(), "src"]
+    tree = ", ".join(f"{c} string" for c in ["value", *columns])
+    return spark.read.schema(tree).option("basePath", out).text(f"{out}/batch=*").select(*columns, "value")
 
 
-@query(LANDED)
+@query(landed_sql("type || '_1_hr_' || hour", FLAT))
 def import_files(spark, sf_dir):
-    landed, tracked = landed_files(spark, sf_dir)
+    landed, tracked = landed_files(spark, sf_dir, model_1)
     out = new_folder(spark, "imported")
+    units = running_units(tracked)
+    imports.import_files(spark, units, out, tracked, "0", HOST, instant(), landed=landed, name_of=folder_name)
+    return imported(spark, out, "dt hr")
+
+
+@query(landed_sql("hour || '+' || type", BY_DAY))
+def import_files_custom(spark, sf_dir):
+    """File and directory models of the user's own, and files deleted once they are done."""
+    landed, tracked = landed_files(spark, sf_dir, own_name)
+    out = new_folder(spark, "imported")
+    models = {
+        "file_model": 3, "file_models": {3: own_parser},
+        "dir_model": 3, "dir_models": {3: lambda hour: F.concat(F.lit("day="), F.left(hour, F.lit(8)))},
+    }
     imports.import_files(
-        spark, f"{landed}/name=*", running_units(tracked), out, tracked, "0", HOST, instant(), name_of=folder_name
-    )
-    return imported(spark, out)
+        spark, running_units(tracked), out, tracked, "0", HOST, instant(), landed=landed, delete=True,
+        name_of=folder_name, **models,
+    )
+    return imported(spark, out, "day")
 
 
-@query(LANDED)
+@query(landed_sql("type || '_' || strftime(t, '%Y-%m-%d-%H') || '.gz'", NESTED))
 def upload_stream(spark, sf_dir):
-    landed, tracked = landed_files(spark, sf_dir)
+    """File model 2 into directory model 2, one tick of the stream."""
+    landed, tracked = landed_files(spark, sf_dir, model_2)
     out, work = new_folder(spark, "imported"), new_folder(spark, "stream")
     jobs.upload_stream(
-        spark, f"{landed}/name=*", out, tracked, "rolled", HOST, work, at=instant(), every=None, name_of=folder_name
-    ).awaitTermination()
-    return imported(spark, out)
+        spark, landed, out, tracked, "rolled", HOST, work, at=instant(), every=None,
+        name_of=folder_name, file_model=2, dir_model=2,
+    ).awaitTermination()
+    return imported(spark, out, "year month day hour")
 
 
 # --- topics --------------------------------------------------------------------------------
@@ -160,91 +211,119 @@ def write_topics(spark, sf_dir):
 @query(ON_PROCESSED + """, per AS (
   SELECT topic, line_ms // 3600000 * 3600000 AS window_ms, count(*) AS n, sum(strlen(line)) AS bytes FROM processed GROUP BY 1, 2
   UNION ALL SELECT 'total', line_ms // 3600000 * 3600000, count(*), sum(strlen(line)) FROM processed GROUP BY 2)
-SELECT topic, window_ms, n, bytes FROM per
+SELECT topic, window_ms, n, bytes, n / 3600.0 AS n_per_sec, bytes / 3600.0 AS bytes_per_sec FROM per
 """)
 def throughput_report(spark, sf_dir):
     folder = new_folder(spark, "report")
     rates = meters.topic_throughput(processed(spark, sf_dir), window_ms=3_600_000)
-    text.write_report(rates.select("topic", "window_ms", "n", "bytes"), folder)
-    schema = "topic string, window_ms bigint, n bigint, bytes bigint"
+    text.write_report(rates, folder)
+    schema = "topic string, window_ms bigint, n bigint, bytes bigint, n_per_sec double, bytes_per_sec double"
     return spark.read.schema(schema).option("header", True).csv(folder)
 
 
 # --- streams -------------------------------------------------------------------------------
 
-# One topic for all, as the hours alone make enough folders here.
-ONE_TOPIC = with_ctes(MESSAGES) + """
-SELECT 'all' AS topic, strftime(make_timestamp(ts_ms * 1000), '%Y%m%d%H') AS hr, value FROM messages WHERE json_valid(value)
+HOURLY = ON_PROCESSED + """
+SELECT topic, strftime(make_timestamp(line_ms * 1000), '%Y%m%d%H') AS hr, line AS value FROM processed
+UNION ALL SELECT 'dead:' || topic, NULL, value FROM messages
+WHERE topic <> 'error' AND value IS NOT NULL AND NOT json_valid(value)
 """
 
 
-def one_topic(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    stream = topic_source.read_topic_files(spark, landed_topics(spark, sf_dir), RECORDS)
-    keyed = stream.withColumn("topic", F.lit("all")).drop("ts_ms")
-    chosen = settings(messages(spark, sf_dir).where("topic = 'purchase'")).withColumn("topic", F.lit("all"))
-    return keyed, chosen
+def topic_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topic_source.read_topic_files(spark, landed_topics(spark, sf_dir), RECORDS)
 
 
-def hours(spark: SparkSession, folder: str, below: str = "") -> DataFrame:
-    read = spark.read.schema(TREE).option("basePath", folder).text(f"{folder}{below}")
-    return read.select("topic", "hr", "value")
+def hours_and_letters(spark: SparkSession, folder: str) -> DataFrame:
+    """What was written by topic and hour, and the dead letters."""
+    read = spark.read.schema(TREE).option("basePath", folder).text(f"{folder}/batch=*")
+    dead = spark.read.parquet(f"{folder}.dead/batch=*")
+    letters = dead.select(F.concat(F.lit("dead:"), "topic").alias("topic"), F.lit(None).cast("string").alias("hr"), "value")
+    return read.select("topic", "hr", "value").unionByName(letters)
 
 
-@query(ONE_TOPIC)
+@query(HOURLY)
 def hourly_stream(spark, sf_dir):
-    stream, chosen = one_topic(spark, sf_dir)
+    """All topics with their own decoders, encoders and time parsers."""
+    chosen = settings(messages(spark, sf_dir))
     out, work = new_folder(spark, "hourly"), new_folder(spark, "stream")
-    jobs.hourly_stream(stream, chosen, out, work, F.lit(NOW_MS), every=None, salts=2).awaitTermination()
-    return hours(spark, out)
+    stream = topic_stream(spark, sf_dir).drop("ts_ms")
+    jobs.hourly_stream(stream, chosen, out, work, now_ms=F.lit(NOW_MS).cast("bigint"), every=None, salts=1).awaitTermination()
+    return hours_and_letters(spark, out)
 
 
-@query(ONE_TOPIC)
+@query(HOURLY)
 def refresh_settings(spark, sf_dir):
-    stream, chosen = one_topic(spark, sf_dir)
+    """As hourly_stream, with settings that are read from a table for every batch."""
     kept = new_folder(spark, "settings")
-    chosen.write.parquet(kept)
+    settings(messages(spark, sf_dir)).write.parquet(kept)
     out, work = new_folder(spark, "hourly"), new_folder(spark, "stream")
-    jobs.refresh_settings(
-        stream, lambda session: session.read.parquet(kept), out, work, F.lit(NOW_MS), every=None, salts=2
-    ).awaitTermination()
-    return hours(spark, out, "/batch=*")
+    stream = topic_stream(spark, sf_dir).drop("ts_ms")
+    load = lambda session: session.read.parquet(kept)
+    jobs.refresh_settings(stream, load, out, work, now_ms=F.lit(NOW_MS).cast("bigint"), every=None, salts=1).awaitTermination()
+    return hours_and_letters(spark, out)
 
 
-@query(with_ctes(MESSAGES) + """
-SELECT strftime(make_timestamp(ts_ms * 1000), '%Y%m%d%H') AS hr, 'run' AS status, count(*) AS n FROM messages WHERE value IS NOT NULL GROUP BY 1
+@query(ON_PROCESSED + """
+SELECT topic, strftime(make_timestamp(line_ms * 1000), '%Y%m%d%H') AS hr, 'run' AS status, count(*) AS n,
+  CAST(sum(strlen(line)) AS BIGINT) AS bytes
+FROM processed GROUP BY 1, 2
 """)
 def rolled_files(spark, sf_dir):
-    """Lines by hour in the files that the ledger has in run."""
-    stream = topic_source.read_topic_files(spark, landed_topics(spark, sf_dir), RECORDS)
-    lines = stream.select(F.lit("all").alias("topic"), "offset", "ts_ms", F.col("value").alias("line"))
+    """Encoded lines by topic and hour in the files that the ledger has in run."""
+    chosen = settings(messages(spark, sf_dir))
+    stream = topic_stream(spark, sf_dir).drop("ts_ms")
+    lines = processing.process_messages(stream, chosen, F.lit(NOW_MS).cast("bigint"))
     out, work = new_folder(spark, "rolled"), new_folder(spark, "stream")
     tracked = LedgerTable(spark, new_folder(spark, "ledger"))
-    jobs.rolled_files(lines, out, tracked, "rolled", work, instant(), every=None, salts=2).awaitTermination()
+    jobs.rolled_files(lines, out, tracked, "rolled", work, instant(), every=None, salts=1).awaitTermination()
     written = (
         spark.read.schema(TREE).option("basePath", out).text(f"{out}/batch=*")
-        .groupBy(F.col("_metadata.file_path").alias("ids"), "hr").agg(F.count("*").alias("n"))
+        .groupBy(F.col("_metadata.file_path").alias("ids"), "topic", "hr")
+        .agg(F.count("*").alias("n"), F.sum(F.octet_length("value")).alias("bytes"))
     )
-    from millrace.operators.ledger import deserialized
-
     files = written.join(deserialized(tracked.state()), "ids")
-    return files.groupBy("hr", "status").agg(F.sum("n").alias("n"))
+    return files.groupBy("topic", "hr", "status").agg(F.sum("n").alias("n"), F.sum("bytes").alias("bytes"))
+
+
+def grow(docs: DataFrame, folder: str, whole: bool, files: int = 16) -> None:
+    """Write documents into text files, or the even half of them and the beginning of one more."""
+
+    def write(batches):
+        system, base = fs.FileSystem.from_uri(folder)
+        system.create_dir(base, recursive=True)
+        with system.open_output_stream(f"{base}/{TaskContext.get().partitionId():04d}.txt") as out:
+            for row in (r for batch in batches for r in batch.to_dict("records")):
+                if whole or not row["odd"]:
+                    out.write(row["text"].encode() + b"\n")
+                else:
+                    out.write(row["text"].encode()[: len(row["text"]) // 2])
+                    break
+        yield pd.DataFrame({"done": [True]})
+
+    rows = docs.select((F.col("doc_id") % 2 == 1).alias("odd"), "doc_id", "text")
+    dealt = rows.repartition(files, "doc_id").sortWithinPartitions("odd", "doc_id")
+    dealt.mapInPandas(write, "done boolean").count()
 
 
 @query(with_ctes(LINES) + "SELECT value FROM lines")
 def poll_files(spark, sf_dir):
-    """Two polls of the same files: the first reads all lines, the second none."""
-    landed, work = written_lines(spark, sf_dir), new_folder(spark, "poll")
+    """Three polls of files that grow between the first two, in the middle of a line."""
+    landed, work = new_folder(spark, "growing"), new_folder(spark, "poll")
+    docs = table(spark, sf_dir, "documents")
     tracked = LedgerTable(spark, new_folder(spark, "ledger"))
-    first = jobs.poll_files(spark, landed, work, tracked, "documents", 0, at=instant())
-    second = jobs.poll_files(spark, landed, work, tracked, "documents", 1, at=instant())
-    return first.unionByName(second).select(F.explode("lines").alias("value"))
+    polls = []
+    for number, whole in enumerate([False, True, True]):
+        grow(docs, landed, whole)
+        polls.append(jobs.poll_files(spark, landed, work, tracked, "documents", number, at=instant()))
+    return polls[0].unionByName(polls[1]).unionByName(polls[2]).select(F.explode("lines").alias("value"))
 
 
 @query(with_ctes(MESSAGES, ROUTES) + """
-SELECT processor, value FROM messages JOIN routes USING (topic) WHERE value IS NOT NULL
+SELECT coalesce(processor, 'none') AS processor, value FROM messages LEFT JOIN routes USING (topic) WHERE value IS NOT NULL
 """)
 def custom_processor(spark, sf_dir):
-    """Two processors, each writing its own folder."""
+    """Two processors, each writing its own folder, and a folder for what no processor takes."""
     stream = topic_source.read_topic_files(spark, landed_topics(spark, sf_dir), RECORDS)
     out, work = new_folder(spark, "processed"), new_folder(spark, "stream")
 
@@ -252,5 +331,6 @@ def custom_processor(spark, sf_dir):
         return lambda share, batch: text.write_lines(share, f"{out}/processor={name}/batch={batch}", mode="overwrite")
 
     processors = {name: into(name) for name in ("alerts", "hourly")}
-    jobs.custom_processor(stream, routes(messages(spark, sf_dir)), processors, work, every=None).awaitTermination()
+    known = routes(messages(spark, sf_dir))
+    jobs.custom_processor(stream, known, processors, work, every=None, unrouted=into("none")).awaitTermination()
     return spark.read.schema("value string, processor string, batch string").text(out).select("processor", "value")

@@ -65,7 +65,7 @@ def encode_payload(spark, sf_dir):
     rows = messages(spark, sf_dir)
     with_record = processing.decode_messages(processing.with_settings(rows, settings(rows)))
     kept = processing.drop_null_payload(with_record)
-    line = encode(F.col("value"), F.col("record"), F.col("encoder"), F.col("layout"))
+    line = encode(F.col("value"), F.col("record"), F.col("encoder"), F.col("layout"), decoder=F.col("decoder"))
     known = F.when(F.col("encoder") == "avro", "default").otherwise(F.col("encoder"))
     return kept.select("offset", known.alias("encoder"), line.alias("line"))
 
@@ -295,13 +295,10 @@ def custom_decoder(spark, sf_dir):
     return rows.select("offset", F.col("record")["user"].alias("user"), F.col("record")["kind"].alias("kind"))
 
 
-@query(ON_MESSAGES + """
-SELECT "offset", json_extract_string(value, '$.k') || '|' || json_extract_string(value, '$.user.id') AS line
-FROM messages WHERE json_valid(value)
-""")
+@query(ON_CELLS + """SELECT "offset", concat_ws('|', c0, c1, c2, '00000', 'x') AS line FROM cells WHERE valid""")
 def custom_encoder(spark, sf_dir):
     pipe = {"pipe": lambda value, record, defs: to_csv(record, defs, "|")}
-    line = encode(F.col("value"), F.col("record"), F.lit("pipe"), GOOD[:2], pipe)
+    line = encode(F.col("value"), F.col("record"), F.lit("pipe"), GOOD, pipe)
     return good(spark, sf_dir).select("offset", line.alias("line"))
 
 

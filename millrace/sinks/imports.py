@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator, Mapping
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from millrace.functions.ids import plain_path
+from millrace.functions.ids import plain_path, split_dsid
 from millrace.functions.timekeys import (
     DirFormat,
     NameParser,
@@ -16,11 +16,13 @@ from millrace.functions.timekeys import (
     remote_path,
 )
 from millrace.operators.joins import lookup_join
-from millrace.operators.ledger import LedgerTable
-from millrace.sources.lines import list_files, read_lines
+from millrace.operators.ledger import DONE, LedgerTable
+from millrace.sources.lines import glob_paths, list_files, read_lines
 
 # Fixed value: where imported files go unless told otherwise.
 BASE_DIR = "/log/raw"
+MAX_FILES = 10_000  # files imported at a time, whose names the driver hands to the reader
+MAX_FOLDERS = 1000
 
 
 def file_name(path: Column) -> Column:
@@ -49,52 +51,77 @@ def import_manifest(
         directory.alias("dir"),
         F.col("_n.date_hour").alias("date_hour"),
         remote_path(F.lit(base), F.col("_n.type"), directory, F.lit(host), F.col("name")).alias("remote"),
+        F.concat_ws("-", F.lit(host), F.col("name")).alias("src"),
     )
 
 
-def import_lines(
-    lines: DataFrame, units: DataFrame, out: str, host: str, file_model: int = 1, codec: str = "gzip",
-    name_of: Callable[[Column], Column] = file_name,
-) -> None:
-    """Write lines ``(id, value)`` of landed files below ``out/type=/dt=/hr=/src=host-name``.
+def import_lines(lines: DataFrame, manifest: DataFrame, out: str, codec: str = "gzip") -> None:
+    """Write lines ``(id, value)`` of landed files below ``out/type=/<directory>/src=host-name``.
 
     Each task writes the files it reads, nothing moves; Spark's committer shows no half-written
-    file, and writing again replaces what was there.
+    file, and writing again replaces what was there. The directory is that of the manifest: its
+    ``key=value`` parts become partitions, whatever the directory model.
     """
-    manifest = import_manifest(units, host, file_model=file_model, name_of=name_of)
-    named = manifest.select(plain_path(F.col("id")).alias("id"), "name", "type", "date_hour")
+    named = manifest.select(plain_path(F.col("id")).alias("id"), "type", "dir", "src")
     read = lines.select(plain_path(F.col("id")).alias("id"), "value")
     found = lookup_join(read, named, ["id"], "inner", ["value"])
-    placed = found.select(
-        "value",
-        "type",
-        F.left("date_hour", F.lit(8)).alias("dt"),
-        F.col("date_hour").alias("hr"),
-        F.concat_ws("-", F.lit(host), F.col("name")).alias("src"),
-    )
-    writer = placed.write.mode("overwrite").partitionBy("type", "dt", "hr", "src")
+    first = manifest.where("dir is not null").select("dir").first()
+    if first is None:
+        return
+    keys = [part.partition("=")[0] for part in first["dir"].split("/")]
+    parts = F.str_to_map("dir", F.lit("/"), F.lit("="))
+    placed = found.select("value", "type", *[parts[k].alias(k) for k in keys], "src")
+    writer = placed.write.mode("overwrite").partitionBy("type", *keys, "src")
     writer.option("compression", codec).text(out)
 
 
 def import_files(
     spark: SparkSession,
-    landed: str,
     units: DataFrame,
     out: str,
     ledger: LedgerTable,
     batch: str,
     host: str,
     at: Column,
-    file_model: int = 1,
-    name_of: Callable[[Column], Column] = file_name,
+    landed: str | None = None,
+    delete: bool = False,
+    max_files: int = MAX_FILES,
+    **models,
 ) -> None:
-    """Copy the landed files that are units below ``out/batch=``, then mark the units done.
+    """Copy the files that are units below ``out/batch=``, mark the units done, and then delete
+    the files if asked to. Only the files of units are read.
 
-    A repeated batch replaces its own files, and a unit whose file is gone counts as done.
+    A repeated batch replaces its own files, or does only what is left if it was marked already.
+    A unit whose file is gone counts as done, unless ``landed`` is given: then the units are
+    those whose file is in that folder, and the others wait. At most ``max_files`` files are taken
+    at a time; call again for more. ``models`` go to :func:`import_manifest`.
     """
-    lines = read_lines(spark, landed).select(F.col("_metadata.file_path").alias("id"), "value")
-    import_lines(lines, units, f"{out}/batch={batch}", host, file_model, name_of=name_of)
-    ledger.mark_done(units, at, f"done-{batch}")
+    name = f"done-{batch}"
+    if not ledger.has(name):
+        places = landed or _folders(units)
+        listed = list_files(spark, places).select("path") if places else spark.createDataFrame([], "path string")
+        there = listed.select(plain_path(F.col("path")).alias("_path")).distinct()
+        here = units.join(there, plain_path(F.col("id")) == F.col("_path"), "left_semi")
+        gone = units.join(here.select("id"), "id", "left_anti")
+        chosen = here.orderBy("id").limit(max_files).select("ds", "id").collect()
+        taken = spark.createDataFrame(chosen, "ds string, id string")
+        if chosen:
+            lines = read_lines(spark, [r["id"] for r in chosen])
+            lines = lines.select(F.col("_metadata.file_path").alias("id"), "value")
+            manifest = import_manifest(taken, host, **models)
+            import_lines(lines, manifest, f"{out}/batch={batch}")
+        ledger.mark_done(taken if landed else taken.unionByName(gone.select("ds", "id")), at, name)
+    if delete:
+        done = split_dsid(F.col("dsid"))["id"].alias("path")
+        delete_files(ledger.batch(name).where(F.col("status") == DONE).select(done)).count()
+
+
+def _folders(units: DataFrame) -> list[str]:
+    """The folders that the files of units are in."""
+    folders = units.select(F.regexp_replace("id", "/[^/]*$", "").alias("f")).distinct().limit(MAX_FOLDERS + 1).collect()
+    if len(folders) > MAX_FOLDERS:
+        raise ValueError(f"units in more than {MAX_FOLDERS} folders: say where they landed")
+    return [f for r in folders for f in glob_paths(units.sparkSession, r["f"])]
 
 
 def missing_units(spark: SparkSession, landed: str, units: DataFrame) -> DataFrame:

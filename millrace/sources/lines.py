@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import fnmatch
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
@@ -27,14 +29,39 @@ def read_placed_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     )
 
 
-def list_files(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
-    """``(path, size, mtime)`` of the files in a directory; their content is not read.
+def list_files(spark: SparkSession, path: str | list[str], pattern: str | None = None) -> DataFrame:
+    """``(path, size, mtime)`` of the files in directories or of globs; their content is not read.
 
-    Spark's reader passes over empty files, which have no lines to send either.
+    Spark's reader passes over empty files, so those are looked up by name, as Spark itself
+    lists files: on the driver.
     """
     reader = spark.read.format("binaryFile")
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
-    return reader.load(path).select(
-        "path", F.col("length").alias("size"), F.col("modificationTime").alias("mtime")
-    )
+    found = reader.load(path).select("path", F.col("length").alias("size"), F.col("modificationTime").alias("mtime"))
+    empty = [f for p in ([path] if isinstance(path, str) else path) for f in _empty_files(spark, p, pattern)]
+    if not empty:
+        return found
+    rows = spark.createDataFrame(empty, "path string, mtime_ms bigint")
+    zero = rows.select("path", F.lit(0).cast("bigint").alias("size"), F.timestamp_millis("mtime_ms").alias("mtime"))
+    return found.unionByName(zero)
+
+
+def glob_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """What a glob finds; nothing where it finds nothing."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = place.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(place) or []
+    return [status.getPath().toString() for status in found]
+
+
+def _empty_files(spark: SparkSession, path: str, pattern: str | None) -> list[tuple[str, int]]:
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    system, found = place.getFileSystem(conf), []
+    for top in system.globStatus(place) or []:
+        below = system.listStatus(top.getPath()) if top.isDirectory() else [top]
+        for status in below:
+            name = status.getPath().getName()
+            if status.isFile() and not status.getLen() and name[0] not in "._" and fnmatch.fnmatch(name, pattern or "*"):
+                found.append((status.getPath().toString(), status.getModificationTime()))
+    return found

@@ -7,20 +7,37 @@ leaves each unit once.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from millrace.functions.ids import plain_path
-from millrace.operators.files import batch_lines, range_units, read_new_lines, sent_size
+from millrace.operators.files import (
+    batch_lines,
+    file_progress,
+    line_offsets,
+    not_done_files,
+    range_units,
+    read_new_lines,
+    read_ranges,
+    sent_size,
+    tracked_ranges,
+)
 from millrace.operators.ledger import RUN, LedgerTable, deserialized, of_source
-from millrace.operators.processing import process_messages
-from millrace.operators.routing import dispatch, route
-from millrace.sinks.imports import file_name, import_lines
-from millrace.sinks.text import clustered, hourly, write_hourly
-from millrace.sources.lines import list_files, read_placed_lines
+from millrace.operators.processing import (
+    dead_letter,
+    decode_messages,
+    drop_null_payload,
+    key_and_encode,
+    with_settings,
+)
+from millrace.operators.routing import dispatch, route_all
+from millrace.sinks.imports import import_files
+from millrace.sinks.text import write_hourly
+from millrace.sources.lines import glob_paths, list_files, read_placed_lines
 
 POLL = "10 seconds"
 
@@ -68,26 +85,13 @@ def throughput_stream(
 
 
 def hourly_stream(
-    messages: DataFrame, resolved: DataFrame, out: str, checkpoint: str,
-    now_ms: Column | None = None, codec: str = "gzip", every: str | None = POLL, salts: int = 8,
+    messages: DataFrame, resolved: DataFrame, out: str, checkpoint: str, **options
 ) -> StreamingQuery:
-    """Decode, key and write an endless stream into hour folders.
+    """Decode, key and write an endless stream into hour folders, with fixed settings.
 
-    A late record goes to its own, older hour. The lines of an hour meet in at most ``salts``
-    files per batch, so neither every task writes every hour nor one task a whole hour.
+    A late record goes to its own, older hour. Options and output as in :func:`refresh_settings`.
     """
-    now_ms = F.unix_millis(F.current_timestamp()) if now_ms is None else now_ms
-    rows = hourly(process_messages(messages, resolved, now_ms), "offset")
-    spread = clustered(rows, ["topic", "dt", "hr"], F.col("offset"), salts).drop("offset")
-    writer = (
-        spread.writeStream.format("text")
-        .option("path", out)
-        .option("checkpointLocation", checkpoint)
-        .option("compression", codec)
-        .partitionBy("topic", "dt", "hr")
-        .outputMode("append")
-    )
-    return triggered(writer, every).start()
+    return refresh_settings(messages, lambda session: resolved, out, checkpoint, **options)
 
 
 def rolled_files(
@@ -99,7 +103,7 @@ def rolled_files(
     def write(batch: DataFrame, batch_id: int) -> None:
         folder = f"{out}/batch={batch_id}"
         write_hourly(batch, folder, mode="overwrite", salt="offset", salts=salts)
-        if batch.where(F.col("line").isNotNull()).isEmpty():
+        if not glob_paths(batch.sparkSession, f"{folder}/topic=*"):
             return
         written = list_files(batch.sparkSession, f"{folder}/topic=*/dt=*/hr=*", "*.txt*")
         units = written.select(F.lit(ds).alias("ds"), F.col("path").alias("id"))
@@ -117,14 +121,26 @@ def _for_each_batch(
 
 def refresh_settings(
     messages: DataFrame, load: Callable[[SparkSession], DataFrame], out: str, checkpoint: str,
-    now_ms: Column | None = None, every: str | None = POLL, salts: int = 8,
+    now_ms: Column | None = None, every: str | None = POLL, salts: int = 8, dead: str | None = None,
 ) -> StreamingQuery:
-    """As the hourly stream, with the settings read again for every batch."""
+    """The hourly stream with the settings read again for every batch: ``out/batch=/topic=/dt=/hr=``.
+
+    The lines of an hour meet in at most ``salts`` files per batch, so neither every task writes
+    every hour nor one task a whole hour. Messages that could not be decoded go as they came to
+    ``dead/batch=`` (default: ``out`` with ``.dead`` after it). A batch is decoded once.
+    """
+    letters = dead or f"{out.rstrip('/')}.dead"
 
     def write(batch: DataFrame, batch_id: int) -> None:
         now = F.unix_millis(F.current_timestamp()) if now_ms is None else now_ms
-        lines = process_messages(batch, load(batch.sparkSession), now)
-        write_hourly(lines, f"{out}/batch={batch_id}", mode="overwrite", salt="offset", salts=salts)
+        decoded = decode_messages(with_settings(batch, load(batch.sparkSession))).persist()
+        try:
+            lines = key_and_encode(drop_null_payload(decoded), now)
+            write_hourly(lines, f"{out}/batch={batch_id}", mode="overwrite", salt="offset", salts=salts)
+            lost = dead_letter(decoded).select(*batch.columns)
+            lost.write.mode("overwrite").parquet(f"{letters}/batch={batch_id}")
+        finally:
+            decoded.unpersist()
 
     return _for_each_batch(messages, write, checkpoint, every)
 
@@ -132,63 +148,98 @@ def refresh_settings(
 def custom_processor(
     messages: DataFrame, routes: DataFrame, processors: Mapping[str, Callable[[DataFrame, int], None]],
     checkpoint: str, every: str | None = POLL, spread: Sequence[str] = ("partition", "offset"),
+    unrouted: Callable[[DataFrame, int], None] | None = None,
 ) -> StreamingQuery:
-    """Hand the messages of each batch to the processor of their topic, with the batch id."""
+    """Hand the messages of each batch to the processor of their topic, with the batch id.
+
+    Messages whose topic has no route, or whose route names no processor of these, go to
+    ``unrouted``; without one the job stops at the first of them. A batch is routed once.
+    """
 
     def process(batch: DataFrame, batch_id: int) -> None:
         def bound(job: Callable[[DataFrame, int], None]) -> Callable[[DataFrame], None]:
             return lambda share: job(share, batch_id)
 
-        dispatch(route(batch, routes, spread), {name: bound(job) for name, job in processors.items()})
+        routed = route_all(batch, routes, spread).persist()
+        try:
+            other = routed.where(~F.coalesce(F.col("processor").isin(list(processors)), F.lit(False)))
+            if unrouted:
+                unrouted(other, batch_id)
+            elif found := other.select("topic", "processor").first():
+                raise LookupError(f"no processor {found['processor']!r} for topic {found['topic']!r}")
+            dispatch(routed, {name: bound(job) for name, job in processors.items()})
+        finally:
+            routed.unpersist()
 
     return _for_each_batch(messages, process, checkpoint, every)
 
 
 def upload_stream(
     spark: SparkSession, landed: str, out: str, ledger: LedgerTable, ds: str, host: str, checkpoint: str,
-    file_model: int = 1, clean: str = "off", at: Column | None = None, every: str | None = POLL,
-    name_of: Callable[[Column], Column] = file_name,
+    delete: bool = False, at: Column | None = None, every: str | None = POLL, **options,
 ) -> StreamingQuery:
-    """Import landed files as they come; ``clean`` may be ``delete`` to remove imported files.
+    """Import landed files that the ledger has in ``run``, at every tick.
 
-    A failed batch is retried as a whole and replaces what it had written.
+    The ledger is the list of what is to be done: a file that is there before its unit, or a unit
+    before its file, is imported by the tick that first finds both. Files are deleted only after
+    their units are done. A failed batch is repeated as a whole and replaces what it had written.
+    Options go to :func:`import_files`.
     """
-    reader = spark.readStream.option("lineSep", "\n").option("cleanSource", clean)
-    lines = reader.text(landed).select(F.col("_metadata.file_path").alias("id"), "value")
+    ticks = spark.readStream.format("rate-micro-batch").option("rowsPerBatch", 1).option("numPartitions", 1).load()
 
     def upload(batch: DataFrame, batch_id: int) -> None:
-        name = f"done-{batch_id}"
-        here = batch.select(plain_path(F.col("id")).alias("_path")).distinct()
-        running = of_source(ledger.state(name), ds).where(F.col("status") == RUN)
-        waiting = deserialized(running).select("ds", F.col("ids").alias("id"))
-        units = waiting.join(here, plain_path(F.col("id")) == F.col("_path"), "left_semi")
-        import_lines(batch, units, f"{out}/batch={batch_id}", host, file_model, name_of=name_of)
-        ledger.mark_done(units, F.current_timestamp() if at is None else at, name)
+        running = of_source(ledger.state(f"done-{batch_id}"), ds).where(F.col("status") == RUN)
+        units = deserialized(running).select("ds", F.col("ids").alias("id"))
+        moment = F.current_timestamp() if at is None else at
+        import_files(spark, units, out, ledger, str(batch_id), host, moment, landed=landed, delete=delete, **options)
 
-    return _for_each_batch(lines, upload, checkpoint, every)
+    writer = ticks.writeStream.foreachBatch(upload).option("checkpointLocation", checkpoint)
+    return (writer.trigger(processingTime=every) if every else writer.trigger(once=True)).start()
 
 
 def poll_files(
     spark: SparkSession, landed: str, work: str, ledger: LedgerTable, ns: str, batch: int,
-    batch_size: int = 50, at: Column | None = None,
+    batch_size: int = 50, at: Column | None = None, closed: bool = False, recover: bool = False,
 ) -> DataFrame:
-    """One poll of a directory of growing files: the new lines in batches.
-
-    The batches are written first, then tracked in ``run``, and only then do the positions move:
-    whatever stops the job, no line is lost. Give the same number to a poll that is repeated and
-    the next number to the next poll; a poll reads the positions the one before has left.
+    """One poll of a directory of growing files: the new whole lines in batches.
+
+    Only files that are longer than their position are read. A last line without newline stays
+    for a later poll, unless the files are ``closed``. With ``recover`` (at a start) the ranges that
+    earlier polls left in ``run`` come first, read again from their files; files of such ranges
+    are read too. The batches are written, then tracked in ``run``, and only then do the positions
+    move. Give the same number to a poll that is repeated and the next number to the next poll;
+    a poll reads the positions the one before has left.
     """
     schema = "ns string, file string, delta bigint"
     positions = spark.createDataFrame([], schema)
     if batch:
         positions = spark.read.schema(schema).parquet(f"{work}/positions/batch={batch - 1}")
-    lines = read_placed_lines(spark, landed)
+    positions = positions.where(F.col("ns") == ns)
+    here = list_files(spark, landed).select(F.lit(ns).alias("ns"), plain_path(F.col("path")).alias("file"), "size", "path")
+    known = sent_size(positions).withColumn("file", plain_path(F.col("file")))
+    unread = not_done_files(file_progress(here, known)).select("path")
     folder = f"{work}/lines/batch={batch}"
-    batches = batch_lines(read_new_lines(lines, sent_size(positions)), batch_size)
+    parts = []
+    if paths := [r["path"] for r in unread.collect()]:
+        lines = read_placed_lines(spark, paths)
+        parts.append(batch_lines(read_new_lines(lines, sent_size(positions), closed), batch_size).withColumn("again", F.lit(False)))
+    if recover:
+        state = of_source(ledger.state(f"poll-{batch}"), ns)
+        open_ranges = tracked_ranges(state).where(F.col("status") == RUN).select("file", "start", "end")
+        left = open_ranges.select(plain_path(F.col("file")).alias("file")).distinct()
+        if paths := [r["path"] for r in here.join(left, "file", "left_semi").select("path").collect()]:
+            found = read_ranges(line_offsets(read_placed_lines(spark, paths)), open_ranges)
+            of_range = found.withColumn("file", F.concat_ws("\x01", "file", "range_start", "range_end"))
+            first = F.min("line_no").over(Window.partitionBy("file"))
+            old = batch_lines(of_range.withColumn("line_no", F.col("line_no") - first), batch_size)
+            parts.append(old.withColumn("file", F.split("file", "\x01")[0]).withColumn("again", F.lit(True)))
+    empty = "file string, batch bigint, start bigint, end bigint, n bigint, lines array<string>, again boolean"
+    batches = functools.reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], empty)
     batches.write.mode("overwrite").parquet(folder)
     written = spark.read.parquet(folder)
-    ledger.mark_run(range_units(written, ns), F.current_timestamp() if at is None else at, f"poll-{batch}")
-    read = written.select(F.lit(ns).alias("ns"), "file", (F.col("end") - F.col("start")).alias("delta"))
+    new = written.where("not again")
+    ledger.mark_run(range_units(new, ns), F.current_timestamp() if at is None else at, f"poll-{batch}")
+    read = new.select(F.lit(ns).alias("ns"), "file", (F.col("end") - F.col("start")).alias("delta"))
     moved = sent_size(positions.unionByName(read)).withColumnRenamed("sent_size", "delta")
     moved.write.mode("overwrite").parquet(f"{work}/positions/batch={batch}")
     return written

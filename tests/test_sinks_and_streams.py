@@ -73,25 +73,64 @@ WEB = [("web", "20140102", "2014010203", "h-web_12_hr_2014010203.txt", v) for v
 APP = [("app", "20140102", "2014010204", "h-app_7_hr_2014010204.txt", "c")]
 
 
+def run_import(spark, tmp_path, units, table, **options):
+    imports.import_files(spark, units, str(tmp_path / "out"), table, "0", "h", at(), **options)
+
+
 def test_import_takes_tracked_files_and_counts_missing_ones_done(spark, tmp_path):
     folder, units, table = landed(spark, tmp_path)
     for _ in range(2):  # a repeated batch changes nothing
-        imports.import_files(spark, str(folder), units, str(tmp_path / "out"), table, "0", "h", at())
+        run_import(spark, tmp_path, units, table)
     assert imported(spark, tmp_path / "out") == APP + WEB
     assert {r["status"]: r["n"] for r in g.status_counts(table.state(), "r").collect()} == {"done": 3}
     missing = imports.missing_units(spark, str(folder), units).collect()
     assert [r["id"].rsplit("/", 1)[1] for r in missing] == ["gone_1_hr_2014010205.txt"]
 
 
+def test_only_the_files_of_units_are_opened(spark, tmp_path):
+    folder, units, table = landed(spark, tmp_path)
+    (folder / "stray_1_hr_2014010204.txt").chmod(0)
+    (folder / "broken_1_hr_2014010204.txt.gz").write_text("this is not gzip")
+    run_import(spark, tmp_path, units, table, landed=str(folder))
+    assert imported(spark, tmp_path / "out") == APP + WEB
+    assert {r["status"]: r["n"] for r in g.status_counts(table.state(), "r").collect()} == {"done": 2, "run": 1}
+
+
+def test_files_are_deleted_after_they_are_done(spark, tmp_path, monkeypatch):
+    folder, units, table = landed(spark, tmp_path)
+    with monkeypatch.context() as patch:
+        patch.setattr(imports, "delete_files", lambda *a: (_ for _ in ()).throw(KeyboardInterrupt))
+        with pytest.raises(KeyboardInterrupt):
+            run_import(spark, tmp_path, units, table, delete=True)
+    assert len(list(folder.iterdir())) == 3
+    run_import(spark, tmp_path, units, table, delete=True)  # goes on where it was stopped
+    assert [f.name for f in folder.iterdir()] == ["stray_1_hr_2014010204.txt"]
+    assert imported(spark, tmp_path / "out") == APP + WEB
+
+
+def test_imports_take_so_many_files_at_a_time(spark, tmp_path):
+    folder, units, table = landed(spark, tmp_path)
+    for batch in "01":
+        imports.import_files(spark, g.replay_run(table.state(), "r").select("ds", F.col("ids").alias("id")), str(tmp_path / "out"), table, batch, "h", at(), landed=str(folder), max_files=1)
+    assert imported(spark, tmp_path / "out") == APP + WEB
+
+
+def test_import_by_the_models_of_the_user(spark, tmp_path):
+    folder, units, table = landed(spark, tmp_path)
+    run_import(spark, tmp_path, units, table, dir_model=2)
+    got = spark.read.schema("value string, batch string, type string, year string, month string, day string, hour string, src string").text(str(tmp_path / "out"))
+    assert {(r["year"], r["month"], r["day"], r["hour"]) for r in got.collect()} == {("2014", "01", "02", "03"), ("2014", "01", "02", "04")}
+
+
 def test_import_stopped_before_done_is_repeated(spark, tmp_path, monkeypatch):
     folder, units, table = landed(spark, tmp_path)
     with monkeypatch.context() as patch:
         patch.setattr(g.LedgerTable, "mark_done", lambda *a: (_ for _ in ()).throw(KeyboardInterrupt))
         with pytest.raises(KeyboardInterrupt):
-            imports.import_files(spark, str(folder), units, str(tmp_path / "out"), table, "0", "h", at())
+            run_import(spark, tmp_path, units, table)
     assert g.replay_run(table.state(), "r").count() == 3
     again = g.replay_run(table.state(), "r").select("ds", F.col("ids").alias("id"))
-    imports.import_files(spark, str(folder), again, str(tmp_path / "out"), table, "0", "h", at())
+    run_import(spark, tmp_path, again, table)
     assert imported(spark, tmp_path / "out") == APP + WEB
     assert g.replay_run(table.state(), "r").count() == 0
 
@@ -130,6 +169,24 @@ def test_upload_stream_takes_files_as_they_come(spark, tmp_path):
     assert [r["ids"].rsplit("/", 1)[1] for r in waiting] == ["gone_1_hr_2014010205.txt"]
 
 
+@pytest.mark.parametrize("delete", [False, True])
+def test_a_file_seen_before_its_ledger_row_is_imported_later(spark, tmp_path, delete):
+    folder, _, table = landed(spark, tmp_path)
+    early = folder / "web_14_hr_2014010203.txt"
+    early.write_text("early\n")
+    out, work = str(tmp_path / "out"), str(tmp_path / "work")
+
+    def run():
+        jobs.upload_stream(spark, str(folder), out, table, "r", "h", work, at=at(), every=None, delete=delete).awaitTermination()
+
+    run()
+    assert early.exists() and "early" not in [r[-1] for r in imported(spark, out)]
+    table.mark_run(spark.createDataFrame([("r", early.as_uri())], "ds string, id string"), at(), "run-2")
+    run()
+    assert imported(spark, out)[-1][-1] == "early" and early.exists() == (not delete)
+    assert (folder / "stray_1_hr_2014010204.txt").exists()
+
+
 @pytest.fixture
 def records(spark, tmp_path):
     folder = str(tmp_path / "topics")
@@ -163,15 +220,17 @@ def test_hourly_stream_equals_batch_and_restarts(spark, tmp_path, records):
 
     def run(per_trigger):
         stream = topic_source.read_topic_files(spark, records, RECORDS, known, per_trigger)
-        jobs.hourly_stream(stream, resolved(spark), out, work, F.lit(0), every=None).awaitTermination()
+        jobs.hourly_stream(stream, resolved(spark), out, work, now_ms=F.lit(0), every=None).awaitTermination()
 
     run(1)
-    assert tree(spark, out) == wanted_tree()
+    assert tree(spark, out, "/batch=*") == wanted_tree()
     run(1)  # started again with nothing new
-    assert tree(spark, out) == wanted_tree()
+    assert tree(spark, out, "/batch=*") == wanted_tree()
     spark.createDataFrame([("web", 0, 999, '{"ts": 0, "v": 7}')], RECORDS).write.mode("append").parquet(records)
     run(1)  # a late record goes to its own hour
-    assert tree(spark, out) == sorted(wanted_tree() + [("web", "1970010100", "7,-")])
+    assert tree(spark, out, "/batch=*") == sorted(wanted_tree() + [("web", "1970010100", "7,-")])
+    dead = spark.read.parquet(f"{out}.dead/batch=*").collect()  # the broken payload is kept as it came
+    assert [(r["topic"], r["partition"], r["offset"], r["value"]) for r in dead] == [("web", 1, 300, '{"broken"')]
 
 
 def test_settings_are_read_for_every_batch(spark, tmp_path, records):
@@ -206,6 +265,58 @@ def test_each_processor_gets_its_topics(spark, tmp_path, records):
     assert sorted(seen["p"]) == list(range(302)) and seen["q"] == [302]
 
 
+def test_messages_without_processor_are_kept_or_stop_the_job(spark, tmp_path, records):
+    routes = spark.createDataFrame([("web", "p"), ("app", "unknown")], "topic string, processor string")
+    stream = topic_source.read_topic_files(spark, records, RECORDS)
+    taken, left = [], []
+    into = lambda kept: lambda share, batch: kept.extend(r["offset"] for r in share.select("offset").collect())
+    jobs.custom_processor(stream, routes, {"p": into(taken)}, str(tmp_path / "w"), every=None, unrouted=into(left)).awaitTermination()
+    assert sorted(left) == [*range(0, 300, 3), 302] and len(taken) + len(left) == 303
+    with pytest.raises(Exception, match="no processor"):
+        jobs.custom_processor(stream, routes, {"p": into([])}, str(tmp_path / "w2"), every=None).awaitTermination()
+
+
+def test_empty_files_are_listed(spark, tmp_path):
+    for name, content in (("a.txt", "x"), ("b.txt", ""), ("c.log", ""), ("_d.txt", "")):
+        (tmp_path / name).write_text(content)
+    got = {r["path"].rsplit("/", 1)[1]: r["size"] for r in list_files(spark, str(tmp_path), "*.txt").collect()}
+    assert got == {"a.txt": 1, "b.txt": 0}
+
+
+def polled(spark, tmp_path, number, **options):
+    table = g.LedgerTable(spark, str(tmp_path / "ledger"))
+    got = jobs.poll_files(spark, str(tmp_path / "grow"), str(tmp_path / "work"), table, "n", number, at=at(), **options)
+    return [line for r in got.orderBy("file", "start").collect() for line in r["lines"]]
+
+
+def test_a_line_cut_by_a_poll_is_read_whole_later(spark, tmp_path):
+    (tmp_path / "grow").mkdir()
+    file = tmp_path / "grow" / "f.txt"
+    file.write_text("one\ntwo\nthr")
+    assert polled(spark, tmp_path, 0) == ["one", "two"]
+    assert polled(spark, tmp_path, 1) == []
+    file.write_text("one\ntwo\nthree\nfour\nfi")
+    assert polled(spark, tmp_path, 2) == ["three", "four"]
+    assert polled(spark, tmp_path, 2) == ["three", "four"]  # the same poll again
+    assert polled(spark, tmp_path, 3, closed=True) == ["fi"]
+    file.chmod(0)  # a finished file is not opened
+    (tmp_path / "grow" / "g.txt").write_text("new\n")
+    assert polled(spark, tmp_path, 4) == ["new"]
+
+
+def test_open_ranges_come_again_at_a_start(spark, tmp_path):
+    (tmp_path / "grow").mkdir()
+    (tmp_path / "grow" / "f.txt").write_text("one\ntwo\nthree\n")
+    assert polled(spark, tmp_path, 0, batch_size=2) == ["one", "two", "three"]
+    table = g.LedgerTable(spark, str(tmp_path / "ledger"))
+    first = g.replay_run(table.state(), "n").where(F.col("ids").endswith("\x010\x018"))
+    table.mark_done(first.select("ds", F.col("ids").alias("id")), at(), "done-0")
+    with (tmp_path / "grow" / "f.txt").open("a") as file:
+        file.write("four\n")
+    assert sorted(polled(spark, tmp_path, 1, recover=True)) == ["four", "three"]
+    assert polled(spark, tmp_path, 2) == []
+
+
 def test_topic_records_round_trip(spark, tmp_path, rows):
     df = rows([("test3", "hi"), ("test3", "té")], "topic string, value string")
     topic_sink.write_topic_files(df, str(tmp_path / "t"))
