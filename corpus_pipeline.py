@@ -62,8 +62,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def encode_and_decode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """SentencePiece: token ids of every text, their number, and whether they decode to the text."""
-    encoded = sentencepiece.encode(docs.select("doc_id", "lang", "source", "text"))
-    return sentencepiece.decode(encoded).select(
+    coded = sentencepiece.encode(docs.select("doc_id", "lang", "source", "text"), out_decoded="decoded")
+    return coded.select(
         "doc_id",
         "lang",
         "source",

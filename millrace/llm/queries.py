@@ -28,8 +28,8 @@ def query(sql: str | None = None):
 @query()
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode every text and decode it again."""
-    ids = sentencepiece.encode(load(spark, sf_dir, "documents").select("doc_id", "text"))
-    both = sentencepiece.decode(ids)
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    both = sentencepiece.encode(docs, out_decoded="decoded")
     return both.select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_ids"),

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -28,9 +29,10 @@ UNKNOWN_PENALTY = 10.0  # an unknown character scores this much below the worst
 
 # A model is broadcast, so its size is bounded; what a task remembers is bounded too.
 MAX_MODEL_PIECES = 1 << 20
-REMEMBERED_CHUNKS = 200_000
-REMEMBERED_PAIRS = 300_000
+REMEMBERED_CHUNKS = 300_000
+REMEMBERED_PAIRS = 500_000
 SLICE = 2 << 20
+UNSET = -1 << 62
 REMEMBERED_LENGTH = 64
 
 
@@ -100,6 +102,7 @@ class Encoder:
         self.unknown_score = min((model.scores[i] for i in self.ids.values()), default=0.0) - UNKNOWN_PENALTY
         self.characters = set().union(*self.ids)
         self.pairs = Bounded(REMEMBERED_PAIRS)
+        self.firsts = Bounded(REMEMBERED_PAIRS)
         self.chunks = Chunks(self)
         self.cut = self.boundaries()
 
@@ -140,15 +143,15 @@ class Encoder:
             known = self.pairs.put(key, self.merged([*a, *b]) == [a, b])
         return known
 
-    def follows(self, before: str, right: int) -> bool:
+    def begins(self, before: str, right: int) -> bool:
         """As :meth:`apart` after a character without a piece, or after nothing."""
         if before not in self.characters:
             before = ""
-        key = (before, right)
-        known = self.pairs.get(key)
+        key = (before, right) if before else right
+        known = self.firsts.get(key)
         if known is None:
             b = self.model.pieces[right]
-            known = self.pairs.put(key, self.merged([*before, *b]) == [*before, b])
+            known = self.firsts.put(key, self.merged([*before, *b]) == [*before, b])
         return known
 
     def best_sum(self, chunk: str) -> list[tuple[int, int]]:
@@ -179,25 +182,32 @@ class Encoder:
 
     def best_merge(self, chunk: str) -> list[tuple[int, int]]:
         """BPE: as :meth:`best_sum`; the one way on which all neighbours stay apart."""
-        last: list = [None] * (len(chunk) + 1)
-        settled = 0
+        n, known = len(chunk), self.pairs.get
+        ids, starts, settled = [UNSET] * (n + 1), [0] * (n + 1), 0
+
+        def settle(stop: int) -> None:
+            for k in range(settled, stop):  # a character that no piece ends with is one of its own
+                if ids[k + 1] == UNSET:
+                    ids[k + 1], starts[k + 1] = -1 - k, k
+
         for end, (i, size) in self.automaton.iter(chunk):
-            while settled < end:
-                last[settled + 1] = last[settled + 1] or (settled, -1 - settled)
-                settled += 1
-            if last[end + 1] is None:
-                start = end + 1 - size
-                before = last[start] if start else (0, -1)
-                if before[1] >= 0:
-                    good = self.apart(before[1], i)
-                else:
-                    good = self.follows(chunk[start - 1] if start else "", i)
-                if good:
-                    last[end + 1] = (start, i)
-        while settled < len(chunk):
-            last[settled + 1] = last[settled + 1] or (settled, -1 - settled)
-            settled += 1
-        return last
+            if settled < end:
+                settle(end)
+                settled = end
+            if ids[end + 1] != UNSET:
+                continue
+            start = end + 1 - size
+            before = ids[start]
+            if start == 0 or before < 0:
+                good = self.begins(chunk[start - 1] if start else "", i)
+            else:
+                good = known(before << 20 | i)
+                if good is None:
+                    good = self.apart(before, i)
+            if good:
+                ids[end + 1], starts[end + 1] = i, start
+        settle(n)
+        return list(zip(starts, ids, strict=True))
 
     def best_way(self, chunk: str) -> list[int]:
         """Ids of the best way through a chunk; -1 - position for a character without a piece."""
@@ -206,18 +216,22 @@ class Encoder:
         while at:
             at, i = last[at]
             ids.append(i)
-        return ids[::-1]
+        ids.reverse()
+        return ids
 
     def encode_chunk(self, chunk: str) -> bytes:
+        way = self.best_way(chunk)
+        if min(way, default=0) >= 0:
+            return array("i", way).tobytes()
         ids: list[int] = []
-        for i in self.best_way(chunk):
+        for i in way:
             if i >= 0:
                 ids.append(i)
             elif self.model.byte_ids:
                 ids.extend(self.model.byte_ids[b] for b in chunk[-1 - i].encode("utf-8", "surrogatepass"))
             elif not ids or ids[-1] != self.model.unknown:  # unknown characters in a row are one
                 ids.append(self.model.unknown)
-        return np.array(ids, np.int32).tobytes()
+        return array("i", ids).tobytes()
 
     def encode(self, text: str) -> bytes:
         """Ids of a text, each as four bytes."""
@@ -278,26 +292,42 @@ def slices(rows: pa.Array, sizes: pa.Array) -> Iterator[pa.Array]:
         at = end
 
 
-def encode(docs: DataFrame, text: str = "text", model: str = MODEL, out: str = "ids") -> DataFrame:
+def decoded_array(lists: pa.ListArray, decoder: Decoder) -> pa.Array:
+    ends, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
+    known = lists.is_valid().to_numpy(zero_copy_only=False)
+    rows = zip(ends, ends[1:], known, strict=False)
+    return pa.array([decoder.decode(flat[i:j].tolist()) if k else None for i, j, k in rows], pa.string())
+
+
+def encode(
+    docs: DataFrame, text: str = "text", model: str = MODEL, out: str = "ids", out_decoded: str | None = None
+) -> DataFrame:
     """Add the piece ids of each text as ``out`` (array<int>). No shuffle.
 
     The ids are those of the sentencepiece library. NULL stays NULL, an empty text gives an
     empty list. Characters without a piece become bytes, or one unknown id per run in models
-    without byte pieces. A column named ``out`` is replaced; rows stay as they are.
+    without byte pieces. With ``out_decoded`` the ids are decoded again by the same task, as
+    :func:`decode` does. Columns with the output names are replaced; rows stay as they are.
     """
     shared = docs.sparkSession.sparkContext.broadcast(read_model(model))
 
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encoder = remembered(Encoder, shared.value)
+        encoder, decoder = remembered(Encoder, shared.value), remembered(Decoder, shared.value)
         for texts in batches:
             for part in slices(texts, pc.binary_length(texts)):
                 encoded = [encoder.encode(value) for value in part.to_pylist()]
                 ends = np.cumsum([0, *(len(e) // 4 for e in encoded)], dtype=np.int32)
                 values = pa.array(np.frombuffer(b"".join(encoded), np.int32))
-                yield pa.ListArray.from_arrays(pa.array(ends), values, mask=part.is_null())
+                lists = pa.ListArray.from_arrays(pa.array(ends), values, mask=part.is_null())
+                back = decoded_array(lists, decoder) if out_decoded else pa.nulls(len(part), pa.string())
+                yield pa.StructArray.from_arrays([lists, back], names=["ids", "decoded"])
 
-    encoded = F.arrow_udf(ids, "array<int>", F.ArrowUDFType.SCALAR_ITER)(F.col(text))
-    return docs.withColumn(out, encoded)
+    kind = "struct<ids:array<int>,decoded:string>"
+    coded = F.arrow_udf(ids, kind, F.ArrowUDFType.SCALAR_ITER)(F.col(text)).alias("_coded")
+    names = [out, *([out_decoded] if out_decoded else [])]
+    kept = [c for c in docs.columns if c not in (*names, "_coded")]
+    made = [F.col(f"_coded.{f}").alias(n) for f, n in zip(("ids", "decoded"), names, strict=False)]
+    return docs.select(*kept, coded).select(*kept, *made)
 
 
 def decode(rows: DataFrame, ids: str = "ids", model: str = MODEL, out: str = "decoded") -> DataFrame:
@@ -314,12 +344,7 @@ def decode(rows: DataFrame, ids: str = "ids", model: str = MODEL, out: str = "de
         decoder = remembered(Decoder, shared.value)
         for lists in batches:
             for part in slices(lists, pc.list_value_length(lists)):
-                ends, flat = part.offsets.to_numpy(), part.values.to_numpy()
-                known = part.is_valid().to_numpy(zero_copy_only=False)
-                yield pa.array(
-                    [decoder.decode(flat[i:j].tolist()) if k else None for i, j, k in zip(ends, ends[1:], known, strict=False)],
-                    pa.string(),
-                )
+                yield decoded_array(part, decoder)
 
     given = F.filter(F.col(ids), lambda i: i.isNotNull())
     return rows.withColumn(out, F.arrow_udf(texts, "string", F.ArrowUDFType.SCALAR_ITER)(given))

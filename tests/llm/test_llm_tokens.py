@@ -59,6 +59,8 @@ def test_encode_and_decode_as_columns(odd, clashing, no_rows):
         for text, ids, decoded in got:
             assert ids == (None if text is None else library.encode(text))
             assert decoded == (None if text is None else text.replace("▁", " "))
+        fused = own.encode(table, out_decoded="decoded").select("text", "ids", "decoded").collect()
+        assert sorted(map(str, fused)) == sorted(map(str, got))
     assert own.decode(own.encode(no_rows)).count() == 0
 
 
