@@ -12,7 +12,7 @@ from __future__ import annotations
 import hashlib
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import ahocorasick
@@ -29,7 +29,8 @@ UNKNOWN_PENALTY = 10.0  # an unknown character scores this much below the worst
 
 # A model is broadcast, so its size is bounded; what a task remembers is bounded too.
 MAX_MODEL_PIECES = 1 << 20
-REMEMBERED_CHUNKS = 300_000
+REMEMBERED_WORDS = 250_000
+REMEMBERED_CHUNKS = 200_000
 REMEMBERED_PAIRS = 500_000
 SLICE = 2 << 20
 UNSET = -1 << 62
@@ -103,7 +104,8 @@ class Encoder:
         self.characters = set().union(*self.ids)
         self.pairs = Bounded(REMEMBERED_PAIRS)
         self.firsts = Bounded(REMEMBERED_PAIRS)
-        self.chunks = Chunks(self)
+        self.chunks = Seen(self.encode_chunk, REMEMBERED_CHUNKS)
+        self.words = Seen(self.encode_word, REMEMBERED_WORDS)
         self.cut = self.boundaries()
 
     def boundaries(self) -> re.Pattern | None:
@@ -233,28 +235,33 @@ class Encoder:
                 ids.append(self.model.unknown)
         return array("i", ids).tobytes()
 
+    def encode_word(self, word: str) -> bytes:
+        return b"".join(map(self.chunks.__getitem__, self.cut.findall(SPACE + word)))
+
     def encode(self, text: str) -> bytes:
         """Ids of a text, each as four bytes."""
         if not text:
             return b""
+        if self.cut and self.model.dummy_prefix and text[0] != " " != text[-1] and "  " not in text and SPACE not in text:
+            return b"".join(map(self.words.__getitem__, text.split(" ")))  # one blank before every word
         text = ((" " if self.model.dummy_prefix else "") + text).replace(" ", SPACE)
         if self.cut is None:
             return self.encode_chunk(text)
         return b"".join(map(self.chunks.__getitem__, self.cut.findall(text)))
 
 
-class Chunks(dict):
-    """Ids of chunks of text already seen by a task, up to a bound."""
+class Seen(dict):
+    """Ids of what a task has already seen, up to a bound."""
 
-    def __init__(self, encoder: Encoder) -> None:
-        self.encoder = encoder
+    def __init__(self, make: Callable[[str], bytes], most: int) -> None:
+        self.make, self.most = make, most
 
-    def __missing__(self, chunk: str) -> bytes:
-        ids = self.encoder.encode_chunk(chunk)
-        if len(chunk) <= REMEMBERED_LENGTH:
-            if len(self) >= REMEMBERED_CHUNKS:
+    def __missing__(self, text: str) -> bytes:
+        ids = self.make(text)
+        if len(text) <= REMEMBERED_LENGTH:
+            if len(self) >= self.most:
                 self.clear()
-            self[chunk] = ids
+            self[text] = ids
         return ids
 
 
