@@ -48,10 +48,9 @@ def parse_file_range(unit: Column) -> Column:
 
 
 def clean_path(path: Column) -> Column:
-    """Double slashes become one, one slash in front, none at the end."""
-    single = F.replace(path, F.lit("//"), F.lit("/"))
-    led = F.when(single.startswith("/"), single).otherwise(F.concat(F.lit("/"), single))
-    return F.when(led.endswith("/"), F.left(led, F.length(led) - 1)).otherwise(led)
+    """A slash and the segments joined by single slashes; empty segments go."""
+    segments = F.filter(F.split(path, "/"), lambda s: s != "")
+    return F.concat(F.lit("/"), F.array_join(segments, "/"))
 
 
 def join_path(ns: Column, path: Column) -> Column:

@@ -32,7 +32,7 @@ def epoch_millis(ts: Column) -> Column:
 
 def floor_div(n: Column, size: int) -> Column:
     """Whole blocks of ``size`` below n, also for negative n."""
-    return ((n - F.pmod(n, F.lit(size))) / size).cast("bigint")
+    return F.call_function("div", n - F.pmod(n, F.lit(size)), F.lit(size)).cast("bigint")
 
 
 def date_text(ts_ms: Column) -> Column:

@@ -78,8 +78,12 @@ def value_distribution(
     A quantile is the smallest value with at least that share of the values at or below it.
     Values are cut into blocks of ``block`` neighbours, which are summed on the map side; only
     the blocks that hold a wanted rank are looked into, where equal values are counted on the
-    map side again. No name has to fit in one task, whatever its number of values.
+    map side again. No name has to fit in one task, whatever its number of values. Values have to be
+    whole numbers; others are refused, for their fractions would be lost.
     """
+    kind = values.schema[value].dataType.simpleString()
+    if kind not in ("tinyint", "smallint", "int", "bigint"):
+        raise TypeError(f"{value} has to be of whole numbers, not {kind}")
     rows = values.where(F.col(name).isNotNull() & F.col(value).isNotNull()).select(
         name, F.col(value).cast("bigint").alias("_v"), floor_div(F.col(value).cast("bigint"), block).alias("_block")
     )

@@ -95,8 +95,11 @@ def resolve_settings(
     """Encoder, decoder and time parser of every topic.
 
     ``encoders`` (topic, encoder, definitions) wins over ``properties`` (topic, name, value),
-    those over ``defaults``; a name nobody knows falls back as if nothing were set.
+    those over ``defaults``; a name nobody knows falls back as if nothing were set. Of several
+    encoders of a topic the first in the order of their names and definitions counts.
     """
+    pair = F.min(F.struct("encoder", "definitions")).alias("_e")
+    encoders = encoders.groupBy("topic").agg(pair).select("topic", "_e.*")
     base = {**DEFAULTS, **(defaults or {})}
     named = properties.groupBy("topic").agg(
         *[F.max(F.when(F.col("name") == n, F.col("value"))).alias(f"_{n}") for n in DEFAULTS]

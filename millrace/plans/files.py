@@ -143,10 +143,10 @@ def merge_distinct(spark, sf_dir):
 
 # --- paths ---------------------------------------------------------------------------------
 
-# replace takes double slashes left to right, once, in both engines
 PATHS = """WITH paths AS (
-  SELECT CAST(page_id AS VARCHAR) AS value, CASE WHEN ends_with(p, '/') THEN left(p, length(p) - 1) ELSE p END AS path
-  FROM (SELECT page_id, replace('/urls/' || url, '//', '/') AS p FROM pages))
+  SELECT CAST(page_id AS VARCHAR) AS value,
+    '/' || array_to_string(list_filter(string_split('urls/' || url, '/'), lambda s: s <> ''), '/') AS path
+  FROM pages)
 """
 
 

@@ -70,17 +70,31 @@ def test_positions_of_real_files_in_many_parts(spark, folder, small_splits):
         assert [r["line_no"] for r in mine] == list(range(len(mine)))
 
 
+@pytest.mark.parametrize("closed", [True, False])
 @pytest.mark.parametrize("share", [0, 0.3, 0.999, 1])
-def test_only_lines_after_the_position(spark, folder, small_splits, share):
+def test_only_lines_after_the_position(spark, folder, small_splits, share, closed):
     lines = read_placed_lines(spark, str(folder))
     files = list_files(spark, str(folder))
     # the listing and the reader name files alike
     assert {r[0] for r in lines.select("file").distinct().collect()} <= {r["path"] for r in files.collect()}
     positions = files.select(F.col("path").alias("file"), F.floor(F.col("size") * share).alias("sent_size"))
-    got = f.read_new_lines(lines, positions).collect()
+    got = f.read_new_lines(lines, positions, closed).collect()
     for name, raw in contents().items():
         mine = sorted((r["start"], r["end"], r["value"]) for r in got if name_of(r["file"]) == name)
-        assert mine == [b for b in brute_lines(raw) if b[0] >= int(len(raw) * share)]
+        whole = lambda b: closed or raw[b[1] - 1 : b[1]] == b"\n"
+        assert mine == [b for b in brute_lines(raw) if b[0] >= int(len(raw) * share) and whole(b)]
+
+
+def test_files_of_two_name_spaces_are_told_apart(rows):
+    listing = rows([("a", "f", 10), ("b", "f", 10)], "ns string, file string, size bigint")
+    steps = rows([("a", "f", 4), ("a", "f", 6), ("b", "f", 3)], "ns string, file string, delta bigint")
+    positions = f.sent_size(steps, listing)
+    progress = f.file_progress(listing, positions)
+    assert sorted(map(tuple, progress.select("ns", "sent_size").collect())) == [("a", 10), ("b", 3)]
+    tracked = rows([("a", "f", 0, 4, "done"), ("b", "f", 0, 3, "run")], "ns string, file string, start bigint, end bigint, status string")
+    assert [r["ns"] for r in f.deletable_files(progress, tracked).collect()] == ["a"]
+    assert [r["ns"] for r in f.recoverable_ranges(tracked, listing.where("ns = 'b'")).collect()] == ["b"]
+    assert f.recoverable_ranges(tracked, listing.where("ns = 'a'")).count() == 0
 
 
 def test_batches_are_exact_and_contiguous(spark, folder, small_splits):
@@ -113,7 +127,7 @@ def test_ranges_match_brute_force_in_any_cells(spark, rows, folder, monkeypatch,
 def test_lists_and_filters(spark, folder):
     files = list_files(spark, str(folder), "*.txt")
     assert {name_of(r["path"]): r["size"] for r in files.collect()} == {
-        n: len(c) for n, c in contents().items() if n.endswith(".txt") and c
+        n: len(c) for n, c in contents().items() if n.endswith(".txt")
     }
     logs = f.filter_files(list_files(spark, str(folder)), lambda p: p.endswith(".log"))
     assert [name_of(r["path"]) for r in logs.collect()] == ["one.log"]

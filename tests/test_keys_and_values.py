@@ -70,7 +70,7 @@ def test_dsid_round_trip(spark):
     assert tuple(one(spark, ids.split_dsid(F.lit("ds")))) == ("ds", "")
 
 
-@pytest.mark.parametrize("path, want", [("a//b/", "/a/b"), ("/a", "/a"), ("a", "/a"), ("//a", "/a")])
+@pytest.mark.parametrize("path, want", [("a//b/", "/a/b"), ("a///b", "/a/b"), ("/a", "/a"), ("//", "/"), ("a", "/a"), ("//a", "/a")])
 def test_clean_path(spark, path, want):
     assert one(spark, ids.clean_path(F.lit(path))) == want
 

@@ -53,11 +53,11 @@ def test_a_unit_is_run_once(rows, hundred):
 def test_only_running_units_become_done(rows, hundred):
     wanted = rows([("ds", "id1"), ("ds", "none")], "ds string, id string")
     assert [(r["dsid"], r["status"]) for r in g.invalid_transitions(hundred, wanted).collect()] == [("ds\x01none", None)]
-    with pytest.raises(Exception, match="not valid"):
+    with pytest.raises(Exception, match="not in run"):
         g.mark_done(hundred, wanted, at(1), strict=True).collect()
     ok = rows([("ds", "id1")], "ds string, id string")
     state = apply(hundred, g.mark_done(hundred, ok, at(1), strict=True))
-    with pytest.raises(Exception, match="not valid"):
+    with pytest.raises(Exception, match="not in run"):
         g.mark_done(state, ok, at(2), strict=True).collect()
 
 
@@ -130,3 +130,23 @@ def test_replay_only_of_files_that_are_there(rows, hundred):
     listing = rows([("id3",), ("id7",), ("other",)], "path string")
     got = g.processor_replay(hundred, "ds", listing).collect()
     assert sorted(r["ids"] for r in got) == ["id3", "id7"]
+
+
+def test_a_removal_wins_over_run_at_the_same_instant(rows):
+    events = [("a", "run", at_time(0), at_time(5)), ("a", None, at_time(0), at_time(5)), ("b", "run", at_time(0), at_time(5)), ("b", "done", at_time(0), at_time(5))]
+    got = g.latest_state(rows(events, "dsid string, status string, ts timestamp, at timestamp")).collect()
+    assert [(r["dsid"], r["status"]) for r in got] == [("b", "done")]
+
+
+def test_a_unit_of_later_time_is_done_after_a_compaction(spark, rows, tmp_path):
+    table = g.LedgerTable(spark, str(tmp_path / "ledger"))
+    future = rows([("ds\x01u", "run", at_time(1000), at_time(0))], "dsid string, status string, ts timestamp, at timestamp")
+    table.append(future, "a")
+    table.compact()
+    table.mark_done(rows([("ds", "u")], "ds string, id string"), at(10), "b")
+    assert [(r["status"], r["ts"]) for r in table.state().collect()] == [("done", at_time(1000))]
+    assert table.has("a") and table.has("b") and not table.has("c") and table.batch("b").count() == 1
+
+
+def at_time(seconds):
+    return dt.datetime(2024, 1, 1) + dt.timedelta(seconds=seconds)
