@@ -18,9 +18,16 @@ from millrace.session import shared_dir
 BLOCK_ROWS = 1 << 18
 
 
-def seq_block(seq: str, block_rows: int = BLOCK_ROWS) -> Column:
-    """Block of a row by a bigint that is unique in its key: at most ``block_rows`` rows each."""
-    return floor_div(F.col(seq), block_rows)
+def seq_block(seq: str, block_rows: int = BLOCK_ROWS, within: Sequence[str] = ()) -> Column:
+    """Block of a row by a bigint that is unique in its key, or in its key and the columns
+    ``within``, which come first in the order: at most ``block_rows`` rows each."""
+    block = floor_div(F.col(seq), block_rows)
+    return F.struct(*within, block.alias("block")) if within else block
+
+
+def present(rows: DataFrame, within: Sequence[str], keys: Sequence[str]) -> list[str]:
+    """Those of the columns that the rows have and that are no keys already."""
+    return [c for c in within if c in rows.columns and c not in keys]
 
 
 def block_totals(

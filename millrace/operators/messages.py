@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType
 
-from millrace.operators.blocks import BLOCK_ROWS, running_totals, seq_block
+from millrace.operators.blocks import BLOCK_ROWS, present, running_totals, seq_block
 from millrace.functions.timekeys import floor_div
 
 
@@ -66,17 +66,19 @@ def batch_messages(
     seq: str = "offset",
     stop_at_null: str | None = None,
     block_rows: int = BLOCK_ROWS,
-    ties: Sequence[str] = (),
+    within: Sequence[str] = ("partition",),
 ) -> DataFrame:
     """Add ``batch``: consecutive messages of a key in groups of ``size``.
 
-    With ``stop_at_null`` a key ends at its first message where that column is NULL. Where a
-    key spans several partitions of a topic, ``ties`` orders their equal offsets.
+    Offsets repeat in every partition of a topic, so the messages of a key are taken partition by
+    partition (the columns ``within`` that there are), and no block has more than ``block_rows`` of
+    them. With ``stop_at_null`` a key ends at its first message where that column is NULL.
     """
+    within = present(messages, within, keys)
     measures = {"_row": F.lit(1)}
     if stop_at_null:
         measures["_nulls"] = F.col(stop_at_null).isNull().cast("int")
-    numbered = running_totals(messages, keys, [seq, *ties], seq_block(seq, block_rows), measures)
+    numbered = running_totals(messages, keys, [*within, seq], seq_block(seq, block_rows, within), measures)
     if stop_at_null:
         numbered = numbered.where((F.col("_nulls") == 0) & F.col(stop_at_null).isNotNull())
     return numbered.withColumn("batch", floor_div(F.col("_row"), size)).drop(*measures)
@@ -90,7 +92,8 @@ def pack_messages(
     unit: str = "id",
 ) -> DataFrame:
     """One message per batch with its payloads and ids in order; a batch bounds the lists."""
-    items = F.sort_array(F.collect_list(F.struct(seq, value, unit)))
+    order = [*present(batched, ("partition",), keys), seq]
+    items = F.sort_array(F.collect_list(F.struct(*order, value, unit)))
     return batched.groupBy(*keys).agg(items.alias("_items")).select(
         *keys,
         F.transform("_items", lambda i: i[value]).alias("payloads"),
@@ -104,14 +107,17 @@ def group_by_key(
     seq: str = "offset",
     value: str = "line",
     group_rows: int = 4096,
+    within: Sequence[str] = ("partition",),
 ) -> DataFrame:
     """Lines of a key in order, ready to be written in one go.
 
-    A key comes in parts of at most ``group_rows`` values of ``seq`` (``part`` rises with it), so
-    a key of any size is never gathered in one place.
+    A key comes in parts of at most ``group_rows`` values of ``seq`` in a partition (the columns
+    ``within`` that there are; ``part`` rises with ``seq``), so a key of any size is never gathered
+    in one place.
     """
+    within = present(messages, within, keys)
     items = F.sort_array(F.collect_list(F.struct(seq, value)))
-    parts = messages.groupBy(*keys, seq_block(seq, group_rows).alias("part")).agg(
+    parts = messages.groupBy(*keys, *within, seq_block(seq, group_rows).alias("part")).agg(
         F.count("*").alias("n"), items.alias("_items")
     )
     return parts.withColumn("lines", F.transform("_items", lambda i: i[value])).drop("_items")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from millrace.functions.timekeys import floor_div
-from millrace.operators.blocks import BLOCK_ROWS, running_totals, seq_block
+from millrace.operators.blocks import BLOCK_ROWS, present, running_totals, seq_block
 
 # The default roll size in bytes and the default idle time in milliseconds.
 ROLL_BYTES = 134_217_728
@@ -26,15 +26,17 @@ def size_rolls(
     line: str = "line",
     roll_bytes: int = ROLL_BYTES,
     block_rows: int = BLOCK_ROWS,
-    ties: Sequence[str] = (),
+    within: Sequence[str] = ("partition",),
 ) -> DataFrame:
     """Add ``roll``: the number of whole roll sizes written to the key before the line.
 
-    A file therefore passes the roll size by less than the one line that crosses it. Where a key
-    spans several partitions of a topic, ``ties`` orders their equal offsets.
+    A file therefore passes the roll size by less than the one line that crosses it. A key that
+    spans several partitions of a topic is written partition by partition (the columns
+    ``within`` that there are).
     """
+    within = present(lines, within, keys)
     placed = running_totals(
-        lines, keys, [seq, *ties], seq_block(seq, block_rows), {"_bytes": line_bytes(F.col(line))}
+        lines, keys, [*within, seq], seq_block(seq, block_rows, within), {"_bytes": line_bytes(F.col(line))}
     )
     return placed.withColumn("roll", floor_div(F.col("_bytes"), roll_bytes)).drop("_bytes")
 

@@ -201,8 +201,8 @@ def explode_ids(spark, sf_dir):
 @query(ON_MESSAGES + """, ended AS (
   SELECT *, CASE WHEN topic = 'error' AND value LIKE '{"k": 99,%' THEN NULL ELSE coalesce(value, '') END AS payload FROM messages),
 cut AS (
-  SELECT *, sum(CASE WHEN payload IS NULL THEN 1 ELSE 0 END) OVER (PARTITION BY topic ORDER BY "offset") AS nulls,
-    row_number() OVER (PARTITION BY topic ORDER BY "offset") AS rn
+  SELECT *, sum(CASE WHEN payload IS NULL THEN 1 ELSE 0 END) OVER (PARTITION BY topic ORDER BY part, "offset") AS nulls,
+    row_number() OVER (PARTITION BY topic ORDER BY part, "offset") AS rn
   FROM ended)
 SELECT topic, (rn - 1) // 50 AS batch, count(*) AS n, min("offset") AS first_offset, max("offset") AS last_offset
 FROM cut WHERE nulls = 0 GROUP BY topic, (rn - 1) // 50
@@ -212,7 +212,7 @@ def batch_messages(spark, sf_dir):
     ends = (F.col("topic") == "error") & F.col("value").startswith('{"k": 99,')
     payload = F.when(~F.coalesce(ends, F.lit(False)), F.coalesce("value", F.lit("")))
     batches = ops.batch_messages(
-        rows.select("topic", "offset", payload.alias("payload")), 50, stop_at_null="payload", block_rows=BLOCK_ROWS
+        rows.select("topic", "partition", "offset", payload.alias("payload")), 50, stop_at_null="payload", block_rows=BLOCK_ROWS
     )
     return batches.groupBy("topic", "batch").agg(
         F.count("*").alias("n"), F.min("offset").alias("first_offset"), F.max("offset").alias("last_offset")
@@ -226,12 +226,12 @@ def priority_order(spark, sf_dir):
 
 
 @query(ON_PROCESSED + """
-SELECT key, "offset" // 512 AS part, count(*) AS n, string_agg(line, chr(10) ORDER BY "offset") AS body
-FROM processed GROUP BY key, "offset" // 512
+SELECT key, part AS "partition", "offset" // 512 AS part, count(*) AS n, string_agg(line, chr(10) ORDER BY "offset") AS body
+FROM processed GROUP BY key, processed.part, "offset" // 512
 """)
 def group_by_key(spark, sf_dir):
     groups = ops.group_by_key(processed(spark, sf_dir), ["key"], group_rows=512)
-    return groups.select("key", "part", "n", F.array_join("lines", "\n").alias("body"))
+    return groups.select("key", "partition", "part", "n", F.array_join("lines", "\n").alias("body"))
 
 
 # --- rolls ---------------------------------------------------------------------------------
@@ -240,7 +240,7 @@ def group_by_key(spark, sf_dir):
 @query(ON_PROCESSED + """
 SELECT topic, roll, count(*) AS n, sum(b) AS bytes, min("offset") AS first_offset, max("offset") AS last_offset
 FROM (
-  SELECT *, (sum(b) OVER (PARTITION BY topic ORDER BY "offset") - b) // 10000 AS roll
+  SELECT *, (sum(b) OVER (PARTITION BY topic ORDER BY part, "offset") - b) // 10000 AS roll
   FROM (SELECT *, strlen(line) + 1 AS b FROM processed))
 GROUP BY topic, roll
 """)

@@ -41,17 +41,22 @@ def test_batches_match_brute_force_for_any_block_size(rows, block_rows):
     data = skewed()
     got = m.batch_messages(rows(data, SCHEMA), 7, block_rows=block_rows).collect()
     seen, want = {}, {}
-    for topic, _, offset, _ in sorted(data, key=lambda r: r[2]):
+    for topic, _, offset, _ in sorted(data, key=lambda r: r[1:3]):
         want[offset] = seen.get(topic, 0) // 7
         seen[topic] = seen.get(topic, 0) + 1
     assert {r["offset"]: r["batch"] for r in got} == want and len(got) == len(data)
 
 
-def test_equal_offsets_of_partitions_are_ordered_by_ties(rows):
-    data = [("t", p, o, f"{o}-{p}") for p in range(3) for o in range(40)]
-    got = m.batch_messages(rows(data, SCHEMA), 5, block_rows=4, ties=["partition"]).collect()
-    want = {(o, p): i // 5 for i, (o, p) in enumerate((o, p) for o in range(40) for p in range(3))}
+def test_no_block_passes_its_bound_whatever_the_partitions(rows):
+    data = [("t", p, o, f"{o}-{p}") for p in range(100) for o in range(12)]
+    frame = rows(data, SCHEMA)
+    got = m.batch_messages(frame, 5, block_rows=4).collect()
+    want = {(o, p): i // 5 for i, (p, o) in enumerate((p, o) for p in range(100) for o in range(12))}
     assert {(r["offset"], r["partition"]): r["batch"] for r in got} == want
+    sizes = frame.groupBy("topic", blocks.seq_block("offset", 4, ["partition"]).alias("b")).count()
+    assert sizes.agg(F.max("count")).first()[0] == 4
+    groups = m.group_by_key(frame, ["topic"], value="value", group_rows=10).collect()
+    assert max(r["n"] for r in groups) <= 10 and sum(r["n"] for r in groups) == 1200
 
 
 def test_batches_end_at_the_first_null(rows):
@@ -68,8 +73,8 @@ def test_pack_and_group_keep_every_line(rows):
     assert max(len(r["ids"]) for r in packed) == 50
     groups = m.group_by_key(df, ["topic"], value="value", group_rows=100).collect()
     assert max(r["n"] for r in groups) <= 100 and sum(r["n"] for r in groups) == len(data)
-    hot = [v for r in sorted((g for g in groups if g["topic"] == "hot"), key=lambda g: g["part"]) for v in r["lines"]]
-    assert hot == [r[3] for r in data if r[0] == "hot"]
+    hot = [v for r in sorted((g for g in groups if g["topic"] == "hot"), key=lambda g: (g["partition"], g["part"])) for v in r["lines"]]
+    assert hot == [r[3] for r in sorted(data, key=lambda r: r[1:3]) if r[0] == "hot"]
 
 
 def test_priority_order(rows):
