@@ -174,13 +174,16 @@ class LedgerTable:
 
     A batch is written under its own name and replaced when it is written again, so a retried
     job leaves the ledger as one run would. ``compact`` and ``expire`` write the state as the
-    next version and are for one owner at a time; readers take the newest finished version.
+    next version and are for one owner at a time; readers take the newest finished version. An
+    owner may have the table compacted after every ``compact_every`` batches, which bounds the
+    folders that are listed and the events that are read; a batch that is repeated after that
+    finds its units changed already and adds nothing.
     """
 
     SCHEMA = "dsid string, status string, ts timestamp, at timestamp"
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
+    def __init__(self, spark: SparkSession, path: str, compact_every: int = 0):
+        self.spark, self.path, self.compact_every = spark, path.rstrip("/"), compact_every
 
     def _glob(self, pattern: str):
         path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{pattern}")
@@ -195,7 +198,10 @@ class LedgerTable:
     def append(self, events: DataFrame, batch: str) -> None:
         fields = StructType.fromDDL(self.SCHEMA)
         rows = events.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields])
-        rows.write.mode("overwrite").parquet(f"{self.path}/v={self._version()}/batch={batch}")
+        version = self._version()
+        rows.write.mode("overwrite").parquet(f"{self.path}/v={version}/batch={batch}")
+        if self.compact_every and len(self._glob(f"v={version}/batch=*/_SUCCESS")) > self.compact_every:
+            self.compact()
 
     def events(self, without: str | None = None) -> DataFrame:
         """All events, or those of the other batches when one is about to be written again."""

@@ -150,3 +150,13 @@ def test_a_unit_of_later_time_is_done_after_a_compaction(spark, rows, tmp_path):
 
 def at_time(seconds):
     return dt.datetime(2024, 1, 1) + dt.timedelta(seconds=seconds)
+
+
+def test_a_table_is_compacted_after_so_many_batches(spark, rows, tmp_path):
+    table = g.LedgerTable(spark, str(tmp_path / "ledger"), compact_every=3)
+    for k in range(8):
+        table.mark_run(rows([("ds", str(k))], "ds string, id string"), at(k), f"run-{k}")
+        table.mark_done(rows([("ds", str(k))], "ds string, id string"), at(k), f"done-{k}")
+        table.mark_done(rows([("ds", str(k))], "ds string, id string"), at(k), f"done-{k}")  # repeated
+    assert {r["status"]: r["n"] for r in g.status_counts(table.state(), "ds").collect()} == {"done": 8}
+    assert len(table._glob(f"v={table._version()}/batch=*/_SUCCESS")) <= 4 and table.has("run-0")
