@@ -29,9 +29,9 @@ UNKNOWN_PENALTY = 10.0  # an unknown character scores this much below the worst
 
 # A model is broadcast, so its size is bounded; what a task remembers is bounded too.
 MAX_MODEL_PIECES = 1 << 20
-REMEMBERED_WORDS = 250_000
-REMEMBERED_CHUNKS = 200_000
-REMEMBERED_PAIRS = 500_000
+REMEMBERED_WORDS = 150_000
+REMEMBERED_CHUNKS = 120_000
+REMEMBERED_PAIRS = 300_000
 SLICE = 2 << 20
 UNSET = -1 << 62
 REMEMBERED_LENGTH = 64

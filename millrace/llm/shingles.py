@@ -123,7 +123,7 @@ def distinct_shingles(texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarr
     return keys & np.uint64((1 << HASH_BITS) - 1), times, per_text
 
 
-def portions(texts: Sequence[str | None], more: Sequence[str | None] | None = None, chars: int = 8 << 20) -> Iterator[tuple[int, int]]:
+def portions(texts: Sequence[str | None], more: Sequence[str | None] | None = None, chars: int = 4 << 20) -> Iterator[tuple[int, int]]:
     """Ranges of texts (or pairs of texts) with about so many characters, which bounds the arrays of a task."""
     first = size = 0
     for k, text in enumerate(texts):
