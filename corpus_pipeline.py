@@ -12,22 +12,20 @@ from millrace.llm import decontaminate, language, lines, neardup, sentencepiece
 from millrace.llm.tables import load, stored
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-MIN_LANGUAGE_SCORE = 0.2  # a text that no language comes near
 
 
 def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Language ID: documents in which no language is recognised go.
 
-    These are NULL, empty and letterless texts and those with a score below
-    ``MIN_LANGUAGE_SCORE``. Learns from the documents that are not held out; if none has a
+    These are NULL, empty and letterless texts, and those without the n-grams of the language
+    that comes out best, such as texts in another script or of random letters. Learns from the documents that are not held out; if none has a
     language, nothing is known and only texts without a letter go.
     """
     model = language.fit(docs.where(~language.held_out()))
-    scored = language.with_language(docs.select(*COLUMNS), model, out="_lang", out_score="_score")
+    scored = language.with_language(docs.select(*COLUMNS), model, out="_lang", out_score="_score", out_known="_known")
     if not model.languages:
         return scored.where(F.col("text").rlike(r"\p{L}")).select(*COLUMNS)
-    known = (F.col("_lang") != language.UNKNOWN) & (F.col("_score") >= MIN_LANGUAGE_SCORE)
-    return scored.where(known).select(*COLUMNS)
+    return scored.where("_known").select(*COLUMNS)
 
 
 def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

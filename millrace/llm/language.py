@@ -5,6 +5,9 @@ mean of how many each has (blended spectrum, presence only). Ridge regression wi
 language is fitted in the space that a few landmark texts span (Nystroem): K(x, landmarks) times
 K(landmarks, landmarks) ** -1/2. Texts are scored in batches: one matrix product of their n-gram
 presence with that of the landmarks, and one with the weights.
+
+One language always comes out best, however strange the text. Whether a text is in that language
+at all is told by the share of its n-grams that the language's texts have (:func:`familiar`).
 """
 
 from __future__ import annotations
@@ -28,6 +31,12 @@ MAX_LANGUAGES = 256
 LANDMARKS = 256
 RIDGE = 1.0
 
+# A text is in a language if so many of its n-grams are usual there: this far up from the share
+# that any n-gram has to be usual to what all but a hundredth of the texts learned from reach.
+USUAL_TEXTS = 2
+STRANGE = 0.01
+FAMILIAR = 2 / 3
+
 CHUNK_CHARS = 1 << 20
 SCORE_TEXTS = 512  # texts scored at a time: 8 MB of presence
 
@@ -83,9 +92,11 @@ class Model:
     landmarks: np.ndarray  # packed presence
     weights: np.ndarray  # landmarks x languages
     bias: np.ndarray
+    usual: np.ndarray  # packed presence of the n-grams that are usual in each language
+    least: np.ndarray  # share of a text's n-grams that have to be
 
 
-EMPTY = Model([], np.zeros((0, 1 << PRESENCE_BITS - 3), np.uint8), np.zeros((0, 0)), np.zeros(0))
+EMPTY = Model([], np.zeros((0, 1 << PRESENCE_BITS - 3), np.uint8), np.zeros((0, 0)), np.zeros(0), np.zeros((0, 1 << PRESENCE_BITS - 3), np.uint8), np.zeros(0))
 
 
 def ridge(rows: np.ndarray, langs: np.ndarray, landmarks: int = LANDMARKS, penalty: float = RIDGE) -> Model:
@@ -108,7 +119,28 @@ def ridge(rows: np.ndarray, langs: np.ndarray, landmarks: int = LANDMARKS, penal
     middle, level = np.average(features, 0, share), np.average(target, 0, share)
     centred = (features - middle) * share[:, None]
     solved = np.linalg.solve(centred.T @ (features - middle) + penalty * np.eye(features.shape[1]), centred.T @ (target - level))
-    return Model(languages, np.packbits(chosen, axis=1), root @ solved, level - middle @ solved)
+    known = [usual(rows[langs == lang]) for lang in languages]
+    grams, least = np.packbits([g for g, _ in known], axis=1), np.array([n for _, n in known])
+    return Model(languages, np.packbits(chosen, axis=1), root @ solved, level - middle @ solved, grams, least)
+
+
+def usual(rows: np.ndarray) -> tuple[np.ndarray, float]:
+    """N-grams that ``USUAL_TEXTS`` of a language's texts have, and the share of them that a text needs.
+
+    A text learned from is measured by what the others have, as a new one would be. A language
+    with too few texts to tell needs nothing.
+    """
+    texts = rows.sum(0, dtype=np.int64)
+    own = (rows & (texts > USUAL_TEXTS)).sum(1) / np.maximum(rows.sum(1), 1)
+    grams = texts >= USUAL_TEXTS
+    any_gram, reached = grams.mean(), np.quantile(own, STRANGE, method="lower")
+    return grams, max(0.0, any_gram + FAMILIAR * (reached - any_gram)) if reached > any_gram else 0.0
+
+
+def familiar(rows: np.ndarray, best: np.ndarray, model: Model, grams: np.ndarray) -> np.ndarray:
+    """Whether texts have the n-grams of the language that came out best. ``grams`` are the usual ones, unpacked."""
+    found = (rows & grams[best]).sum(1)
+    return found >= model.least[best] * rows.sum(1)
 
 
 def fit(docs: DataFrame, doc: str = "doc_id", text: str = "text", lang: str = "lang", most: int = MAX_TRAINING) -> Model:
@@ -145,43 +177,55 @@ def fit(docs: DataFrame, doc: str = "doc_id", text: str = "text", lang: str = "l
     return ridge(np.unpackbits(bits, axis=1).astype(bool), langs) if len(langs) else EMPTY
 
 
-def scored(texts: Sequence[str | None], model: Model, landmarks: np.ndarray) -> tuple[list[str], np.ndarray]:
+def scored(
+    texts: Sequence[str | None], model: Model, landmarks: np.ndarray, grams: np.ndarray
+) -> tuple[list[str], np.ndarray, np.ndarray]:
     rows = presence(texts)
     lettered = rows.any(1)
     if not model.languages:
-        return [UNKNOWN] * len(texts), np.zeros(len(texts))
+        return [UNKNOWN] * len(texts), np.zeros(len(texts)), np.zeros(len(texts), bool)
     values = kernel(rows, landmarks).astype(np.float64) @ model.weights + model.bias
     best = values.argmax(1)
     score = np.clip((values[np.arange(len(texts)), best] + 1) / 2, 0, 1).round(4)
     names = [model.languages[k] if ok else UNKNOWN for k, ok in zip(best, lettered, strict=True)]
-    return names, np.where(lettered, score, 0.0)
+    return names, np.where(lettered, score, 0.0), lettered & familiar(rows, best, model, grams)
 
 
 def with_language(
-    docs: DataFrame, model: Model, text: str = "text", out: str = "lang_pred", out_score: str = "score"
+    docs: DataFrame,
+    model: Model,
+    text: str = "text",
+    out: str = "lang_pred",
+    out_score: str = "score",
+    out_known: str | None = None,
 ) -> DataFrame:
     """Add the predicted language and a score from 0 to 1. Only the text is looked at. No shuffle.
 
     ``und`` and 0 for NULL, empty and letterless texts, and for a model that knows no language.
-    Whole texts count, however long. Columns with the output names are replaced; rows stay.
+    ``out_known``, if named, tells whether the text has the n-grams of the predicted language; the
+    score does not: of K languages the best one scores 1/K or more, whatever the text. Whole texts
+    count, however long. Columns with the output names are replaced; rows stay.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         known = shared.value
-        landmarks = np.unpackbits(known.landmarks, axis=1).astype(bool)
+        landmarks, grams = (np.unpackbits(bits, axis=1).astype(bool) for bits in (known.landmarks, known.usual))
         for texts in batches:
-            values, langs, scores = texts.tolist(), [], []
+            values, langs, scores, sure = texts.tolist(), [], [], []
             for at in range(0, len(values), SCORE_TEXTS):
-                got = scored(values[at : at + SCORE_TEXTS], known, landmarks)
+                got = scored(values[at : at + SCORE_TEXTS], known, landmarks, grams)
                 langs += got[0]
                 scores.append(got[1])
-            yield pd.DataFrame({"lang": langs, "score": np.concatenate([*scores, []]).astype(float)})
+                sure.append(got[2])
+            both = {"score": np.concatenate([*scores, []]).astype(float), "known": np.concatenate([*sure, []]).astype(bool)}
+            yield pd.DataFrame({"lang": langs, **both})
 
-    guess = F.pandas_udf(predict, "lang string, score double", F.PandasUDFType.SCALAR_ITER)(F.col(text))
-    kept = [c for c in docs.columns if c not in (out, out_score, "_guess")]
+    guess = F.pandas_udf(predict, "lang string, score double, known boolean", F.PandasUDFType.SCALAR_ITER)(F.col(text))
+    kept = [c for c in docs.columns if c not in (out, out_score, out_known, "_guess")]
+    named = {"lang": out, "score": out_score, **({"known": out_known} if out_known else {})}
     return docs.select(*kept, guess.alias("_guess")).select(
-        *kept, F.col("_guess.lang").alias(out), F.col("_guess.score").alias(out_score)
+        *kept, *[F.col(f"_guess.{field}").alias(name) for field, name in named.items()]
     )
 
 

@@ -2,6 +2,7 @@
 
 import collections
 import pathlib
+import random
 import sys
 
 import pytest
@@ -89,6 +90,22 @@ def test_stages_do_what_their_operators_say(spark, rows):
     assert five.count() == four.count() and five.where("not round_trip").count() == 0
 
 
+def test_texts_in_no_learned_language_go(spark, rows):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select(*corpus_pipeline.COLUMNS)
+    chance = random.Random(5)
+    letters = lambda n: "".join(chance.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    strange = [
+        "Широкая электрификация южных губерний даст мощный толчок подъёму сельского хозяйства",
+        "Ξεσκεπάζω την ψυχοφθόρα βδελυγμία",
+        "".join(chr(0x4E00 + chance.randrange(3000)) for _ in range(400)),
+        letters(300),
+        " ".join(letters(chance.randint(2, 9)) for _ in range(5000)),
+    ]
+    more = rows([(-k - 1, t, None, None, len(t)) for k, t in enumerate(strange)], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    got = {r.doc_id for r in corpus_pipeline.keep_known_language(spark, docs.unionByName(more), SF_DIR).collect()}
+    assert got == {r.doc_id for r in docs.where(F.col("text").rlike(r"\p{L}")).collect()}
+
+
 @pytest.mark.parametrize("stage", corpus_pipeline.STAGES, ids=lambda s: s[0])
 def test_stages_take_odd_and_no_rows(spark, odd, stage):
     docs = odd.withColumn("source", F.lit(None).cast("string")).withColumn("n_chars", F.lit(None).cast("bigint"))
