@@ -23,7 +23,10 @@ WINDOW = 5
 MIN_WORDS = 10
 REPEAT_PERCENT = 20
 
-BINS = 16  # thresholds per statistic; the labels are counted in at most BINS ** 5 cells each
+# Thresholds are values that labelled documents have, told apart to a thousandth of the value (and to a
+# millionth near 0): under 1,000 for each factor e, so some 20,000 per statistic at most.
+FINENESS = 1000
+NEAR_ZERO = 1000
 MAX_RULES = 12
 MAX_CONDITIONS = 4
 MIN_PRECISION = 0.9  # of a rule on the labels it is pruned with
@@ -94,7 +97,7 @@ def with_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
 
 @dataclass(frozen=True)
 class Condition:
-    """A statistic at a bin or above, or at it or below. ``threshold`` is the bin's lower bound."""
+    """A statistic at a bin or above, or below it. ``threshold`` is the smallest value in the bin."""
 
     feature: str
     bin: int
@@ -122,54 +125,66 @@ def every(columns: Sequence[Column]) -> Column:
     return out
 
 
-def cells(labelled: DataFrame, label: str, doc: str) -> tuple[DataFrame, dict[str, list[float]]]:
-    """Labelled documents counted by the bins of their statistics, and the bins' lower bounds.
+def cells(labelled: DataFrame, label: str, doc: str) -> tuple[DataFrame, dict[str, dict[float, int]]]:
+    """Labelled documents counted by the bins of their statistics, and each bin by its smallest value.
 
-    All labels count. Documents are dealt by the hash of their id: two of three to grow rules on,
-    the third to prune them.
+    All labels count. Bins are as narrow for rare values as for frequent ones. Documents are dealt
+    by the hash of their id: two of three to grow rules on, the third to prune them.
     """
     values = labelled.select(
         (F.col(label) == 0).alias("bad"),
         (F.pmod(F.xxhash64(doc), F.lit(3)) < 2).alias("grow"),
         *[F.expr(e).cast("double").alias(f) for f, e in FEATURES.items()],
     )
-    shares = [k / BINS for k in range(1, BINS)]
-    bounds = values.agg(*[F.percentile_approx(f, shares, 10_000).alias(f) for f in FEATURES]).first()
-    edges = {f: sorted(set(bounds[f] or [])) for f in FEATURES}
-    bins = [sum((F.when(F.col(f) >= e, 1).otherwise(0) for e in edges[f]), F.lit(0)).alias(f) for f in FEATURES]
-    counted = values.select("bad", "grow", *bins).groupBy("bad", "grow", *FEATURES).agg(F.count("*").alias("n"))
+    binned = {f: F.floor(F.log1p(F.col(f) * NEAR_ZERO) * FINENESS).cast("int") for f in FEATURES}
+    each = F.array(*[F.struct(F.lit(f).alias("feature"), b.alias("bin"), F.col(f).alias("value")) for f, b in binned.items()])
+    lowest = values.select(F.explode(each).alias("f")).groupBy("f.feature", "f.bin").agg(F.min("f.value").alias("least"))
+    edges: dict[str, dict[float, int]] = {f: {} for f in FEATURES}
+    for r in lowest.where("bin is not null").orderBy("bin").collect():
+        edges[r["feature"]][r["least"]] = r["bin"]
+    counted = values.select("bad", "grow", *[b.alias(f) for f, b in binned.items()])
+    counted = counted.groupBy("bad", "grow", *FEATURES).agg(F.count("*").alias("n"))
     return stored(counted, "labelled-cells"), edges
 
 
-def counts(table: DataFrame, rule: Sequence[Condition]) -> dict[bool, tuple[int, int]]:
-    """Bad and good documents that a rule covers, among those to grow on and those to prune on."""
-    covered = table.where(every([c.covers_bin() for c in rule])).groupBy("grow").agg(
-        F.sum(F.when(F.col("bad"), F.col("n")).otherwise(0)).alias("bad"),
-        F.sum(F.when(F.col("bad"), 0).otherwise(F.col("n"))).alias("good"),
-    )
-    found = {r["grow"]: (r["bad"], r["good"]) for r in covered.collect()}
-    return {g: found.get(g, (0, 0)) for g in (True, False)}
+def counts(table: DataFrame, rule: Sequence[Condition]) -> list[tuple[int, int]]:
+    """Bad and good documents to prune on that each beginning of a rule covers."""
+    sums = []
+    for k in range(1, len(rule) + 1):
+        covered = every([c.covers_bin() for c in rule[:k]])
+        for bad in (F.col("bad"), ~F.col("bad")):
+            sums.append(F.coalesce(F.sum(F.when(covered & bad, F.col("n"))), F.lit(0)).alias(f"s{len(sums)}"))
+    found = table.where(~F.col("grow")).agg(*sums).first() if sums else ()
+    return [(found[i], found[i + 1]) for i in range(0, len(sums), 2)]
+
 
+def best_condition(table: DataFrame, rule: Sequence[Condition], edges: dict[str, dict[float, int]]) -> Condition | None:
+    """The condition with the largest information gain (FOIL) over the documents a rule covers.
 
-def best_condition(table: DataFrame, rule: Sequence[Condition], edges: dict[str, list[float]]) -> Condition | None:
-    """The condition with the largest information gain (FOIL) over the documents a rule covers."""
+    Of thresholds that part these documents alike, the one that covers most of the other values
+    counts: a rule reaches from the bad documents up to the next ones.
+    """
     each = F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).alias("bin")) for f in FEATURES])).alias("f")
     covered = table.where(F.col("grow") & every([c.covers_bin() for c in rule])).select("bad", "n", each)
-    by_bin: dict[tuple[str, int], list[int]] = {}
-    for r in covered.groupBy("f.feature", "f.bin", "bad").agg(F.sum("n").alias("n")).collect():
-        by_bin.setdefault((r["feature"], r["bin"]), [0, 0])[0 if r["bad"] else 1] += r["n"]
+    sums = [F.sum(F.when(F.col("bad") == b, F.col("n")).otherwise(0)).alias(name) for b, name in ((True, "bad"), (False, "good"))]
+    by_bin: dict[str, dict[int, tuple[int, int]]] = {}
+    for r in covered.groupBy("f.feature", "f.bin").agg(*sums).collect():
+        by_bin.setdefault(r["feature"], {})[r["bin"]] = (r["bad"], r["good"])
     best, chosen = 1e-9, None
     for feature, bounds in edges.items():
-        rows = {b: n for (f, b), n in by_bin.items() if f == feature}
+        rows = by_bin.get(feature, {})
         bad, good = (sum(n[i] for n in rows.values()) for i in (0, 1))
         if not bad or not good:
             continue
         before = math.log2(bad / (bad + good))
-        for k in range(1, len(bounds) + 1):
-            low = [sum(n[i] for b, n in rows.items() if b < k) for i in (0, 1)]
+        low = [0, 0]  # of the bins before
+        for threshold, k in bounds.items():
             for above, (p, n) in ((False, low), (True, [bad - low[0], good - low[1]])):
-                if p and (gain := p * (math.log2(p / (p + n)) - before)) > best:
-                    best, chosen = gain, Condition(feature, k, above, bounds[k - 1])
+                gain = p * (math.log2(p / (p + n)) - before) if p else 0.0
+                wider = gain == best and chosen is not None and (chosen.feature, chosen.above, above) == (feature, False, False)
+                if gain > best or wider:
+                    best, chosen = gain, Condition(feature, k, above, threshold)
+            low = [low[i] + rows.get(k, (0, 0))[i] for i in (0, 1)]
     return chosen
 
 
@@ -181,14 +196,14 @@ def learn_rules(
     No labels, or labels of one kind, give no rules.
     """
     table, edges = cells(labelled, label, doc)
-    left = table.coalesce(1)  # cells, not documents: their number is bounded by the bins
+    left = table
     rules: list[Rule] = []
     while len(rules) < MAX_RULES:
         rule: list[Condition] = []
         while len(rule) < MAX_CONDITIONS and (condition := best_condition(left, rule, edges)):
             rule.append(condition)
         # prune: the beginning of the rule that does best on labels it was not grown on
-        tried = [(rule[:k], *counts(left, rule[:k])[False]) for k in range(1, len(rule) + 1)]
+        tried = [(rule[:k], *n) for k, n in enumerate(counts(left, rule), 1)]
         good = [(r, p, n) for r, p, n in tried if p >= MIN_COVERED and p >= min_precision * (p + n)]
         if not good:
             break

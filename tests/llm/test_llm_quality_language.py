@@ -109,6 +109,21 @@ def test_grown_conditions_have_the_best_gain(rows):
     assert rule
 
 
+def test_rare_junk_and_junk_amid_good_values_is_found(rows):
+    """Three in a hundred have a symbol, as many words of one length that lies between good ones."""
+    chance, data = random.Random(4), []
+    for k in range(3000):
+        kind = chance.choices(["good", "symbols", "length"], [94, 3, 3])[0]
+        words = chance.randint(100, 400)
+        mean = 6.0 if kind == "length" else chance.choice([chance.uniform(4.5, 5.9), chance.uniform(6.1, 7.5)])
+        data.append((k, words, round(words * mean), chance.randint(1, 3) if kind == "symbols" else 0, 0, 0, int(kind == "good"), kind))
+    table = rows(data, "doc_id bigint, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, quality int, kind string")
+    judged = table.withColumn("kept", quality.verdict(quality.learn_rules(table)))
+    left = {(r.kind, r.kept): r["count"] for r in judged.groupBy("kind", "kept").count().collect()}
+    assert ("symbols", True) not in left and ("length", True) not in left
+    assert left.get(("good", False), 0) <= 5
+
+
 def test_labels_that_teach_nothing(rows, odd, clashing, no_rows):
     labels = "doc_id bigint, quality int, toxic int"
     for data in ([], [(1, None, 0), (None, 0, 0)], [(4, 1, 0), (4, 1, 0), (5, 0, 0), (5, 1, 1)]):
