@@ -43,6 +43,117 @@ TEMPLATES = [
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was "
         "not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
     ),
+    (
+        "AGPL-3.0-notice",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
+        "Affero General Public License as published by the Free Software Foundation, either version 3 of the "
+        "License, or (at your option) any later version.",
+    ),
+    (
+        "Apache-2.0-header",
+        "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in "
+        "compliance with the License. You may obtain a copy of the License at "
+        "http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, "
+        "software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR "
+        "CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing "
+        "permissions and limitations under the License.",
+    ),
+    (
+        "BSD-2-Clause",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
+        "that the following conditions are met: 1. Redistributions of source code must retain the above "
+        "copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary "
+        "form must reproduce the above copyright notice, this list of conditions and the following disclaimer in "
+        "the documentation and/or other materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY "
+        "THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT "
+        "NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE "
+        "DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, "
+        "INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF "
+        "SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED "
+        "AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR "
+        "OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF "
+        "SUCH DAMAGE.",
+    ),
+    (
+        "BSD-3-Clause",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
+        "that the following conditions are met: 1. Redistributions of source code must retain the above "
+        "copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary "
+        "form must reproduce the above copyright notice, this list of conditions and the following disclaimer in "
+        "the documentation and/or other materials provided with the distribution. 3. Neither the name of the "
+        "copyright holder nor the names of its contributors may be used to endorse or promote products derived "
+        "from this software without specific prior written permission. THIS SOFTWARE IS PROVIDED BY THE "
+        "COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT "
+        "LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE "
+        "DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, "
+        "INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF "
+        "SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED "
+        "AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR "
+        "OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF "
+        "SUCH DAMAGE.",
+    ),
+    (
+        "CC-BY-SA-4.0",
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    ),
+    (
+        "CC0-1.0",
+        "has waived all copyright and related or neighboring rights to this work",
+    ),
+    (
+        "CC0-1.0-notice",
+        "To the extent possible under law, the author(s) have dedicated all copyright and related and "
+        "neighboring rights to this software to the public domain worldwide. This software is distributed "
+        "without any warranty.",
+    ),
+    (
+        "GPL-2.0-notice",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU "
+        "General Public License as published by the Free Software Foundation; either version 2 of the License, "
+        "or (at your option) any later version.",
+    ),
+    (
+        "ISC",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
+        "hereby granted, provided that the above copyright notice and this permission notice appear in all "
+        "copies. THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS "
+        "SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR "
+        "BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER "
+        "RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER "
+        "TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.",
+    ),
+    (
+        "LGPL-2.1-notice",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU "
+        "Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the "
+        "License, or (at your option) any later version.",
+    ),
+    (
+        "LGPL-3.0-notice",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
+        "Lesser General Public License as published by the Free Software Foundation, either version 3 of the "
+        "License, or (at your option) any later version.",
+    ),
+    (
+        "MIT-text",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
+        "associated documentation files (the \"Software\"), to deal in the Software without restriction, including "
+        "without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell "
+        "copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to "
+        "the following conditions: The above copyright notice and this permission notice shall be included in "
+        "all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY "
+        "OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, "
+        "FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT "
+        "HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR "
+        "OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE "
+        "SOFTWARE.",
+    ),
+    (
+        "Unlicense",
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, "
+        "publish, use, compile, sell, or distribute this software, either in source code form or as a compiled "
+        "binary, for any purpose, commercial or non-commercial, and by any means.",
+    ),
 ]
 
 
@@ -98,7 +209,8 @@ def scan_licenses(
     read in windows of twice that size that begin at every multiple of it, so that a notice lies
     whole in one. A window retrieves a notice if one of ``bands`` minima agrees, and a notice counts
     if a window has a share of ``containment`` of its shingles. ``n_shared`` is the largest number
-    that a window has.
+    that a window has. Notices with much wording in common (GNU licenses, two and three BSD clauses)
+    are found together; the one meant is that with the largest ``n_shared / n_shingles``.
 
     A minimum can only agree where the window has the shingle that is the notice's minimum, so
     signatures are computed for documents that have such a shingle; the others cannot be found

@@ -194,6 +194,25 @@ def test_licenses(rows, odd, clashing, no_rows):
     assert scan(odd) == scan(clashing) == scan(no_rows) == {}
 
 
+def test_common_licenses_are_covered_and_have_the_largest_share_of_their_own_text(rows):
+    gnu = "This program is free software; you can redistribute it and/or modify it under the terms of the GNU %sGeneral Public License as published by the Free Software Foundation; either version %s of the License, or (at your option) any later version."
+    given = {
+        "GPL-3.0-notice": gnu % ("", "3"),
+        "GPL-2.0-notice": gnu % ("", "2"),
+        "LGPL-3.0-notice": gnu % ("Lesser ", "3"),
+        "LGPL-2.1-notice": (gnu % ("Lesser ", "2.1")).replace("program", "library"),
+        "AGPL-3.0-notice": gnu % ("Affero ", "3"),
+    }
+    names = "BSD-2-Clause BSD-3-Clause ISC CC-BY-SA-4.0 CC0-1.0 CC0-1.0-notice Unlicense MIT-text Apache-2.0-header".split()
+    given |= {n: dict(license.TEMPLATES)[n] for n in names}
+    docs = rows([(k, f"{prose(30, k)} {t} {prose(30, k + 99)}", "en") for k, t in enumerate(given.values())], TEXTS)
+    shares: dict = {}
+    for r in license.scan_licenses(docs).collect():
+        shares.setdefault(r.doc_id, {})[r.license] = (r.n_shared / r.n_shingles, r.n_shingles)
+    assert {k: max(found, key=found.get) for k, found in shares.items()} == dict(enumerate(given))
+    assert shares[0].keys() > {"GPL-3.0-notice"}
+
+
 def test_license_scan_runs_no_python(odd):
     plan = license.scan_licenses(odd)._jdf.queryExecution().executedPlan().toString()
     for bad in ("Python", "Pandas", "Arrow", "CartesianProduct", "BroadcastNestedLoopJoin"):
