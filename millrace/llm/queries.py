@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import chat, decontaminate, language, license, lines, neardup, quality, sentencepiece, tokencount, warc
+from millrace.llm import (
+    chat, decontaminate, language, license, lines, merkle, neardup, periodic, quality, sentencepiece, sharding, tokencount, warc,
+)
 from millrace.llm.tables import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -167,3 +169,87 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
     return tokencount.with_token_counts(docs).select("doc_id", "n_words", "n_tokens")
+
+
+def tree_sql(name: str, base: str, key: str, levels: int = 8) -> str:
+    """Common table expressions of the trees of ``base`` ({key}, idx, d), one per level (a tree ends with one node)
+    and, per level, what stands beside each node: for trees of up to 16 ** levels leaves."""
+    out = [f"{name}0 AS (SELECT {key}, idx, d, count(*) OVER (PARTITION BY {key}) AS n FROM {base})"]
+    for k in range(levels):
+        run = f"OVER (PARTITION BY {key}, idx // 16 ORDER BY idx ROWS BETWEEN"
+        out.append(
+            f"{name}{k + 1} AS (SELECT {key}, idx // 16 AS idx, sha256(string_agg(d, '' ORDER BY idx)) AS d, (max(n) + 15) // 16 AS n "
+            f"FROM {name}{k} WHERE n > 1 GROUP BY {key}, idx // 16)"
+        )
+        out.append(
+            f"{name}b{k} AS (SELECT {key}, idx, coalesce(string_agg(d, '') {run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l, "
+            f"coalesce(string_agg(d, '') {run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r FROM {name}{k} WHERE n > 1)"
+        )
+    roots = " UNION ALL ".join(f"SELECT {key}, d FROM {name}{k} WHERE n = 1" for k in range(levels + 1))
+    return ",\n".join([*out, f"{name}_root AS ({roots})"])
+
+
+def path_sql(name: str, tree: str, base: str, key: str, levels: int = 8) -> str:
+    """Common table expressions that take rows of ``base`` (r, {key}, idx, acc, proof) up a tree."""
+    out = [f"{name}0 AS (SELECT r, {key}, idx, acc, proof FROM {base})"]
+    for k in range(levels):
+        out.append(
+            f"{name}{k + 1} AS (SELECT p.r, p.{key}, p.idx // 16 AS idx, CASE WHEN b.l IS NULL THEN acc ELSE sha256(l || acc || b.r) END AS acc, "
+            f"CASE WHEN b.l IS NULL THEN proof ELSE proof || l || b.r END AS proof "
+            f"FROM {name}{k} p LEFT JOIN {tree}b{k} b ON b.{key} = p.{key} AND b.idx = p.idx)"
+        )
+    return ",\n".join(out)
+
+
+def leaf_sql(text: str) -> str:
+    columns = ["CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text]
+    return "sha256(" + " || ".join(f"coalesce(strlen({c}) || ':' || {c}, '-')" for c in columns) + ")"
+
+
+# CRC-32 of the decimal id, byte by byte with the usual table
+CRC_SQL = """crc_table AS (SELECT list_transform(range(256), lambda i: list_reduce(range(8),
+    lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)) AS t),
+crc AS (SELECT doc_id, xor(list_reduce(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda s: CAST(ascii(s) AS BIGINT)),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), CAST(4294967295 AS BIGINT)), 4294967295) AS crc
+  FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL), crc_table)"""
+
+
+@query(f"""
+WITH {CRC_SQL},
+docs AS (SELECT row_number() OVER () AS r, documents.*, coalesce(crc % 5 = 0, false) AS changed FROM documents LEFT JOIN crc USING (doc_id)),
+leaves AS (SELECT r, doc_id, source, {leaf_sql('text')} AS d,
+  {leaf_sql(f"CASE WHEN changed THEN translate(text, {UPPER_LOWER}) ELSE text END")} AS now FROM docs),
+names AS (SELECT source, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS s FROM (SELECT DISTINCT source FROM documents)),
+ordered AS (SELECT r, doc_id, s, d, now, row_number() OVER (PARTITION BY s ORDER BY doc_id NULLS FIRST, d) - 1 AS idx
+  FROM leaves JOIN names ON leaves.source IS NOT DISTINCT FROM names.source),
+{tree_sql('t', 'ordered', 's')},
+tops AS (SELECT 0 AS one, s AS idx, d FROM t_root),
+{tree_sql('u', 'tops', 'one')},
+start AS (SELECT r, s, idx, now AS acc, '' AS proof FROM ordered),
+{path_sql('p', 't', 'start', 's')},
+above AS (SELECT r, 0 AS one, s AS idx, acc, proof FROM p8),
+{path_sql('q', 'u', 'above', 'one')}
+SELECT doc_id, ordered.d AS leaf, t_root.d AS subroot, u_root.d AS root, sha256(proof) AS proof_sha256, acc AS folded_root,
+       acc = u_root.d AS verified
+FROM ordered JOIN q8 USING (r) JOIN t_root ON t_root.s = ordered.s CROSS JOIN u_root
+""")
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests and proofs of all documents, and what comes of the proof of those that were tampered with."""
+    docs = load(spark, sf_dir, "documents")
+    return merkle.merkle_manifest(docs, tampered=merkle.every_fifth(F.col("doc_id")))
+
+
+@query()
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The runs of every text, every tenth of which is made periodic first."""
+    return periodic.periodic_runs(load(spark, sf_dir, "documents"), planted=True)
+
+
+@query()
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in one of 16 shards, equal texts together, counts at most one apart."""
+    placed = sharding.balanced_shards(load(spark, sf_dir, "documents"))
+    return placed.select(
+        F.col("doc").alias("doc_id"), "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
