@@ -46,8 +46,11 @@ def tracked(spark, sf_dir) -> DataFrame:
 
 
 def left_ranges(spark, sf_dir) -> DataFrame:
-    there = listing_of_both(spark, sf_dir).where((F.col("ns") != NS) | ~F.col("file").endswith("8"))
-    return ops.recoverable_ranges(tracked(spark, sf_dir), there).select("file", "start", "end")
+    """Open ranges to recover; beside those of the listed files there are some of a file that vanished."""
+    known = tracked(spark, sf_dir)
+    vanished = known.withColumn("file", F.concat(F.lit("gone-"), "file")).withColumn("status", F.lit("run"))
+    ranges = ops.recoverable_ranges(known.unionByName(vanished), listing_of_both(spark, sf_dir))
+    return ranges.select("file", "start", "end")
 
 
 @query(ON_LINES + 'SELECT file, line_no, start, "end", value FROM lines')
@@ -65,7 +68,7 @@ def read_new_lines(spark, sf_dir):
 
 @query(ON_RANGES + """
 SELECT r.file, r.start AS range_start, r."end" AS range_end, l.start, l."end", l.value
-FROM ranges r JOIN lines l ON l.file = r.file AND l.start >= r.start AND l."end" <= r."end" WHERE r.status = 'run' AND NOT r.file LIKE '%8'
+FROM ranges r JOIN lines l ON l.file = r.file AND l.start >= r.start AND l."end" <= r."end" WHERE r.status = 'run'
 """)
 def read_ranges(spark, sf_dir):
     found = ops.read_ranges(placed(spark, sf_dir), left_ranges(spark, sf_dir), cell=4096)
@@ -108,7 +111,7 @@ def not_done_files(spark, sf_dir):
     return ops.not_done_files(progress(spark, sf_dir)).select("ns", "file", "size", "sent_size")
 
 
-@query(ON_RANGES + """SELECT file, start, "end" FROM ranges WHERE status = 'run' AND NOT file LIKE '%8'""")
+@query(ON_RANGES + """SELECT file, start, "end" FROM ranges WHERE status = 'run'""")
 def recoverable_ranges(spark, sf_dir):
     return left_ranges(spark, sf_dir)
 
@@ -116,7 +119,7 @@ def recoverable_ranges(spark, sf_dir):
 @query(ON_RANGES + """
 SELECT file, start // 4096 AS part, count(*) AS n, min(start) AS start, max("end") AS "end",
   string_agg(start || '-' || "end", ',' ORDER BY start) AS ranges
-FROM ranges WHERE status = 'run' AND NOT file LIKE '%8' GROUP BY file, start // 4096
+FROM ranges WHERE status = 'run' GROUP BY file, start // 4096
 """)
 def ranges_by_file(spark, sf_dir):
     grouped = ops.ranges_by_file(left_ranges(spark, sf_dir), cell=4096)
@@ -133,11 +136,11 @@ def deletable_files(spark, sf_dir):
 
 
 @query(ON_RANGES + """
-SELECT file FROM spaces WHERE sent_size <> size AND NOT file LIKE '%9'
-UNION SELECT file FROM ranges WHERE status = 'run' AND NOT file LIKE '%8'
+SELECT file FROM spaces WHERE sent_size <> size
+UNION SELECT file FROM ranges WHERE status = 'run'
 """)
 def merge_distinct(spark, sf_dir):
-    wanted = lambda file: ~file.endswith("9")
+    wanted = lambda file: ~file.startswith("gone-")
     return ops.files_to_read(progress(spark, sf_dir), left_ranges(spark, sf_dir), wanted)
 
 

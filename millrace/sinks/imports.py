@@ -23,6 +23,7 @@ from millrace.sources.lines import glob_paths, list_files, read_lines
 BASE_DIR = "/log/raw"
 MAX_FILES = 10_000  # files imported at a time, whose names the driver hands to the reader
 MAX_FOLDERS = 1000
+MAX_KINDS = 100  # of directories with different keys
 
 
 def file_name(path: Column) -> Column:
@@ -55,24 +56,34 @@ def import_manifest(
     )
 
 
+def readable() -> Column:
+    """Whether a row of a manifest has a place: its name gave a type and a date, and its directory is
+    of ``key=value`` parts. A unit without one is not imported, not marked and not deleted."""
+    parts = F.split("dir", "/")
+    return F.col("type").isNotNull() & F.coalesce(F.forall(parts, lambda p: p.contains("=")), F.lit(False))
+
+
 def import_lines(lines: DataFrame, manifest: DataFrame, out: str, codec: str = "gzip") -> None:
     """Write lines ``(id, value)`` of landed files below ``out/type=/<directory>/src=host-name``.
 
     Each task writes the files it reads, nothing moves; Spark's committer shows no half-written
-    file, and writing again replaces what was there. The directory is that of the manifest: its
-    ``key=value`` parts become partitions, whatever the directory model.
+    file, and writing again replaces what was there. The directory is that of each file in the manifest: its
+    ``key=value`` parts become partitions. Files whose directories have other keys (a model may
+    make them of the type) are written one kind of directory after the other.
     """
-    named = manifest.select(plain_path(F.col("id")).alias("id"), "type", "dir", "src")
+    named = manifest.where(readable()).select(plain_path(F.col("id")).alias("id"), "type", "dir", "src")
     read = lines.select(plain_path(F.col("id")).alias("id"), "value")
     found = lookup_join(read, named, ["id"], "inner", ["value"])
-    first = manifest.where("dir is not null").select("dir").first()
-    if first is None:
-        return
-    keys = [part.partition("=")[0] for part in first["dir"].split("/")]
-    parts = F.str_to_map("dir", F.lit("/"), F.lit("="))
-    placed = found.select("value", "type", *[parts[k].alias(k) for k in keys], "src")
-    writer = placed.write.mode("overwrite").partitionBy("type", *keys, "src")
-    writer.option("compression", codec).text(out)
+    keys_of = F.transform(F.split("dir", "/"), lambda p: F.substring_index(p, "=", 1))
+    kinds = [r["k"] for r in named.select(keys_of.alias("k")).distinct().orderBy("k").limit(MAX_KINDS + 1).collect()]
+    if len(kinds) > MAX_KINDS:
+        raise ValueError(f"more than {MAX_KINDS} kinds of directories")
+    for number, keys in enumerate(kinds):
+        parts = F.str_to_map("dir", F.lit("/"), F.lit("="))
+        mine = found.where(keys_of == F.array(*map(F.lit, keys)))
+        placed = mine.select("value", "type", *[parts[k].alias(k) for k in keys], "src")
+        writer = placed.write.mode("append" if number else "overwrite").partitionBy("type", *keys, "src")
+        writer.option("compression", codec).text(out)
 
 
 def import_files(
@@ -86,34 +97,62 @@ def import_files(
     landed: str | None = None,
     delete: bool = False,
     max_files: int = MAX_FILES,
+    quarantine: str | None = None,
     **models,
 ) -> None:
     """Copy the files that are units below ``out/batch=``, mark the units done, and then delete
     the files if asked to. Only the files of units are read.
 
-    A repeated batch replaces its own files, or does only what is left if it was marked already.
-    A unit whose file is gone counts as done, unless ``landed`` is given: then the units are
-    those whose file is in that folder, and the others wait. At most ``max_files`` files are taken
-    at a time; call again for more. ``models`` go to :func:`import_manifest`.
+    One call imports all of them, ``max_files`` at a time by id: each portion is written to a folder of its own
+    (``batch=<batch>``, the ones before the last ``batch=<batch>-<number>``) and marked done before the next is begun. A
+    repeated batch does only what is left. A unit whose file is gone counts as done, unless
+    ``landed`` is given: then the units are those whose file is in that folder, and the others wait.
+
+    A unit whose name the file model cannot place stays in ``run`` and its file where it is; it is listed in
+    ``quarantine/batch=`` (default: ``out`` with ``.quarantine`` after it). ``models`` go to :func:`import_manifest`.
     """
     name = f"done-{batch}"
     if not ledger.has(name):
+        earlier = 0
+        while ledger.has(f"{name}-{earlier}"):
+            marked = split_dsid(F.col("dsid"))
+            known = ledger.batch(f"{name}-{earlier}").select(marked["ds"].alias("ds"), marked["id"].alias("id"))
+            units = units.join(known, ["ds", "id"], "left_anti")
+            earlier += 1
         places = landed or _folders(units)
         listed = list_files(spark, places).select("path") if places else spark.createDataFrame([], "path string")
         there = listed.select(plain_path(F.col("path")).alias("_path")).distinct()
         here = units.join(there, plain_path(F.col("id")) == F.col("_path"), "left_semi")
-        gone = units.join(here.select("id"), "id", "left_anti")
-        chosen = here.orderBy("id").limit(max_files).select("ds", "id").collect()
-        taken = spark.createDataFrame(chosen, "ds string, id string")
-        if chosen:
-            lines = read_lines(spark, [r["id"] for r in chosen])
-            lines = lines.select(F.col("_metadata.file_path").alias("id"), "value")
-            manifest = import_manifest(taken, host, **models)
-            import_lines(lines, manifest, f"{out}/batch={batch}")
-        ledger.mark_done(taken if landed else taken.unionByName(gone.select("ds", "id")), at, name)
+        gone = units.join(here.select("id"), "id", "left_anti").select("ds", "id")
+        manifest = import_manifest(here, host, **models)
+        unplaced = manifest.where(~F.coalesce(readable(), F.lit(False)))
+        if unplaced.head(1):
+            letters = quarantine or f"{out.rstrip('/')}.quarantine"
+            unplaced.select("ds", "id", "name").write.mode("overwrite").parquet(f"{letters}/batch={batch}")
+        ready, last = manifest.where(readable()).select("ds", "id"), None
+        while True:
+            rest = ready if last is None else ready.where(F.col("id") > last)
+            chosen = rest.orderBy("id").limit(max_files).collect()
+            more = len(chosen) == max_files and bool(rest.where(F.col("id") > chosen[-1]["id"]).head(1))
+            part = f"{batch}-{earlier}" if more else batch
+            taken = spark.createDataFrame(chosen, "ds string, id string")
+            if chosen:
+                last = chosen[-1]["id"]
+                lines = read_lines(spark, sorted({r["id"] for r in chosen}))
+                lines = lines.select(F.col("_metadata.file_path").alias("id"), "value")
+                import_lines(lines, import_manifest(taken, host, **models), f"{out}/batch={part}")
+            ledger.mark_done(taken if landed or more else taken.unionByName(gone), at, f"done-{part}")
+            earlier += 1
+            if not more:
+                break
     if delete:
         done = split_dsid(F.col("dsid"))["id"].alias("path")
-        delete_files(ledger.batch(name).where(F.col("status") == DONE).select(done)).count()
+        parts, number = [name], 0
+        while ledger.has(f"{name}-{number}"):
+            parts.append(f"{name}-{number}")
+            number += 1
+        for part in parts:
+            delete_files(ledger.batch(part).where(F.col("status") == DONE).select(done)).count()
 
 
 def _folders(units: DataFrame) -> list[str]:
