@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import datetime
+
 import pandas as pd
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.operators import meters, processing
+from millrace.operators import files, meters, processing
 from millrace.operators.ledger import LedgerTable, deserialized, replay_run
 from millrace.plans.inputs import (
     LINES,
@@ -25,7 +27,8 @@ from millrace.plans.registry import query, table
 from millrace.session import new_folder
 from millrace.sinks import imports, text, topics as topic_sink
 from millrace.sources import lines as line_source, topics as topic_source
-from millrace.streaming import jobs
+from millrace.streaming import jobs, rolls
+from millrace.streaming.rolls import folder_name
 
 RECORDS = "topic string, partition int, offset bigint, value string, ts_ms bigint"
 TREE = "value string, topic string, dt string, hr string"
@@ -108,11 +111,6 @@ NESTED = "strftime(t, '%Y') AS year, strftime(t, '%m') AS month, strftime(t, '%d
 BY_DAY = "strftime(t, '%Y%m%d') AS day"
 
 
-def folder_name(path):
-    """The name of a landed file whose lines are in one folder ``name=<file name>``."""
-    return F.regexp_extract(path, r"name=([^/]+)/", 1)
-
-
 def landed_files(spark: SparkSession, sf_dir: str, name) -> tuple[str, LedgerTable]:
     """Messages as landed files of one topic and day each, every file tracked in ``run``."""
     folder = new_folder(spark, "landed")
@@ -120,8 +118,8 @@ def landed_files(spark: SparkSession, sf_dir: str, name) -> tuple[str, LedgerTab
     named = rows.select("value", name(F.col("topic"), F.date_trunc("day", F.timestamp_millis("ts_ms"))).alias("name"))
     text.clustered(named, ["name"]).write.partitionBy("name").text(folder)
     tracked = LedgerTable(spark, new_folder(spark, "ledger"))
-    files = line_source.list_files(spark, f"{folder}/name=*", "*.txt")
-    tracked.mark_run(files.select(F.lit("rolled").alias("ds"), F.col("path").alias("id")), instant(), "run-0")
+    found = line_source.list_files(spark, f"{folder}/name=*", "*.txt")
+    tracked.mark_run(found.select(F.lit("rolled").alias("ds"), F.col("path").alias("id")), instant(), "run-0")
     return f"{folder}/name=*", tracked
 
 
@@ -282,8 +280,64 @@ def rolled_files(spark, sf_dir):
         .groupBy(F.col("_metadata.file_path").alias("ids"), "topic", "hr")
         .agg(F.count("*").alias("n"), F.sum(F.octet_length("value")).alias("bytes"))
     )
-    files = written.join(deserialized(tracked.state()), "ids")
-    return files.groupBy("topic", "hr", "status").agg(F.sum("n").alias("n"), F.sum("bytes").alias("bytes"))
+    known = written.join(deserialized(tracked.state()), "ids")
+    return known.groupBy("topic", "hr", "status").agg(F.sum("n").alias("n"), F.sum("bytes").alias("bytes"))
+
+
+ROLL_BYTES, ROLL_BATCHES, IDLE_BATCHES = 20_000, 3, 2
+CLOSED_ROLLS = ON_PROCESSED.replace("WITH ", "WITH RECURSIVE ", 1) + f""", placed AS (
+  SELECT topic, hr, b, size, coalesce(sum(size) OVER (PARTITION BY topic, hr, b ORDER BY part, "offset" ROWS BETWEEN UNBOUNDED PRECEDING
+    AND 1 PRECEDING), 0) // {ROLL_BYTES // rolls.SEGMENTS_PER_ROLL} AS seg
+  FROM (SELECT topic, part, "offset", strlen(line) + 1 AS size, strftime(make_timestamp(line_ms * 1000), '%Y%m%d%H') AS hr,
+      ("offset" - lo) * {ROLL_BATCHES} // (hi - lo + 1) AS b
+    FROM processed, (SELECT min("offset") AS lo, max("offset") AS hi FROM messages))),
+segs AS (SELECT topic, hr, b, seg, count(*) AS n, sum(size) AS bytes, row_number() OVER (PARTITION BY topic, hr ORDER BY b, seg) AS k
+  FROM placed GROUP BY topic, hr, b, seg),
+r AS (SELECT topic, hr, k, b, b || '-' || seg AS first, n, bytes FROM segs WHERE k = 1
+  UNION ALL SELECT s.topic, s.hr, s.k, s.b, CASE WHEN anew THEN s.b || '-' || s.seg ELSE r.first END,
+    CASE WHEN anew THEN s.n ELSE r.n + s.n END, CASE WHEN anew THEN s.bytes ELSE r.bytes + s.bytes END
+  FROM (SELECT r.*, s.b AS sb, s.seg, s.n AS sn, s.bytes AS sbytes, s.k AS sk FROM r JOIN segs s ON s.topic = r.topic AND s.hr = r.hr AND s.k = r.k + 1) j,
+    LATERAL (SELECT j.topic, j.hr, j.sk AS k, j.sb AS b, j.seg, j.sn AS n, j.sbytes AS bytes, j.bytes >= {ROLL_BYTES} OR j.sb - j.b >= {IDLE_BATCHES} AS anew) s,
+    LATERAL (SELECT j.n, j.bytes, j.first) r),
+closed AS (SELECT topic || '_' || first || '_hr_' || hr AS name, CAST(max(n) AS BIGINT) AS n, CAST(max(bytes) AS BIGINT) AS bytes
+  FROM r GROUP BY topic, hr, first HAVING max(bytes) >= {ROLL_BYTES} OR max(b) + {IDLE_BATCHES} < {ROLL_BATCHES})
+"""
+
+
+def rolled_batches(spark: SparkSession, sf_dir: str) -> tuple[str, LedgerTable]:
+    """Messages that land in three parts, an hour after the other, as rolled files tracked in ``run``."""
+    rows = messages(spark, sf_dir)
+    chosen = settings(rows)
+    low, high = rows.agg(F.min("offset"), F.max("offset")).first()
+    part = F.floor((F.col("offset") - low) * ROLL_BATCHES / (high - low + 1))
+    landed, work, out, state = (new_folder(spark, n) for n in ("topics", "segments", "rolled", "stream"))
+    tracked = LedgerTable(spark, new_folder(spark, "ledger"))
+    for number in range(ROLL_BATCHES):
+        mine = rows.where(part == number).select("topic", "partition", "offset", "value", "ts_ms")
+        mine.write.mode("append").parquet(landed)
+        stream = topic_source.read_topic_files(spark, landed, RECORDS).drop("ts_ms")
+        lines = processing.process_messages(stream, chosen, F.lit(NOW_MS).cast("bigint"))
+        clock = lambda batch: datetime.datetime(2024, 2, 1, batch, tzinfo=datetime.timezone.utc)
+        rolls.write_segments(lines, work, f"{state}/lines", ROLL_BYTES, clock, every=None).awaitTermination()
+    idle = IDLE_BATCHES * 3_600_000
+    rolls.close_rolls(spark, work, out, tracked, "rolled", f"{state}/rolls", ROLL_BYTES, idle, instant(), every=None).awaitTermination()
+    return out, tracked
+
+
+@query(CLOSED_ROLLS + "SELECT name, 'done' AS status, n, bytes FROM closed")
+def rolls_to_done(spark, sf_dir):
+    """The way of a line from its topic through a file that goes on over three micro-batches, and is closed by
+    size or after two idle hours, into the dated tree."""
+    out, tracked = rolled_batches(spark, sf_dir)
+    tree, work = new_folder(spark, "imported"), new_folder(spark, "stream")
+    jobs.upload_stream(
+        spark, f"{out}/batch=*/name=*", tree, tracked, "rolled", HOST, work, delete=True, at=instant(), every=None,
+        name_of=folder_name,
+    ).awaitTermination()
+    done = deserialized(tracked.state()).select(folder_name(F.col("ids")).alias("name"), "status")
+    lines = imported(spark, tree, "dt hr").withColumn("name", F.expr(f"substring(src, {len(HOST) + 2})"))
+    sizes = lines.groupBy("name").agg(F.count("*").alias("n"), F.sum(F.octet_length("value") + 1).cast("bigint").alias("bytes"))
+    return sizes.join(done, "name").select("name", "status", "n", "bytes")
 
 
 def grow(docs: DataFrame, folder: str, whole: bool, files: int = 16) -> None:
@@ -319,6 +373,22 @@ def poll_files(spark, sf_dir):
     return polls[0].unionByName(polls[1]).unionByName(polls[2]).select(F.explode("lines").alias("value"))
 
 
+@query(with_ctes(LINES) + "SELECT value, 'run' AS status FROM lines")
+def tail_files(spark, sf_dir):
+    """The same files as a stream that reads what was appended: a line once, in a batch that is in ``run``."""
+    landed, work, state = new_folder(spark, "growing"), new_folder(spark, "tail"), new_folder(spark, "stream")
+    docs = table(spark, sf_dir, "documents")
+    tracked = LedgerTable(spark, new_folder(spark, "ledger"))
+    for whole in (False, True, True):
+        grow(docs, landed, whole)
+        jobs.tail_stream(
+            spark, landed, work, tracked, "documents", state, at=instant(), every=None, split_bytes=1 << 16
+        ).awaitTermination()
+    ranges = files.tracked_ranges(tracked.state()).select("file", "start", "end", "status")
+    batches = spark.read.parquet(f"{work}/lines/batch=*").join(ranges, ["file", "start", "end"])
+    return batches.select(F.explode("lines").alias("value"), "status")
+
+
 @query(with_ctes(MESSAGES, ROUTES) + """
 SELECT coalesce(processor, 'none') AS processor, value FROM messages LEFT JOIN routes USING (topic) WHERE value IS NOT NULL
 """)

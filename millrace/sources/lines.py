@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import fnmatch
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from millrace.functions.ids import plain_path
+
 
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Every line as ``value``; a carriage return stays part of its line."""
@@ -29,17 +29,29 @@ def read_placed_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     )
 
 
-def list_files(spark: SparkSession, path: str | list[str], pattern: str | None = None) -> DataFrame:
-    """``(path, size, mtime)`` of the files in directories or of globs; their content is not read.
+def list_files(
+    spark: SparkSession, path: str | list[str], pattern: str | None = None, deep: bool = False
+) -> DataFrame:
+    """``(path, size, mtime)`` of the files in directories or of globs, with ``deep`` in all folders below;
+    their content is not read.
 
-    Spark's reader passes over empty files, so those are looked up by name, as Spark itself
-    lists files: on the driver.
+    Spark lists the folders, in parallel where there are many. Its reader passes over empty files, so those of the
+    listing that it has not read are added: only they are looked up one by one.
     """
     reader = spark.read.format("binaryFile")
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
-    found = reader.load(path).select("path", F.col("length").alias("size"), F.col("modificationTime").alias("mtime"))
-    empty = [f for p in ([path] if isinstance(path, str) else path) for f in _empty_files(spark, p, pattern)]
+    if deep:
+        reader = reader.option("recursiveFileLookup", True)
+    read = reader.load(path)
+    found = read.select("path", F.col("length").alias("size"), F.col("modificationTime").alias("mtime"))
+    jvm = spark._jvm
+    names = jvm.scala.collection.immutable.ArraySeq.unsafeWrapArray(read._jdf.inputFiles())  # stays in the JVM
+    listed = DataFrame(spark._jsparkSession.createDataset(names, jvm.org.apache.spark.sql.Encoders.STRING()).toDF(), spark)
+    names_read = found.select(plain_path(F.col("path")).alias("value"))
+    decoded = F.url_decode(F.replace("value", F.lit("+"), F.lit("%2B")))
+    passed_over = listed.select(plain_path(decoded).alias("value")).join(names_read, "value", "left_anti")
+    empty = [_status(spark, row["value"]) for row in passed_over.collect()]
     if not empty:
         return found
     rows = spark.createDataFrame(empty, "path string, mtime_ms bigint")
@@ -54,14 +66,7 @@ def glob_paths(spark: SparkSession, pattern: str) -> list[str]:
     return [status.getPath().toString() for status in found]
 
 
-def _empty_files(spark: SparkSession, path: str, pattern: str | None) -> list[tuple[str, int]]:
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    place = jvm.org.apache.hadoop.fs.Path(path)
-    system, found = place.getFileSystem(conf), []
-    for top in system.globStatus(place) or []:
-        below = system.listStatus(top.getPath()) if top.isDirectory() else [top]
-        for status in below:
-            name = status.getPath().getName()
-            if status.isFile() and not status.getLen() and name[0] not in "._" and fnmatch.fnmatch(name, pattern or "*"):
-                found.append((status.getPath().toString(), status.getModificationTime()))
-    return found
+def _status(spark: SparkSession, path: str) -> tuple[str, int]:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    status = place.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(place)
+    return status.getPath().toString(), status.getModificationTime()

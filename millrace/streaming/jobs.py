@@ -38,6 +38,7 @@ from millrace.operators.routing import dispatch, route_all
 from millrace.sinks.imports import import_files
 from millrace.sinks.text import write_hourly
 from millrace.sources.lines import glob_paths, list_files, read_placed_lines
+from millrace.sources.tail import tail_lines
 
 POLL = "10 seconds"
 
@@ -98,9 +99,15 @@ def rolled_files(
     lines: DataFrame, out: str, ledger: LedgerTable, ds: str, checkpoint: str,
     at: Column | None = None, every: str | None = POLL, salts: int = 8,
 ) -> StreamingQuery:
-    """Write each micro-batch as closed hour files and track every file in ``run``."""
+    """Write each micro-batch as closed hour files and track every file in ``run``.
+
+    A repeated batch whose files are tracked already is left as it is, as they may be imported by now. Files that
+    go on over micro-batches until they have a size: :mod:`millrace.streaming.rolls`.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        if ledger.has(f"run-{batch_id}"):
+            return
         folder = f"{out}/batch={batch_id}"
         write_hourly(batch, folder, mode="overwrite", salt="offset", salts=salts)
         if not glob_paths(batch.sparkSession, f"{folder}/topic=*"):
@@ -197,6 +204,35 @@ def upload_stream(
     return (writer.trigger(processingTime=every) if every else writer.trigger(once=True)).start()
 
 
+def tail_stream(
+    spark: SparkSession, landed: str, work: str, ledger: LedgerTable, ns: str, checkpoint: str,
+    batch_size: int = 50, at: Column | None = None, every: str | None = POLL, **options,
+) -> StreamingQuery:
+    """Whole lines as they are appended to the files of a folder, in batches tracked in ``run``.
+
+    As :func:`poll_files`, but the positions are the stream's own and only appended bytes are read, whatever the
+    size of the files. Batches ``(file, start, end, n, lines)`` of one range each are in ``<work>/lines/batch=``; they
+    are written, then tracked. Options go to :func:`millrace.sources.tail.tail_lines`.
+    """
+
+    def track(lines: DataFrame, batch_id: int) -> None:
+        name = f"tail-{batch_id}"
+        if ledger.has(name):
+            return
+        numbered = lines.select(
+            plain_path(F.col("file")).alias("path"), "range_start", F.col("seq").alias("line_no"), "start", "end", "value"
+        )
+        # a range counts its own lines, so that a batch needs no other range
+        keyed = numbered.select(F.concat_ws("\x01", "path", "range_start").alias("file"), "line_no", "start", "end", "value")
+        batches = batch_lines(keyed, batch_size).withColumn("file", F.split_part("file", F.lit("\x01"), F.lit(1)))
+        folder = f"{work}/lines/batch={batch_id}"
+        batches.drop("batch").write.mode("overwrite").parquet(folder)
+        written = lines.sparkSession.read.schema("file string, start bigint, end bigint").parquet(folder)
+        ledger.mark_run(range_units(written, ns), F.current_timestamp() if at is None else at, name)
+
+    return _for_each_batch(tail_lines(spark, landed, **options), track, checkpoint, every)
+
+
 def poll_files(
     spark: SparkSession, landed: str, work: str, ledger: LedgerTable, ns: str, batch: int,
     batch_size: int = 50, at: Column | None = None, closed: bool = False, recover: bool = False,
