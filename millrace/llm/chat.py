@@ -5,11 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.functions.timekeys import floor_div
+from millrace.llm.merkle import placed
+from millrace.llm.tables import stored
 from millrace.operators.blocks import running_totals
+from millrace.operators.joins import lookup_join
 
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>"
 BLOCK_TURNS = 4096  # turns of a conversation that one task sums up at a time
 PART_TURNS = 1024  # turns of a conversation that are rendered into one text
+SLICE_ROWS = 4096  # different rows of a part that are rendered into one text
 SUMS = ["s1", "s2", "s3", "s4"]
 
 
@@ -65,6 +69,22 @@ def escaped(text: Column) -> Column:
     return F.regexp_replace(text, r"<\|(im_start|im_end)\|>", r"<\\|$1|>")
 
 
+def sliced(turns: DataFrame, slice_rows: int) -> DataFrame:
+    """Add ``slice``: 0, but in parts with more than ``slice_rows`` different rows the place of a row among them,
+    by so many. Only rows of such parts are sorted for that: of one turn number with very many texts, say."""
+    hashed = turns.select("conv", "part", "turn", F.xxhash64("role", "text").alias("h1"), F.xxhash64(F.lit("2"), "role", "text").alias("h2"))
+    heavy = hashed.distinct().groupBy("conv", "part").agg(F.count("*").alias("n")).where(F.col("n") > slice_rows)
+    heavy = stored(heavy, "heavy-parts")
+    if heavy.isEmpty():
+        return turns.withColumn("slice", F.lit(0).cast("bigint"))
+    marked = lookup_join(turns, heavy.select("conv", "part", F.lit(True).alias("many")), ["conv", "part"], "left", ["turn", "role", "text"])
+    many = marked.where("many").select(F.struct("conv", "part").alias("key"), "turn", "role", "text").distinct()
+    ranked = placed(many, "key", ["turn", "role", "text"])
+    cut = ranked.select("key.*", "turn", "role", "text", floor_div(F.col("idx"), slice_rows).alias("slice"))
+    few = marked.where("many is null").drop("many").withColumn("slice", F.lit(0).cast("bigint"))
+    return few.unionByName(cut)
+
+
 def format_chats(
     logs: DataFrame,
     conv: str = "conv_id",
@@ -72,12 +92,15 @@ def format_chats(
     role: str = "role",
     text: str = "text",
     part_turns: int = PART_TURNS,
+    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """Collapse logged conversations to maximal ones and render them.
 
-    Returns ``conv`` (named as in ``logs``), ``part``, ``n_turns``, ``n_logs`` and ``chat``. A chat is
-    rendered in parts of ``part_turns`` turn numbers, so that a very long one is no single value;
-    usual ones have part 0 alone, and parts joined in order are the whole chat.
+    Returns ``conv`` (named as in ``logs``), ``part``, ``slice``, ``n_turns``, ``n_logs`` and ``chat``. A chat is
+    rendered in parts of ``part_turns`` turn numbers, and a part with more than ``slice_rows`` different rows in
+    slices of so many, so that neither a very long chat nor a turn number with very many texts is one value or one task;
+    usual ones have part 0 and slice 0 alone. Joined in order they are the whole chat. The rows are
+    gathered by part and slice where they are read and move once.
 
     Turn numbers, roles and texts make two conversations equal. A row logged twice counts once;
     different rows of one turn are ordered by role and text. NULL role and text are empty, a NULL
@@ -85,15 +108,17 @@ def format_chats(
     empty table gives an empty table; other columns are ignored.
     """
     turns = turn_rows(logs, conv, turn, role, text)
-    kept = turns.join(maximal(turns), "conv")
-    part = F.greatest(floor_div(F.col("turn"), part_turns), F.lit(0)).alias("part")
-    parts = kept.groupBy("conv", part).agg(
-        F.first("n_logs").alias("n_logs"), F.sort_array(F.collect_set(F.struct("turn", "role", "text"))).alias("turns")
-    )
+    numbered = turns.withColumn("part", F.greatest(floor_div(F.col("turn"), part_turns), F.lit(0)))
+    numbered = sliced(numbered, slice_rows)
+    key = ["conv", "part", "slice"]
+    parts = numbered.groupBy(*key).agg(F.sort_array(F.collect_set(F.struct("turn", "role", "text"))).alias("turns"))
+    # a few numbers per part: those of one conversation may meet in one task
+    wanted = numbered.select(*key).distinct().join(maximal(turns), "conv")
     one = lambda t: F.concat(F.lit(OPEN), t["role"], F.lit("\n"), escaped(t["text"]), F.lit(CLOSE + "\n"))
-    return parts.select(
+    return parts.join(wanted, key).select(
         F.col("conv").alias(conv),
         "part",
+        "slice",
         F.size("turns").cast("bigint").alias("n_turns"),
         "n_logs",
         F.array_join(F.transform("turns", one), "").alias("chat"),

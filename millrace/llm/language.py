@@ -161,7 +161,8 @@ def fit(docs: DataFrame, doc: str = "doc_id", text: str = "text", lang: str = "l
         threshold = F.when(F.col(lang) == r[lang], min(steps, -(-steps * part // r["n"]))).otherwise(threshold)
     order = F.xxhash64(F.lit("sample"), doc)
     sampled = usable.where(F.pmod(order, F.lit(steps)) < threshold)
-    sampled = sampled.select(F.col(lang).cast("string").alias("lang"), order.alias("order"), text).limit(most)
+    sampled = sampled.select(F.col(lang).cast("string").alias("lang"), order.alias("order"), text)
+    sampled = sampled.orderBy("order").limit(most)  # the same texts, however the rows are dealt
 
     def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

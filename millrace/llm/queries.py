@@ -86,15 +86,17 @@ p AS (SELECT conv_id, turn, max(turn) OVER (PARTITION BY conv_id) AS last,
              sha256(string_agg(turn || chr(31) || said, chr(29)) OVER (PARTITION BY conv_id ORDER BY turn)) AS prefix FROM u),
 k AS (SELECT min(conv_id) AS conv_id, count(*) AS n_logs FROM p e WHERE turn = last AND NOT EXISTS
       (SELECT 1 FROM p o WHERE o.prefix = e.prefix AND o.turn < o.last) GROUP BY prefix)
-SELECT conv_id, CAST(greatest(turn // 1024, 0) AS BIGINT) AS part, count(*) AS n_turns, n_logs,
+SELECT conv_id, part, slice, count(*) AS n_turns, n_logs,
        sha256(string_agg('<|im_start|>' || role || chr(10)
               || regexp_replace(text, '<\|(im_start|im_end)\|>', '<\\|\1|>', 'g') || '<|im_end|>' || chr(10), ''
               ORDER BY turn, role, text)) AS chat_sha256
-FROM t JOIN k USING (conv_id) GROUP BY conv_id, greatest(turn // 1024, 0), n_logs
+FROM (SELECT *, (row_number() OVER (PARTITION BY conv_id, part ORDER BY turn, role, text) - 1) // 4096 AS slice
+      FROM (SELECT *, CAST(greatest(turn // 1024, 0) AS BIGINT) AS part FROM t)) JOIN k USING (conv_id)
+GROUP BY conv_id, part, slice, n_logs
 """)
 def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     chats = chat.format_chats(load(spark, sf_dir, "conversations"))
-    return chats.select("conv_id", "part", "n_turns", "n_logs", F.sha2("chat", 256).alias("chat_sha256"))
+    return chats.select("conv_id", "part", "slice", "n_turns", "n_logs", F.sha2("chat", 256).alias("chat_sha256"))
 
 
 @query()

@@ -11,9 +11,10 @@ from millrace.llm.tables import join_counted, stored, unstored
 from millrace.operators.blocks import running_totals
 
 SHARDS = 16
-ROUNDS = 12
+ROUNDS = 20
 HOT_ROWS = 1 << 16  # a link with more members is dealt over SALTS tasks and numbered in several blocks
 SALTS = 64
+SLACK = 16  # while documents move, a shard may be fuller by one part in so many
 LEVELS, PLACES = 8, 32  # candidates of two shards are admitted by so many levels of gain and hash places
 FINE = 1 << 20  # of the last place that fits, members are admitted by so many parts
 
@@ -72,7 +73,7 @@ def memberships(nodes: DataFrame, links: DataFrame | None) -> DataFrame:
     return stored(tied.select("node", "l1", "l2", "n", salt.alias("salt")), "shard-members")
 
 
-def choices(members: DataFrame, labels: DataFrame, open_shards: Sequence[int], heavy: int) -> DataFrame:
+def choices(members: DataFrame, labels: DataFrame, allowed: Sequence[int], roomy: Sequence[int], heavy: int) -> DataFrame:
     """The shard every linked document would like best, beside the one it is in.
 
     A link votes for a shard with its members there. Votes are counted on the map side, and a
@@ -91,10 +92,11 @@ def choices(members: DataFrame, labels: DataFrame, open_shards: Sequence[int], h
         F.sum("v.votes").alias("votes"), F.min(F.struct("l1", "l2")).alias("link"), F.max("n").alias("n")
     )
     link = F.col("link")
-    rank = F.struct("votes", F.xxhash64(link["l1"], link["l2"], F.col("shard")).alias("tie"), "shard")
-    allowed = F.col("shard").isin(list(open_shards)) | (F.col("shard") == F.col("now"))
+    tie = F.xxhash64(link["l1"], link["l2"], F.col("shard"))
+    rank = F.struct("votes", F.col("shard").isin(list(roomy)).alias("room"), tie.alias("tie"), "shard")
+    may = F.col("shard").isin(list(allowed)) | (F.col("shard") == F.col("now"))
     best = heard.groupBy("node", "k", "now").agg(
-        F.max(F.when(allowed, rank)).alias("best"),
+        F.max(F.when(may, rank)).alias("best"),
         F.sum(F.when(F.col("shard") == F.col("now"), F.col("votes"))).alias("here"),
         F.min("link").alias("link"),
         F.max("n").alias("n"),
@@ -132,10 +134,12 @@ def propagated(members: DataFrame, labels: DataFrame, shards: int, capacity: int
     load = [0] * shards
     for row in labels.groupBy("shard").count().collect():
         load[row["shard"]] = row["count"]
-    old = None
+    old, still = None, 0
     for turn in range(rounds):
+        # in turn with shards that are full, where documents may change places, and with those that have room
         free = [s for s in range(shards) if load[s] < capacity]
-        wishes = stored(choices(members, labels, free, max(1, capacity // 64)), "shard-wishes")
+        allowed = range(shards) if turn % 2 == 0 else free
+        wishes = stored(choices(members, labels, allowed, free, max(LEVELS, capacity // 64)), "shard-wishes")
         wanted = [[0] * shards for _ in range(shards)]
         for row in wishes.groupBy("now", "to").count().collect():
             wanted[row["now"]][row["to"]] = row["count"]
@@ -145,7 +149,8 @@ def propagated(members: DataFrame, labels: DataFrame, shards: int, capacity: int
             unstored(old)
         old = wishes
         load = [sum(wanted[s]) - sum(quotas[s]) + sum(q[s] for q in quotas) for s in range(shards)]
-        if sum(map(sum, quotas)) < 1:
+        still = still + 1 if sum(map(sum, quotas)) < 1 else 0
+        if still == 2:
             break
     return labels
 
@@ -181,7 +186,7 @@ def balanced_shards(
 
     Linked documents start in shards by hash. In every round each looks at the shards of those it
     is linked to and wants to go where most are; shards take as many as their quota leaves room
-    for, those with most to gain first. A link with more members than a shard holds fills shards one after the other.
+    for (a little more than its share while documents move), those with most to gain first. A link with more members than a shard holds fills shards one after the other.
     What has no links is no cut edge anywhere: it fills what room is left at the end. Should the linked
     alone overfill a shard, the last links in it go to where there is room.
 
@@ -198,7 +203,8 @@ def balanced_shards(
     linked = stored(nodes.join(first, "node"), "shard-linked")
     start = F.pmod(F.xxhash64(F.lit(1), "k"), F.lit(shards)).cast("int")
     labels = linked.select("node", "k", start.alias("shard"))
-    labels = stored(propagated(members, labels, shards, capacity, rounds).select("node", "shard"), "shard-labels")
+    room_for = capacity + capacity // SLACK + 1
+    labels = stored(propagated(members, labels, shards, room_for, rounds).select("node", "shard"), "shard-labels")
 
     load = [0] * shards
     for row in labels.groupBy("shard").count().collect():

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import re
 import uuid
@@ -35,6 +36,8 @@ RECORDS = pa.schema(
         ("payload_bytes", pa.int64()),
         ("payload_digest", pa.string()),
         ("digest_ok", pa.bool_()),
+        ("record_id", pa.string()),
+        ("refers_to_id", pa.string()),
         ("payload", pa.binary()),
     ]
 )
@@ -139,6 +142,21 @@ def write_archives(
     return stored(planned.mapInArrow(write, "path string, n_records bigint, n_bytes bigint"), "archives")
 
 
+def header_fields(raw: bytes, path: str) -> dict[str, str]:
+    """The fields of a record's head; a line that begins with white space goes on with the one before."""
+    try:
+        text = raw.decode("utf-8", "surrogatepass")
+    except UnicodeDecodeError:
+        text = raw.decode("latin-1")
+    first, *lines = re.sub(r"\r\n[ \t]+", " ", text).split("\r\n")
+    if not first.startswith("WARC/"):
+        raise ValueError(f"{path}: no WARC record")
+    head = {k.strip().lower(): v.strip() for k, _, v in (line.partition(":") for line in lines)}
+    if not re.fullmatch("[0-9]+", head.get("content-length", "")):
+        raise ValueError(f"{path}: a record without a length")
+    return head
+
+
 def members(stream, path: str) -> Iterator[tuple[dict[str, str], bytes]]:
     """Headers and block of every record, decompressed piece by piece.
 
@@ -154,10 +172,7 @@ def members(stream, path: str) -> Iterator[tuple[dict[str, str], bytes]]:
             got += unpack.decompress(data, CHUNK)
             data = unpack.unused_data if unpack.eof else unpack.unconsumed_tail or stream.read(CHUNK)
             if head is None and (at := got.find(b"\r\n\r\n")) >= 0:
-                first, *lines = bytes(got[:at]).decode("utf-8", "surrogatepass").split("\r\n")
-                if not first.startswith("WARC/1."):
-                    raise ValueError(f"{path}: no WARC record")
-                head = {k.lower(): v.strip() for k, _, v in (line.partition(":") for line in lines)}
+                head = header_fields(bytes(got[:at]), path)
                 del got[: at + 4]
                 need = int(head["content-length"])
             if need is not None and len(got) > need + 4:
@@ -168,37 +183,66 @@ def members(stream, path: str) -> Iterator[tuple[dict[str, str], bytes]]:
         data = data or stream.read(CHUNK)
 
 
+def digest_matches(given: str | None, data: bytes) -> bool | None:
+    """Whether data has a digest ``algorithm:value`` (hex or base32); None if none is given or the algorithm is unknown."""
+    algorithm, _, value = (given or "").strip().partition(":")
+    algorithm = algorithm.lower().replace("-", "")
+    if algorithm not in ("md5", "sha1", "sha256", "sha384", "sha512"):
+        return None
+    made = hashlib.new(algorithm, data)
+    return value.lower() == made.hexdigest() or value.upper().rstrip("=") == base64.b32encode(made.digest()).decode().rstrip("=")
+
+
+def own_id(value: str | None) -> int | None:
+    """The row id in a record id that this writer gave; others have none."""
+    found = ID.fullmatch(value or "")
+    return int(found[1]) if found and found[1] else None
+
+
 def parsed(head: dict[str, str], block: bytes) -> dict:
-    """A record's row. The digest of the block is verified, and of the payload where there is one."""
-    http, _, body = block.partition(b"\r\n\r\n")
-    length = re.search(rb"(?mi)^content-length:\s*(\d+)", http)
-    response = head["warc-type"] == "response"
-    ok = head["warc-block-digest"] == "sha256:" + hashlib.sha256(block).hexdigest()
-    digest = head["warc-payload-digest"].removeprefix("sha256:")
-    if response:
-        ok = ok and digest == hashlib.sha256(body).hexdigest() and int(length[1]) == len(body)
-    row_id = ID.fullmatch(head["warc-record-id"])[1]
-    refers = ID.fullmatch(head["warc-refers-to"])[1] if "warc-refers-to" in head else ""
+    """A record's row, of any type and any writer. Digests are verified by their own algorithm, where they are given."""
+    kind, http, body, length = head.get("warc-type"), b"", block, None
+    if head.get("content-type", "").lower().startswith("application/http") or block[:5] == b"HTTP/":
+        http, _, body = block.partition(b"\r\n\r\n")
+        length = re.search(rb"(?mi)^content-length:\s*(\d+)", http)
+    revisit = kind == "revisit"
+    checks = [digest_matches(head.get("warc-block-digest"), block)]
+    if not revisit and kind != "request":
+        same = digest_matches(head.get("warc-payload-digest"), body)
+        # of a chunked or encoded body the digest may be that of what it stands for
+        plain = not re.search(rb"(?mi)^(transfer|content)-encoding:", http)
+        checks.append(same if same or plain else None)
+    if own_id(head.get("warc-record-id")) is not None and length and not revisit:
+        checks.append(int(length[1]) == len(body))
+    known = [c for c in checks if c is not None]
+    given = head.get("warc-payload-digest")
     return {
-        "id": int(row_id) if row_id else None,
-        "record_type": head["warc-type"],
+        "id": own_id(head.get("warc-record-id")),
+        "record_type": kind,
         "uri": head.get("warc-target-uri"),
         "date": head.get("warc-date"),
-        "refers_to": int(refers) if refers else None,
-        "payload_bytes": int(length[1]),
-        "payload_digest": digest,
-        "digest_ok": ok,
-        "payload": body if response else None,
+        "refers_to": own_id(head.get("warc-refers-to")),
+        "payload_bytes": int(length[1]) if length and revisit else None if revisit else len(body),
+        "payload_digest": given.removeprefix("sha256:") if given else None,
+        "digest_ok": all(known) if known else None,
+        "record_id": head.get("warc-record-id"),
+        "refers_to_id": head.get("warc-refers-to"),
+        "payload": None if revisit else body,
     }
 
 
 def read_archives(spark: SparkSession, archives: DataFrame, payload: bool = True, strict: bool = True) -> DataFrame:
     """Read the archives that the column ``path`` names, one task per archive at a time.
 
-    Returns ``id, record_type, uri, date, refers_to, payload_bytes, payload_digest, digest_ok``
+    Returns ``id, record_type, uri, date, refers_to, payload_bytes, payload_digest, digest_ok, record_id, refers_to_id``
     and, if asked for, ``payload`` (NULL for revisits, whose length is that of their HTTP head).
-    A wrong frame always fails; a wrong digest fails unless ``strict`` is off, when ``digest_ok``
-    is false. An empty list gives no rows.
+
+    Archives of other writers are read too: records of every type, with or without an HTTP head (without one the
+    payload is the whole block). ``id`` and ``refers_to`` are the row ids of this writer and NULL in others' records, whose ids are in
+    ``record_id`` and ``refers_to_id``. ``payload_digest`` is a bare SHA-256, or ``algorithm:value`` as given,
+    or NULL. MD5 and SHA digests in hex or base32 are verified; ``digest_ok`` is NULL where there is none to verify.
+    A wrong or missing frame always fails with the archive's name; a wrong digest fails unless ``strict`` is off, when
+    ``digest_ok`` is false. An empty list gives no rows.
     """
     schema = RECORDS if payload else RECORDS.remove(RECORDS.get_field_index("payload"))
 
@@ -209,8 +253,8 @@ def read_archives(spark: SparkSession, archives: DataFrame, payload: bool = True
             with system.open_input_stream(place, compression=None) as stream:
                 for head, block in members(stream, path):
                     row = parsed(head, block)
-                    if strict and not row["digest_ok"]:
-                        raise ValueError(f"{path}: record {row['id']} does not have its digest")
+                    if strict and row["digest_ok"] is False:
+                        raise ValueError(f"{path}: record {row['record_id']} does not have its digest")
                     rows.append(row)
                     size += 500 + len(block) * payload
                     if size >= BATCH_BYTES:
@@ -218,6 +262,6 @@ def read_archives(spark: SparkSession, archives: DataFrame, payload: bool = True
                         rows, size = [], 0
             yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
-    columns = "id bigint, record_type string, uri string, date string, refers_to bigint, payload_bytes bigint, payload_digest string, digest_ok boolean"
-    paths = archives.select("path").repartition(max(1, archives.count()), "path")
+    columns = "id bigint, record_type string, uri string, date string, refers_to bigint, payload_bytes bigint, payload_digest string, digest_ok boolean, record_id string, refers_to_id string"
+    paths = archives.select("path").repartition(max(1, archives.count()))  # in turn, so that no task gets two
     return paths.mapInArrow(read, columns + (", payload binary" if payload else ""))
