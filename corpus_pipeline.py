@@ -40,13 +40,13 @@ def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def keep_one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Near-duplicates: of each class the document with the smallest id stays.
 
-    Rows that repeat an id are one document, of which one row stays. Documents without id are in
-    no class and stay.
+    Rows that repeat an id are one document: all its different texts stay or go with it, and of rows that
+    repeat id and text one stays. Documents without id are in no class and stay.
     """
     docs = docs.select(*COLUMNS)
     classes = neardup.near_duplicates(docs)
     first = classes.where("doc_id = class_id").select("doc_id")
-    named = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*COLUMNS)
+    named = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]).select(*COLUMNS)
     return named.unionByName(docs.where("doc_id is null"))
 
 
