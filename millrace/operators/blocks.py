@@ -102,6 +102,66 @@ def running_from(
     return rows.select(*[c for c in rows.columns if c not in carried], *sums)
 
 
+def same(left: Sequence[str], right: Sequence[str]) -> Column:
+    """Equality of columns, NULL being equal to NULL."""
+    test = F.lit(True)
+    for a, b in zip(left, right):
+        test = test & F.col(a).eqNullSafe(F.col(b))
+    return test
+
+
+def with_block_values(rows: DataFrame, keys: Sequence[str], values: DataFrame) -> DataFrame:
+    """Rows that carry ``_block`` with a few values of their block, found by key and block."""
+    names = [f"_v_{k}" for k in (*keys, "_block")]
+    named = values.select(*[F.col(k).alias(n) for k, n in zip((*keys, "_block"), names)], *[c for c in values.columns if c not in (*keys, "_block")])
+    return rows.join(named, same([*keys, "_block"], names), "left").drop(*names)
+
+
+def previous(rows: DataFrame, keys: Sequence[str], seq: Sequence[str], value: str, name: str) -> DataFrame:
+    """Add the value of the row before, of the same key, to rows that carry ``_block``.
+
+    The last value of each block is all that leaves it.
+    """
+    lasts = rows.groupBy(*keys, "_block").agg(F.max_by(value, F.struct(*seq)).alias("_last"))
+    before = Window.partitionBy(*keys).orderBy("_block")
+    lasts = lasts.select(*keys, "_block", F.lag("_last").over(before).alias("_before"))
+    inside = Window.partitionBy(*keys, "_block").orderBy(*seq)
+    found = with_block_values(rows, keys, lasts)
+    return found.withColumn(name, F.coalesce(F.lag(value).over(inside), "_before")).drop("_before")
+
+
+def running_since(
+    rows: DataFrame, keys: Sequence[str], seq: Sequence[str], measure: str, reset: str, name: str, resets: str
+) -> DataFrame:
+    """Add to rows that carry ``_block`` the sum of a measure over the earlier rows of the key since the last
+    row with ``reset``, and as ``resets`` how many of those there were, the row itself included.
+
+    What a block hands on is whether it has a reset, and its sum since the last one: combining two of these is
+    associative, so blocks are scanned one by one on all tasks and joined by a scan over the few blocks of a key.
+    """
+    order = Window.partitionBy(*keys, "_block").orderBy(*seq)
+    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cut = rows.withColumn("_cut", F.sum(F.col(reset).cast("bigint")).over(upto))
+    since = Window.partitionBy(*keys, "_block", "_cut").orderBy(*seq).rowsBetween(Window.unboundedPreceding, -1)
+    inside = cut.withColumn("_in", F.coalesce(F.sum(measure).over(since), F.lit(0)))
+    ends = inside.groupBy(*keys, "_block").agg(
+        F.max("_cut").alias("_cuts"), F.max_by(F.col("_in") + F.col(measure), F.struct(*seq)).alias("_tail")
+    )
+    blocks = Window.partitionBy(*keys).orderBy("_block")
+    far = blocks.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ends = ends.withColumn("_epoch", F.sum(F.when(F.col("_cuts") > 0, 1).otherwise(0)).over(far))
+    ends = ends.withColumn("_all", F.sum("_cuts").over(far))
+    epoch = Window.partitionBy(*keys, "_epoch").orderBy("_block").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ends = ends.withColumn("_sum", F.sum("_tail").over(epoch))
+    carried = ends.select(
+        *keys, "_block", F.coalesce(F.lag("_sum").over(blocks), F.lit(0)).alias("_carry"),
+        F.coalesce(F.lag("_all").over(blocks), F.lit(0)).alias("_earlier"),
+    )
+    found = with_block_values(inside, keys, carried)
+    total = F.col("_in") + F.when(F.col("_cut") == 0, F.col("_carry")).otherwise(0)
+    return found.select(*rows.columns, total.cast("bigint").alias(name), (F.col("_earlier") + F.col("_cut")).cast("bigint").alias(resets))
+
+
 def number_rows(rows: DataFrame, order: Sequence[str], name: str = "rownum") -> DataFrame:
     """Number all rows from 1 in an order that may have no dense key.
 

@@ -13,21 +13,25 @@ from millrace.functions.timekeys import floor_div
 def windowed_rate(
     rows: DataFrame, label: str, ts_ms: str, window_ms: int, size: Column | None = None
 ) -> DataFrame:
-    """Rows (and bytes) per second by label and window, with a ``total`` per window.
+    """Rows (and bytes) per second by label and window, and a ``total`` per window, where ``whole`` is true.
 
-    The total is taken from the sums of the labels, so the rows are read and shuffled once.
+    The total is taken from the sums of the labels, so the rows are read and shuffled once. A label
+    that is called ``total`` has rows of its own.
     """
     size = F.lit(0) if size is None else size
     per_label = rows.groupBy(floor_div(F.col(ts_ms), window_ms).alias("_w"), F.col(label).alias("_label")).agg(
         F.count("*").alias("n"), F.sum(size).alias("bytes")
     )
-    both = per_label.select("_w", "n", "bytes", F.explode(F.array("_label", F.lit("total"))).alias(label))
+    one = F.struct(F.col("_label").alias("l"), F.lit(False).alias("whole"))
+    both = per_label.select("_w", "n", "bytes", F.explode(F.array(one, F.struct(F.lit("total").alias("l"), F.lit(True).alias("whole")))).alias("_of"))
+    both = both.select("_w", "n", "bytes", F.col("_of.l").alias(label), F.col("_of.whole").alias("whole"))
     seconds = window_ms / 1000.0
     return (
-        both.groupBy("_w", label)
+        both.groupBy("_w", label, "whole")
         .agg(F.sum("n").alias("n"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"))
         .select(
             label,
+            "whole",
             (F.col("_w") * window_ms).alias("window_ms"),
             "n",
             "bytes",

@@ -7,11 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from millrace.functions.timekeys import floor_div
-from millrace.operators.blocks import BLOCK_ROWS, present, running_totals, seq_block
+from millrace.operators.blocks import BLOCK_ROWS, present, previous, running_since, running_totals, seq_block
 
 # The default roll size in bytes and the default idle time in milliseconds.
 ROLL_BYTES = 134_217_728
 IDLE_MS = 60_000
+SLOT_MS = 60_000
 
 
 def line_bytes(line: Column) -> Column:
@@ -75,6 +76,31 @@ def idle_rolls(
     )
 
 
+def size_and_idle_rolls(
+    lines: DataFrame,
+    keys: Sequence[str] = ("key",),
+    ts_ms: str = "ts_ms",
+    line: str = "line",
+    roll_bytes: int = ROLL_BYTES,
+    idle_ms: int = IDLE_MS,
+    seq: Sequence[str] = ("partition", "offset"),
+    slot_ms: int = SLOT_MS,
+) -> DataFrame:
+    """Add ``idle_no`` and ``roll``: a file ends after ``idle_ms`` without a line, or with the line that
+    fills it, whichever is first; the bytes are counted anew after an idle time.
+
+    Lines of a key are in order of time, then ``seq``. They are placed block by block, a block being
+    ``slot_ms`` of a key: what a key gets in that time has to fit in a task, the key has not.
+    """
+    order = [ts_ms, *seq]
+    blocked = lines.withColumn("_block", floor_div(F.col(ts_ms), slot_ms)).withColumn("_size", line_bytes(F.col(line)).cast("bigint"))
+    blocked = blocked.repartition(*keys, "_block")  # the rows move once, all steps read them from here
+    timed = previous(blocked, keys, order, ts_ms, "_prev")
+    idle = F.coalesce(F.col(ts_ms) - F.col("_prev") >= idle_ms, F.lit(False))
+    placed = running_since(timed.withColumn("_idle", idle), keys, order, "_size", "_idle", "_since", "idle_no")
+    return placed.select(*lines.columns, "idle_no", floor_div(F.col("_since"), roll_bytes).alias("roll"))
+
+
 def idle_rolls_stream(
     lines: DataFrame, keys: Sequence[str], ts: str, late: str, idle_ms: int = IDLE_MS
 ) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.operators import files, meters, processing
-from millrace.operators.ledger import LedgerTable, deserialized, replay_run
+from millrace.operators.ledger import LedgerTable, dedup_units_stream as dedup_stream, deserialized, replay_run
 from millrace.plans.inputs import (
     LINES,
     MESSAGES,
@@ -207,15 +207,15 @@ def write_topics(spark, sf_dir):
 
 
 @query(ON_PROCESSED + """, per AS (
-  SELECT topic, line_ms // 3600000 * 3600000 AS window_ms, count(*) AS n, sum(strlen(line)) AS bytes FROM processed GROUP BY 1, 2
-  UNION ALL SELECT 'total', line_ms // 3600000 * 3600000, count(*), sum(strlen(line)) FROM processed GROUP BY 2)
-SELECT topic, window_ms, n, bytes, n / 3600.0 AS n_per_sec, bytes / 3600.0 AS bytes_per_sec FROM per
+  SELECT topic, false AS whole, line_ms // 3600000 * 3600000 AS window_ms, count(*) AS n, sum(strlen(line)) AS bytes FROM processed GROUP BY ALL
+  UNION ALL SELECT 'total', true, line_ms // 3600000 * 3600000, count(*), sum(strlen(line)) FROM processed GROUP BY ALL)
+SELECT topic, whole, window_ms, n, bytes, n / 3600.0 AS n_per_sec, bytes / 3600.0 AS bytes_per_sec FROM per
 """)
 def throughput_report(spark, sf_dir):
     folder = new_folder(spark, "report")
     rates = meters.topic_throughput(processed(spark, sf_dir), window_ms=3_600_000)
     text.write_report(rates, folder)
-    schema = "topic string, window_ms bigint, n bigint, bytes bigint, n_per_sec double, bytes_per_sec double"
+    schema = "topic string, whole boolean, window_ms bigint, n bigint, bytes bigint, n_per_sec double, bytes_per_sec double"
     return spark.read.schema(schema).option("header", True).csv(folder)
 
 
@@ -284,6 +284,18 @@ def rolled_files(spark, sf_dir):
     return known.groupBy("topic", "hr", "status").agg(F.sum("n").alias("n"), F.sum("bytes").alias("bytes"))
 
 
+@query(ON_MESSAGES + "SELECT DISTINCT topic || chr(1) || part || '-' || ts_ms // 3600000 AS dsid FROM messages")
+def dedup_units_stream(spark, sf_dir):
+    """A unit per partition and hour, wanted by every message of it, once."""
+    stream = topic_source.read_topic_files(spark, landed_topics(spark, sf_dir), RECORDS)
+    hour = F.concat_ws("-", F.col("partition").cast("string"), F.floor(F.col("ts_ms") / 3_600_000).cast("string"))
+    units = stream.select(F.col("topic").alias("ds"), hour.alias("id"), F.timestamp_millis("ts_ms").alias("ts"))
+    out, work = new_folder(spark, "units"), new_folder(spark, "stream")
+    sink = dedup_stream(units, within="2 hours").writeStream.format("parquet").option("path", out)
+    jobs.triggered(sink.option("checkpointLocation", work), None).start().awaitTermination()
+    return spark.read.parquet(out).select("dsid")
+
+
 ROLL_BYTES, ROLL_BATCHES, IDLE_BATCHES = 20_000, 3, 2
 CLOSED_ROLLS = ON_PROCESSED.replace("WITH ", "WITH RECURSIVE ", 1) + f""", placed AS (
   SELECT topic, hr, b, size, coalesce(sum(size) OVER (PARTITION BY topic, hr, b ORDER BY part, "offset" ROWS BETWEEN UNBOUNDED PRECEDING

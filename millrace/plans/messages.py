@@ -266,6 +266,21 @@ def idle_rolls(spark, sf_dir):
     return rolls.idle_rolls(rows, ["topic"], line="value", idle_ms=900_000)
 
 
+@query(ON_MESSAGES + """, lines AS (
+  SELECT *, strlen(value) + 1 AS size, CASE WHEN ts_ms - lag(ts_ms) OVER w >= 900000 THEN 1 ELSE 0 END AS opens
+  FROM messages WHERE value IS NOT NULL WINDOW w AS (PARTITION BY topic ORDER BY ts_ms, part, "offset")),
+opened AS (SELECT *, sum(opens) OVER (PARTITION BY topic ORDER BY ts_ms, part, "offset") AS idle_no FROM lines)
+SELECT topic, "offset", CAST(idle_no AS BIGINT) AS idle_no,
+  CAST((sum(size) OVER (PARTITION BY topic, idle_no ORDER BY ts_ms, part, "offset") - size) // 300 AS BIGINT) AS roll
+FROM opened
+""")
+def size_and_idle_rolls(spark, sf_dir):
+    """The file of every line, where files end by size or by 15 idle minutes."""
+    rows = messages(spark, sf_dir).where("value is not null")
+    placed = rolls.size_and_idle_rolls(rows, ["topic"], line="value", roll_bytes=300, idle_ms=900_000, slot_ms=3_600_000)
+    return placed.select("topic", "offset", "idle_no", "roll")
+
+
 # --- hooks ---------------------------------------------------------------------------------
 
 ON_PAIRS = """WITH pairs AS (

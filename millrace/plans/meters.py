@@ -16,9 +16,9 @@ HOUR = 3_600_000
 
 
 @query(ON_PROCESSED + """, per AS (
-  SELECT topic, line_ms // 3600000 * 3600000 AS window_ms, count(*) AS n, sum(strlen(line)) AS bytes FROM processed GROUP BY 1, 2
-  UNION ALL SELECT 'total', line_ms // 3600000 * 3600000, count(*), sum(strlen(line)) FROM processed GROUP BY 2)
-SELECT topic, window_ms, n, bytes, round(n / 3600.0::DOUBLE, 9) AS n_per_sec, round(bytes / 3600.0::DOUBLE, 9) AS bytes_per_sec FROM per
+  SELECT topic, false AS whole, line_ms // 3600000 * 3600000 AS window_ms, count(*) AS n, sum(strlen(line)) AS bytes FROM processed GROUP BY ALL
+  UNION ALL SELECT 'total', true, line_ms // 3600000 * 3600000, count(*), sum(strlen(line)) FROM processed GROUP BY ALL)
+SELECT topic, whole, window_ms, n, bytes, round(n / 3600.0::DOUBLE, 9) AS n_per_sec, round(bytes / 3600.0::DOUBLE, 9) AS bytes_per_sec FROM per
 """)
 def topic_throughput(spark, sf_dir):
     rates = ops.topic_throughput(processed(spark, sf_dir), window_ms=HOUR)
@@ -26,9 +26,9 @@ def topic_throughput(spark, sf_dir):
 
 
 @query(with_ctes(MESSAGES, ROUTES) + """, per AS (
-  SELECT processor, ts_ms // 3600000 * 3600000 AS window_ms, count(*) AS n FROM messages JOIN routes USING (topic) GROUP BY 1, 2
-  UNION ALL SELECT 'total', ts_ms // 3600000 * 3600000, count(*) FROM messages JOIN routes USING (topic) GROUP BY 2)
-SELECT processor, window_ms, n, round(n / 3600.0::DOUBLE, 9) AS n_per_sec FROM per
+  SELECT processor, false AS whole, ts_ms // 3600000 * 3600000 AS window_ms, count(*) AS n FROM messages JOIN routes USING (topic) GROUP BY ALL
+  UNION ALL SELECT 'total', true, ts_ms // 3600000 * 3600000, count(*) FROM messages JOIN routes USING (topic) GROUP BY ALL)
+SELECT processor, whole, window_ms, n, round(n / 3600.0::DOUBLE, 9) AS n_per_sec FROM per
 """)
 def publish_rate(spark, sf_dir):
     rows = messages(spark, sf_dir)

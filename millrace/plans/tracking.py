@@ -9,6 +9,7 @@ from millrace.functions.timekeys import epoch_millis
 from millrace.operators import ledger as ops
 from millrace.plans.inputs import ON_LEDGER, ON_UNITS, ledger, order_source, units
 from millrace.plans.registry import query, table
+from millrace.session import new_folder
 
 CHANGED = "2005-01-01 00:00:00"  # an instant after all orders
 
@@ -67,7 +68,7 @@ SELECT dsid, status, epoch_ms(ts) AS ts_ms FROM ledger ORDER BY dsid, ts, status
 """)
 def page_deep(spark, sf_dir):
     """A page far down the ledger, without gathering the rows before it."""
-    return shown(ops.page(ledger(spark, sf_dir), 1000, 200, top_k=500))
+    return shown(ops.page(ledger(spark, sf_dir), 1000, 200, range_rows=500))
 
 
 @query(ON_LEDGER + """
@@ -173,3 +174,21 @@ def processor_replay(spark, sf_dir):
     there = table(spark, sf_dir, "lineitem").where("l_linestatus = 'O'")
     listing = there.select(F.col("l_orderkey").cast("string").alias("path"))
     return ops.processor_replay(ledger(spark, sf_dir), "orders", listing).select("ds", "ids")
+
+
+@query("""
+SELECT ds || chr(1) || id AS dsid, CASE WHEN status = 'F' THEN 'done' ELSE 'run' END AS status, 946684800000 AS ts_ms
+FROM (SELECT 'orders-' || o_orderpriority AS ds, o_orderkey AS id, o_orderstatus AS status FROM orders)
+""")
+def ledger_table(spark, sf_dir):
+    """Orders as units of a stored ledger: tracked, compacted, and some marked done batch by batch."""
+    orders = table(spark, sf_dir, "orders")
+    source = F.concat(F.lit("orders-"), F.col("o_orderpriority")).alias("ds")
+    wanted = orders.select(source, F.col("o_orderkey").alias("id"), "o_orderstatus", "o_orderpriority")
+    kept = ops.LedgerTable(spark, new_folder(spark, "ledger"))
+    kept.mark_run(wanted, instant("2000-01-01 00:00:00").cast("timestamp"), "run")
+    kept.compact()
+    for turn in range(2):
+        mine = wanted.where((F.col("o_orderstatus") == "F") & ((F.left("o_orderpriority", F.lit(1)) <= "2") == (turn == 0)))
+        kept.mark_done(mine, instant().cast("timestamp"), f"done-{turn}")
+    return kept.state().select("dsid", "status", F.unix_millis("ts").alias("ts_ms"))

@@ -26,7 +26,7 @@ from millrace.operators.files import (
     sent_size,
     tracked_ranges,
 )
-from millrace.operators.ledger import RUN, LedgerTable, deserialized, of_source
+from millrace.operators.ledger import RUN, LedgerTable, deserialized
 from millrace.operators.processing import (
     dead_letter,
     decode_messages,
@@ -63,20 +63,21 @@ def throughput_stream(
     lines: DataFrame, checkpoint: str, out: str | None = None,
     width: str = "1 minute", late: str = "1 minute", every: str | None = POLL,
 ) -> StreamingQuery:
-    """Messages and bytes per second by topic and in ``total``, to CSV files or to the console.
+    """Messages and bytes per second by topic and in ``total`` (``whole``), to CSV files or to the console.
 
     A window is reported once the watermark has passed it.
     """
     written = lines.where(F.col("line").isNotNull()).withWatermark("ts", late)
-    labels = F.explode(F.array("topic", F.lit("total"))).alias("topic")
+    one, whole = (F.struct(l.alias("topic"), F.lit(w).alias("whole")) for l, w in ((F.col("topic"), False), (F.lit("total"), True)))
     counts = (
-        written.select("ts", F.octet_length("line").alias("size"), labels)
-        .groupBy(F.window("ts", width).alias("_w"), "topic")
+        written.select("ts", F.octet_length("line").alias("size"), F.explode(F.array(one, whole)).alias("_of"))
+        .select("ts", "size", "_of.*")
+        .groupBy(F.window("ts", width).alias("_w"), "topic", "whole")
         .agg(F.count("*").alias("n"), F.sum("size").alias("bytes"))
     )
     seconds = F.unix_seconds("_w.end") - F.unix_seconds("_w.start")
     rates = counts.select(
-        "topic", F.unix_millis("_w.start").alias("window_ms"), "n", "bytes",
+        "topic", "whole", F.unix_millis("_w.start").alias("window_ms"), "n", "bytes",
         (F.col("n") / seconds).alias("n_per_sec"), (F.col("bytes") / seconds).alias("bytes_per_sec"),
     )
     writer = rates.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
@@ -195,7 +196,7 @@ def upload_stream(
     ticks = spark.readStream.format("rate-micro-batch").option("rowsPerBatch", 1).option("numPartitions", 1).load()
 
     def upload(batch: DataFrame, batch_id: int) -> None:
-        running = of_source(ledger.state(f"done-{batch_id}"), ds).where(F.col("status") == RUN)
+        running = ledger.state(f"done-{batch_id}", ds).where(F.col("status") == RUN)
         units = deserialized(running).select("ds", F.col("ids").alias("id"))
         moment = F.current_timestamp() if at is None else at
         import_files(spark, units, out, ledger, str(batch_id), host, moment, landed=landed, delete=delete, **options)
@@ -260,7 +261,7 @@ def poll_files(
         lines = read_placed_lines(spark, paths)
         parts.append(batch_lines(read_new_lines(lines, sent_size(positions), closed), batch_size).withColumn("again", F.lit(False)))
     if recover:
-        state = of_source(ledger.state(f"poll-{batch}"), ns)
+        state = ledger.state(f"poll-{batch}", ns)
         open_ranges = tracked_ranges(state).where(F.col("status") == RUN).select("file", "start", "end")
         left = open_ranges.select(plain_path(F.col("file")).alias("file")).distinct()
         if paths := [r["path"] for r in here.join(left, "file", "left_semi").select("path").collect()]:

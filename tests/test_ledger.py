@@ -74,7 +74,7 @@ def test_done_wins_at_the_same_instant(rows):
     assert [r["status"] for r in g.latest_state(events).collect()] == ["done"]
 
 
-@pytest.mark.parametrize("top_k", [1000, 5])
+@pytest.mark.parametrize("top_k", [1000, 41])
 def test_pages_do_not_overlap(hundred, top_k):
     ids = [r["dsid"] for r in sorted(hundred.collect())]
     first = [r["dsid"] for r in g.page(hundred, 0, 40, top_k).collect()]
@@ -160,3 +160,65 @@ def test_a_table_is_compacted_after_so_many_batches(spark, rows, tmp_path):
         table.mark_done(rows([("ds", str(k))], "ds string, id string"), at(k), f"done-{k}")  # repeated
     assert {r["status"]: r["n"] for r in g.status_counts(table.state(), "ds").collect()} == {"done": 8}
     assert len(table._glob(f"v={table._version()}/batch=*/_SUCCESS")) <= 4 and table.has("run-0")
+
+
+@pytest.mark.parametrize(("splits", "range_rows"), [(4, 50), (16, 60), (256, 45)])
+def test_pages_are_found_by_rank_at_every_depth(spark, monkeypatch, splits, range_rows):
+    monkeypatch.setattr(g, "SPLITS", splits)
+    state = spark.range(3000).selectExpr("concat('d', id % 1500) AS dsid", "if(id < 1500, 'run', 'done') AS status", "timestamp_seconds(id) AS ts")
+    want = [tuple(r) for r in state.select("dsid", "ts", "status").orderBy("dsid", "ts", "status").collect()]
+    for start in (0, 44, 45, 777, 1499, 2960, 2990, 3000, 9000):
+        got = [(r["dsid"], r["ts"], r["status"]) for r in g.page(state, start, 40, range_rows).collect()]
+        assert got == want[start : start + 40]
+
+
+def test_a_page_of_one_repeated_id(spark):
+    state = spark.range(500).selectExpr("'same' AS dsid", "'run' AS status", "timestamp_seconds(id) AS ts")
+    assert [r["ts"].second for r in g.page(state, 60, 3, 10).collect()] == [0, 1, 2]
+    assert g.page(state, 500, 3, 10).count() == 0
+
+
+def test_dedup_state_of_a_stream_is_bounded_by_time(spark, tmp_path):
+    schema, seen = "ds string, id string, ts timestamp", []
+    for hour in range(6):
+        rows = [("r", f"{hour}-{k % 20}", k * 10) for k in range(100)]  # each unit five times within the hour
+        units = spark.createDataFrame(rows, "ds string, id string, s int").selectExpr("ds", "id", f"timestamp_seconds({hour * 3600} + s) AS ts")
+        units.coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        stream = spark.readStream.schema(schema).parquet(f"{tmp_path}/in")
+        sink = g.dedup_units_stream(stream, within="30 minutes").writeStream.format("parquet").option("path", f"{tmp_path}/out")
+        run = sink.option("checkpointLocation", f"{tmp_path}/check").trigger(availableNow=True).start()
+        run.awaitTermination()
+        seen.append(run.lastProgress["stateOperators"][0]["numRowsTotal"])
+    assert max(seen) <= 40 and seen[-1] <= 20  # 120 units in all
+    out = spark.read.parquet(f"{tmp_path}/out")
+    assert out.count() == out.select("dsid").distinct().count() == 120
+
+
+def test_marking_reads_the_buckets_of_its_units_alone(spark, rows, tmp_path):
+    table = g.LedgerTable(spark, str(tmp_path / "ledger"), buckets=8)
+    units = [(ds, str(k)) for ds in ("a", "b", "") for k in range(40)]
+    table.mark_run(rows(units, "ds string, id string"), at(0), "run")
+    before = sorted(map(tuple, table.state().collect()))
+    table.compact()
+    assert sorted(map(tuple, table.state().collect())) == before and len(before) == 120
+    one = rows([("a", "7")], "ds string, id string")
+    plan = table.events(where=table._touched(one))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [(src" in plan.replace("isnotnull(src", "(src") or "PartitionFilters: [" in plan and "src#" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    read = table.events(where=table._touched(one)).inputFiles()
+    got = table.events(where=table._touched(one)).collect()
+    assert 0 < len(got) < 20 and ("a\x017" in {r["dsid"] for r in got}) and read
+    # files of other buckets may be unreadable
+    for path in (tmp_path / "ledger").rglob("src=b/bucket=*/*.parquet"):
+        path.write_bytes(b"broken")
+    table.mark_done(one, at(1), "done")
+    table.mark_done(rows([("", "3")], "ds string, id string"), at(1), "done-2")
+    table.mark_run(rows([("a", "7"), ("a", "new")], "ds string, id string"), at(2), "run-2")
+    state = {r["dsid"]: r["status"] for r in table.state(ds="a").collect()}
+    assert len(state) == 41 and state["a\x017"] == "done" and state["a\x01new"] == "run"
+    assert {r["status"]: r["count"] for r in table.state(ds="").groupBy("status").count().collect()} == {"run": 39, "done": 1}
+
+
+def test_a_compaction_of_nothing(spark, tmp_path):
+    table = g.LedgerTable(spark, str(tmp_path / "ledger"))
+    table.compact()
+    assert table.state().count() == 0

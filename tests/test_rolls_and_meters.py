@@ -67,6 +67,30 @@ def test_rates_and_total(rows):
         ("a", 0, 2, 5, 2.0, 5.0), ("b", 0, 1, 1, 1.0, 1.0), ("b", 2000, 1, 2, 1.0, 2.0),
         ("total", 0, 3, 6, 3.0, 6.0), ("total", 2000, 1, 2, 1.0, 2.0),
     ]
+    assert {r["whole"] for r in got if r["topic"] == "total"} == {True}
+    named = meters.topic_throughput(rows([("total", 0, 1, "x"), ("a", 1, 2, "y")], LINES).withColumnRenamed("key", "topic")).collect()
+    assert sorted((r["topic"], r["whole"], r["n"]) for r in named) == [("a", False, 1), ("total", False, 1), ("total", True, 2)]
+
+
+@pytest.mark.parametrize("slot_ms", [1, 3000, 1 << 40])
+@pytest.mark.parametrize(("size", "idle"), [(200, 2500), (1, 1000), (10**9, 2500), (300, 10**9)])
+def test_size_and_idle_rolls_match_brute_force(rows, slot_ms, size, idle):
+    open_files, want = {}, {}
+    for key, offset, ts, line in skewed(900):
+        last, number, written = open_files.get(key, (ts, 0, 0))
+        if ts - last >= idle:
+            number, written = number + 1, 0
+        want[offset] = (number, written // size)
+        open_files[key] = (ts, number, written + len(line.encode()) + 1)
+    got = rolls.size_and_idle_rolls(rows(skewed(900), LINES), roll_bytes=size, idle_ms=idle, seq=["offset"], slot_ms=slot_ms).collect()
+    assert {r["offset"]: (r["idle_no"], r["roll"]) for r in got} == want
+
+
+def test_size_and_idle_rolls_of_null_keys_and_no_lines(rows):
+    data = [(None, 0, 0, "x"), (None, 1, 5000, "y"), (None, 2, 5001, None), ("k", 3, 0, "z")]
+    got = rolls.size_and_idle_rolls(rows(data, LINES), roll_bytes=2, idle_ms=1000, seq=["offset"], slot_ms=10).collect()
+    assert {r["offset"]: (r["idle_no"], r["roll"]) for r in got} == {0: (0, 0), 1: (1, 0), 2: (1, 1), 3: (0, 0)}
+    assert rolls.size_and_idle_rolls(rows([], LINES), seq=["offset"]).count() == 0
 
 
 def test_counters(rows):

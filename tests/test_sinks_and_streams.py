@@ -364,7 +364,7 @@ def test_throughput_stream_reports_closed_windows(spark, tmp_path):
     spark.createDataFrame(lines, "topic string, ts timestamp, line string").coalesce(1).write.parquet(folder)
     stream = spark.readStream.schema("topic string, ts timestamp, line string").parquet(folder)
     jobs.throughput_stream(stream, str(tmp_path / "w"), out, "10 seconds", "0 seconds", every=None).awaitTermination()
-    schema = "topic string, window_ms bigint, n bigint, bytes bigint, n_per_sec double, bytes_per_sec double"
+    schema = "topic string, whole boolean, window_ms bigint, n bigint, bytes bigint, n_per_sec double, bytes_per_sec double"
     got = spark.read.schema(schema).option("header", True).csv(out).collect()
     first = int(start.replace(tzinfo=dt.timezone.utc).timestamp() * 1000)
     assert sorted((r["topic"], r["window_ms"] - first, r["n"], r["bytes"], r["n_per_sec"]) for r in got) == [
