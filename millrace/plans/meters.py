@@ -36,6 +36,40 @@ def publish_rate(spark, sf_dir):
     return rates.withColumn("n_per_sec", F.round("n_per_sec", 9))
 
 
+def rate_sql(minutes: int) -> str:
+    part = f"CASE WHEN t = t0 THEN 1 ELSE 1 - exp(-1 / 12e0 / {minutes}) END"
+    return f"round(sum(c.n / 300e0 * {part} * exp(-(m * 12 + 11 - t) / 12e0 / {minutes})), 9) AS rate_{minutes}"
+
+
+@query(ON_MESSAGES + f"""
+, c AS (SELECT topic, ts_ms // 300000 AS t, count(*) AS n FROM messages GROUP BY ALL),
+f AS (SELECT topic, min(t) AS t0 FROM c GROUP BY topic), m AS (SELECT DISTINCT topic, t // 12 AS m FROM c)
+SELECT topic, m * 3600000 AS minute_ms, {rate_sql(1)}, {rate_sql(5)}, {rate_sql(15)}
+FROM m JOIN f USING (topic) JOIN c USING (topic) WHERE t <= m * 12 + 11 GROUP BY topic, m
+""")
+def moving_rates(spark, sf_dir):
+    """Rates that fade, with ticks of five minutes, so that a minute of twelve ticks is an hour."""
+    rates = ops.moving_rates(messages(spark, sf_dir), "topic", tick_ms=300_000)
+    return rates.withColumns({f"rate_{m}": F.round(f"rate_{m}", 9) for m in ops.MINUTES})
+
+
+@query("""
+SELECT l_returnflag AS name, q, count(*) AS n, min(l_extendedprice) AS min, max(l_extendedprice) AS max, true AS close
+FROM lineitem, (SELECT unnest([0.5::DOUBLE, 0.75, 0.95, 0.98, 0.99, 0.999]) AS q) GROUP BY ALL
+""")
+def value_sketches(spark, sf_dir):
+    """Quantiles of prices from a sketch per flag and month, and whether their true ranks are as close as promised."""
+    items = table(spark, sf_dir, "lineitem").select(
+        F.col("l_returnflag").alias("name"), F.col("l_extendedprice").cast("double").alias("value"),
+        (F.unix_date(F.trunc(F.col("l_shipdate").cast("date"), "month")).cast("bigint") * 86_400_000).alias("ts_ms"),
+    )
+    found = ops.sketched_quantiles(ops.value_sketches(items, width_ms=86_400_000), ["name"])
+    ranked = items.join(F.broadcast(found), "name").groupBy("name", "q", "n", "min", "max").agg(
+        F.avg((items["value"] <= found["value"]).cast("double")).alias("rank")
+    )  # a row per name and quantile is broadcast
+    return ranked.select("name", "q", "n", "min", "max", (F.abs(F.col("rank") - F.col("q")) <= 0.02).alias("close"))
+
+
 @query(ON_MESSAGES + """
 SELECT topic, part AS "partition", "offset" // 500 AS batch, min("offset") AS min_offset, max("offset") AS max_offset, count(*) AS n
 FROM messages GROUP BY topic, part, "offset" // 500

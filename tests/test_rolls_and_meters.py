@@ -93,6 +93,40 @@ def test_size_and_idle_rolls_of_null_keys_and_no_lines(rows):
     assert rolls.size_and_idle_rolls(rows([], LINES), seq=["offset"]).count() == 0
 
 
+def test_moving_rates_are_those_of_a_tick_by_tick_meter(rows):
+    rng = random.Random(8)
+    ticks = {k: sorted(rng.choice([rng.randrange(60), rng.randrange(40_000)]) for _ in range(150)) for k in ("a", None)}
+    data = [(k, i, t * 5000 + rng.randrange(5000), "") for k, ts in ticks.items() for i, t in enumerate(ts)]
+    got = {(r["key"], r["minute_ms"]): r for r in meters.moving_rates(rows(data, LINES), "key").collect()}
+    seen = set()
+    for key, ts in ticks.items():
+        rates, counts = None, {t: ts.count(t) for t in ts}
+        for t in range(min(ts), max(ts) // 12 * 12 + 12):
+            now = counts.get(t, 0) / 5
+            rates = [now] * 3 if rates is None else [r + (1 - math.exp(-5 / 60 / m)) * (now - r) for r, m in zip(rates, meters.MINUTES)]
+            minute = t // 12
+            if t % 12 == 11 and any(x // 12 == minute for x in ts):
+                row = got[key, minute * 60_000]
+                seen.add((key, minute * 60_000))
+                for m, want in zip(meters.MINUTES, rates):
+                    assert row[f"rate_{m}"] == pytest.approx(want, rel=1e-9, abs=1e-15)
+    assert seen == set(got)
+    assert meters.moving_rates(rows([], LINES), "key").count() == 0
+
+
+def test_sketches_of_doubles_and_odd_values(rows):
+    rng = random.Random(4)
+    data = [("n", k * 10, rng.random()) for k in range(20_000)] + [("one", 0, 2.5), ("none", 0, None), (None, 0, -1.0)]
+    sketches = meters.value_sketches(rows(data, "name string, ts_ms bigint, value double"))
+    assert sketches.count() == 4 + 2
+    got = {(r["name"], r["q"]): r for r in meters.sketched_quantiles(sketches, ["name"]).collect()}
+    values = sorted(v for name, _, v in data if name == "n")
+    for q in meters.QUANTILES:
+        assert abs(sum(v <= got["n", q]["value"] for v in values) / len(values) - q) < 0.02
+        assert got["one", q]["value"] == 2.5 and got[None, q]["value"] == -1.0
+    assert got["n", 0.5]["n"] == 20_000 and got["n", 0.5]["max"] == values[-1]
+
+
 def test_counters(rows):
     df = rows([("a", 3), ("a", -1), ("b", 1)], "name string, delta bigint")
     assert {r["name"]: r["value"] for r in meters.counter_totals(df).collect()} == {"a": 2, "b": 1}
