@@ -69,14 +69,14 @@ def escaped(text: Column) -> Column:
     return F.regexp_replace(text, r"<\|(im_start|im_end)\|>", r"<\\|$1|>")
 
 
-def sliced(turns: DataFrame, slice_rows: int) -> DataFrame:
-    """Add ``slice``: 0, but in parts with more than ``slice_rows`` different rows the place of a row among them,
+def sliced(turns: DataFrame, slice_rows: int) -> DataFrame | None:
+    """Add ``slice`` (None if no part needs it): 0, but in parts with more than ``slice_rows`` different rows the place of a row among them,
     by so many. Only rows of such parts are sorted for that: of one turn number with very many texts, say."""
     hashed = turns.select("conv", "part", "turn", F.xxhash64("role", "text").alias("h1"), F.xxhash64(F.lit("2"), "role", "text").alias("h2"))
     heavy = hashed.distinct().groupBy("conv", "part").agg(F.count("*").alias("n")).where(F.col("n") > slice_rows)
     heavy = stored(heavy, "heavy-parts")
     if heavy.isEmpty():
-        return turns.withColumn("slice", F.lit(0).cast("bigint"))
+        return None
     marked = lookup_join(turns, heavy.select("conv", "part", F.lit(True).alias("many")), ["conv", "part"], "left", ["turn", "role", "text"])
     many = marked.where("many").select(F.struct("conv", "part").alias("key"), "turn", "role", "text").distinct()
     ranked = placed(many, "key", ["turn", "role", "text"])
@@ -109,8 +109,9 @@ def format_chats(
     """
     turns = turn_rows(logs, conv, turn, role, text)
     numbered = turns.withColumn("part", F.greatest(floor_div(F.col("turn"), part_turns), F.lit(0)))
-    numbered = sliced(numbered, slice_rows)
-    key = ["conv", "part", "slice"]
+    cut = sliced(numbered, slice_rows)
+    key = ["conv", "part"] if cut is None else ["conv", "part", "slice"]
+    numbered = numbered if cut is None else cut
     parts = numbered.groupBy(*key).agg(F.sort_array(F.collect_set(F.struct("turn", "role", "text"))).alias("turns"))
     # a few numbers per part: those of one conversation may meet in one task
     wanted = numbered.select(*key).distinct().join(maximal(turns), "conv")
@@ -118,7 +119,7 @@ def format_chats(
     return parts.join(wanted, key).select(
         F.col("conv").alias(conv),
         "part",
-        "slice",
+        F.lit(0).cast("bigint").alias("slice") if cut is None else F.col("slice"),
         F.size("turns").cast("bigint").alias("n_turns"),
         "n_logs",
         F.array_join(F.transform("turns", one), "").alias("chat"),
