@@ -10,7 +10,7 @@ from millrace.llm.tables import stored
 
 CONTAINMENT = 0.8
 SHINGLE_WORDS = 5
-BANDS = 32  # a window has a similarity of 1/3 or more to a notice within it: 0.67 ** 32 = 2e-6
+BANDS = 32  # a window has a similarity of 0.22 or more to a notice that is in it to 0.8: (1 - 0.22) ** 32 = 3e-4 at most
 MAX_TEMPLATES = 1000
 
 # The wording of common license notices.
