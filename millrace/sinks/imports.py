@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator, Mapping
+from urllib.parse import quote
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -169,17 +171,24 @@ def missing_units(spark: SparkSession, landed: str, units: DataFrame) -> DataFra
     return units.join(there, plain_path(F.col("id")) == F.col("_path"), "left_anti")
 
 
+def located(path: str) -> tuple:
+    """The Arrow file system and name of a path as Spark lists it. That is no URI: it may hold a ``%``."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(quote(path, safe="/:=") if re.match(r"[A-Za-z][\w+.-]*:", path) else path)
+
+
 def delete_files(paths: DataFrame, path: str = "path") -> DataFrame:
     """Delete files from the tasks: ``(path, deleted)``. A file already gone counts as deleted."""
 
     def remove(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyarrow import fs
+        from pyarrow.fs import FileType
 
         for batch in batches:
             gone = []
-            for uri in batch["path"]:
-                files, name = fs.FileSystem.from_uri(uri)
-                if files.get_file_info(name).type != fs.FileType.NotFound:
+            for listed in batch["path"]:
+                files, name = located(listed)
+                if files.get_file_info(name).type != FileType.NotFound:
                     files.delete_file(name)
                 gone.append(True)
             yield pd.DataFrame({"path": batch["path"], "deleted": gone})
