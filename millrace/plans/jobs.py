@@ -27,7 +27,8 @@ from millrace.plans.registry import query, table
 from millrace.session import new_folder
 from millrace.sinks import imports, text, topics as topic_sink
 from millrace.sources import lines as line_source, topics as topic_source
-from millrace.streaming import jobs, rolls
+from millrace.streaming import compaction, jobs, rolls
+from millrace.streaming.subscriptions import Subscriptions
 from millrace.streaming.rolls import folder_name
 
 RECORDS = "topic string, partition int, offset bigint, value string, ts_ms bigint"
@@ -250,6 +251,32 @@ def hourly_stream(spark, sf_dir):
     return hours_and_letters(spark, out)
 
 
+TARGET_BYTES = 4_000
+
+
+@query(ON_PROCESSED + """, lines AS (
+  SELECT topic, strftime(make_timestamp(line_ms * 1000), '%Y%m%d%H') AS hr, line AS value FROM processed)
+SELECT topic, hr, value, CASE WHEN hr < (SELECT max(hr) FROM lines) THEN true END AS packed FROM lines
+""")
+def compact_hours(spark, sf_dir):
+    """The hourly stream in several micro-batches, then two runs of compaction: up to the middle hour, and all but
+    the last one. A closed hour is packed if it has no more files than its bytes need."""
+    chosen = settings(messages(spark, sf_dir))
+    landed, out, work = (new_folder(spark, n) for n in ("topics", "hourly", "stream"))
+    records = messages(spark, sf_dir).select("topic", "partition", "offset", "value", "ts_ms")
+    records.repartition(3, "offset").write.parquet(landed)
+    stream = topic_source.read_topic_files(spark, landed, RECORDS, per_trigger=1).drop("ts_ms")
+    jobs.hourly_stream(stream, chosen, out, work, now_ms=F.lit(NOW_MS).cast("bigint"), every=None, salts=1).awaitTermination()
+    hours = compaction.hour_files(spark, out).agg(F.min("hr").alias("lo"), F.max("hr").alias("hi")).first()
+    middle = compaction.hour_files(spark, out).agg(F.percentile_approx(F.col("hr").cast("bigint"), 0.5).alias("m")).first()["m"]
+    compaction.compact_hours(spark, out, 0, str(middle), target_bytes=TARGET_BYTES)
+    compaction.compact_hours(spark, out, 1, hours["hi"], target_bytes=TARGET_BYTES, newest=True)
+    sizes = compaction.hour_files(spark, out).groupBy("topic", "hr").agg(F.count("*").alias("n"), F.sum("size").alias("bytes"))
+    most = F.ceil(F.col("bytes") / TARGET_BYTES) + 1
+    good = sizes.select("topic", "hr", F.when(F.col("hr") < hours["hi"], F.col("n") <= most).alias("packed"))
+    return compaction.hour_lines(spark, out).join(good, ["topic", "hr"]).select("topic", "hr", "value", "packed")
+
+
 @query(HOURLY)
 def refresh_settings(spark, sf_dir):
     """As hourly_stream, with settings that are read from a table for every batch."""
@@ -262,6 +289,43 @@ def refresh_settings(spark, sf_dir):
     return hours_and_letters(spark, out)
 
 
+WANTED = (("click", "view"), ("view", "purchase"), ("click", "view"))  # topics by step
+
+
+@query(ON_MESSAGES + f""", parts AS (
+  SELECT topic, value, ("offset" - lo) * {len(WANTED)} // (hi - lo + 1) AS part
+  FROM messages, (SELECT min("offset") AS lo, max("offset") AS hi FROM messages))
+SELECT topic, CASE WHEN topic = 'click' AND part = 1 THEN 2 WHEN topic = 'purchase' AND part = 0 THEN 1 ELSE part END AS step, value
+FROM parts WHERE topic IN ('click', 'view') OR (topic = 'purchase' AND part <= 1)
+""")
+def subscriptions(spark, sf_dir):
+    """Three parts of the messages land, and the list of topics changes with each: one topic stays, one goes and comes
+    back, which then reads what it missed, one is there in the middle and reads what was there before."""
+    rows = messages(spark, sf_dir)
+    low, high = rows.agg(F.min("offset"), F.max("offset")).first()
+    part = F.floor((F.col("offset") - low) * len(WANTED) / (high - low + 1))
+    landed, out, state, listed = (new_folder(spark, n) for n in ("topics", "read", "stream", "wanted"))
+    step = 0
+
+    def start(topic: str, checkpoint: str):
+        stream = topic_source.read_topic_files(spark, landed, RECORDS, [topic]).select("topic", "value", F.lit(step).cast("bigint").alias("step"))
+        folder = f"{out}/{topic}"
+
+        def write(batch: DataFrame, number: int) -> None:
+            batch.write.mode("overwrite").parquet(f"{folder}/batch={number}")
+
+        return jobs.triggered(stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint), None).start()
+
+    wanted = Subscriptions(spark, lambda session: session.read.parquet(listed), start, state)
+    for step, names in enumerate(WANTED):
+        rows.where(part == step).select("topic", "partition", "offset", "value", "ts_ms").write.mode("append").parquet(landed)
+        on = rows.where(F.col("topic").isin(*names)).select("topic").distinct()
+        on.write.mode("overwrite").parquet(listed)
+        wanted.refresh()
+        wanted.await_all()
+    return spark.read.option("recursiveFileLookup", True).parquet(out).select("topic", "step", "value")
+
+
 @query(ON_PROCESSED + """
 SELECT topic, strftime(make_timestamp(line_ms * 1000), '%Y%m%d%H') AS hr, 'run' AS status, count(*) AS n,
   CAST(sum(strlen(line)) AS BIGINT) AS bytes

@@ -14,8 +14,8 @@ from check_oracles import compare, connect  # noqa: E402
 
 SF_DIR = "/root/testdata/sf0.001"
 WRITES = {
-    "custom_processor", "dedup_units_stream", "hourly_stream", "import_files", "import_files_custom", "ledger_table", "list_files", "poll_files", "read_config_tables", "read_lines",
-    "read_topics", "refresh_settings", "rolled_files", "rolls_to_done", "tail_files", "throughput_report", "upload_stream", "write_hourly", "write_lines", "write_topics",
+    "compact_hours", "custom_processor", "dedup_units_stream", "hourly_stream", "import_files", "import_files_custom", "ledger_table", "list_files", "poll_files", "read_config_tables", "read_lines",
+    "read_topics", "refresh_settings", "rolled_files", "rolls_to_done", "subscriptions", "tail_files", "throughput_report", "upload_stream", "write_hourly", "write_lines", "write_topics",
 }
 
 pytestmark = pytest.mark.skipif(not pathlib.Path(SF_DIR).exists(), reason="no test tables")
