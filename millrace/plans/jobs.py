@@ -390,7 +390,7 @@ def rolled_batches(spark: SparkSession, sf_dir: str) -> tuple[str, LedgerTable]:
     tracked = LedgerTable(spark, new_folder(spark, "ledger"))
     for number in range(ROLL_BATCHES):
         mine = rows.where(part == number).select("topic", "partition", "offset", "value", "ts_ms")
-        mine.write.mode("append").parquet(landed)
+        mine.repartition("offset").write.mode("append").parquet(landed)  # a part of the offsets is in few of the table's files
         stream = topic_source.read_topic_files(spark, landed, RECORDS).drop("ts_ms")
         lines = processing.process_messages(stream, chosen, F.lit(NOW_MS).cast("bigint"))
         clock = lambda batch: datetime.datetime(2024, 2, 1, batch, tzinfo=datetime.timezone.utc)

@@ -126,27 +126,30 @@ def import_files(
         there = listed.select(plain_path(F.col("path")).alias("_path")).distinct()
         here = units.join(there, plain_path(F.col("id")) == F.col("_path"), "left_semi")
         gone = units.join(here.select("id"), "id", "left_anti").select("ds", "id")
-        manifest = import_manifest(here, host, **models)
-        unplaced = manifest.where(~F.coalesce(readable(), F.lit(False)))
-        if unplaced.head(1):
-            letters = quarantine or f"{out.rstrip('/')}.quarantine"
-            unplaced.select("ds", "id", "name").write.mode("overwrite").parquet(f"{letters}/batch={batch}")
-        ready, last = manifest.where(readable()).select("ds", "id"), None
-        while True:
-            rest = ready if last is None else ready.where(F.col("id") > last)
-            chosen = rest.orderBy("id").limit(max_files).collect()
-            more = len(chosen) == max_files and bool(rest.where(F.col("id") > chosen[-1]["id"]).head(1))
-            part = f"{batch}-{earlier}" if more else batch
-            taken = spark.createDataFrame(chosen, "ds string, id string")
-            if chosen:
-                last = chosen[-1]["id"]
-                lines = read_lines(spark, sorted({r["id"] for r in chosen}))
-                lines = lines.select(F.col("_metadata.file_path").alias("id"), "value")
-                import_lines(lines, import_manifest(taken, host, **models), f"{out}/batch={part}")
-            ledger.mark_done(taken if landed or more else taken.unionByName(gone), at, f"done-{part}")
-            earlier += 1
-            if not more:
-                break
+        manifest = import_manifest(here, host, **models).persist()  # the listing is gone through once, not once per portion
+        try:
+            unplaced = manifest.where(~F.coalesce(readable(), F.lit(False)))
+            if unplaced.head(1):
+                letters = quarantine or f"{out.rstrip('/')}.quarantine"
+                unplaced.select("ds", "id", "name").write.mode("overwrite").parquet(f"{letters}/batch={batch}")
+            ready, last = manifest.where(readable()).select("ds", "id"), None
+            while True:
+                rest = ready if last is None else ready.where(F.col("id") > last)
+                chosen = rest.orderBy("id").limit(max_files).collect()
+                more = len(chosen) == max_files and bool(rest.where(F.col("id") > chosen[-1]["id"]).head(1))
+                part = f"{batch}-{earlier}" if more else batch
+                taken = spark.createDataFrame(chosen, "ds string, id string")
+                if chosen:
+                    last = chosen[-1]["id"]
+                    lines = read_lines(spark, sorted({r["id"] for r in chosen}))
+                    lines = lines.select(F.col("_metadata.file_path").alias("id"), "value")
+                    import_lines(lines, import_manifest(taken, host, **models), f"{out}/batch={part}")
+                ledger.mark_done(taken if landed or more else taken.unionByName(gone), at, f"done-{part}")
+                earlier += 1
+                if not more:
+                    break
+        finally:
+            manifest.unpersist()
     if delete:
         done = split_dsid(F.col("dsid"))["id"].alias("path")
         parts, number = [name], 0

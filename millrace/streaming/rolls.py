@@ -24,10 +24,13 @@ from millrace.sinks.text import hourly
 from millrace.sources.lines import glob_paths, list_files
 from millrace.streaming.jobs import POLL, _for_each_batch
 
-SEGMENT = "topic string, dt string, hr string, seg bigint, n bigint, bytes bigint, at timestamp"
+SEGMENT = "topic string, dt string, hr string, first bigint, seg bigint, n bigint, bytes bigint, at timestamp"
 KEYS = ("topic", "dt", "hr")
 # Segments of a batch are this much smaller than a roll, so that a file exceeds its size by less.
 SEGMENTS_PER_ROLL = 8
+# Consecutive segments of a key share a file of up to about this size, so small rolls do not cost a file each.
+FILE_BYTES = 16 << 20
+TASK_BYTES = 32 << 20  # written by one task, in as many files as that takes
 
 ROLL = "topic string, dt string, hr string, name string, n bigint, bytes bigint, reason string, segments string"
 OPEN = "name string, n bigint, bytes bigint, last_ms bigint, segments string"
@@ -39,8 +42,9 @@ def write_segments(
 ) -> StreamingQuery:
     """Write lines ``(topic, partition, offset, ts_ms, line)`` as segments and their manifest.
 
-    ``<work>/segments/batch=/topic=/dt=/hr=/seg=`` holds the lines in order of partition and offset,
-    ``<work>/manifest/batch=`` a row per segment with the moment it was written (``clock`` gives it for a batch
+    ``<work>/segments/batch=/topic=/dt=/hr=/first=`` holds the lines in order of partition and offset, each after the
+    number of its segment and a tab; ``first`` is the first segment of the file. ``<work>/manifest/batch=`` has
+    a row per segment with the moment it was written (``clock`` gives it for a batch
     id; default: now) and one row without topic, by which time passes for all. The manifest comes last: a repeated
     batch that has one is left as it is. Moments rise strictly from batch to batch, whatever the clock does.
     """
@@ -51,18 +55,22 @@ def write_segments(
         if glob_paths(spark, f"{manifest}/_SUCCESS"):
             return
         rows = hourly(batch, "partition", "offset")
-        placed = size_rolls(rows, KEYS, "offset", "value", max(1, roll_bytes // SEGMENTS_PER_ROLL))
-        placed = placed.withColumnRenamed("roll", "seg").persist()
+        segment = max(1, roll_bytes // SEGMENTS_PER_ROLL)
+        placed = size_rolls(rows, KEYS, "offset", "value", segment).withColumnRenamed("roll", "seg")
+        first = F.col("seg") - F.pmod("seg", F.lit(max(1, FILE_BYTES // segment)))
+        placed = placed.withColumn("first", first).persist()
         try:
-            # micro-batches run without adaptive execution; a segment is the bounded work of a task
-            dealt = placed.repartition(*KEYS, "seg").sortWithinPartitions(*KEYS, "seg", "partition", "offset")
-            writer = dealt.select(*KEYS, "seg", "value").write.mode("overwrite").partitionBy(*KEYS, "seg")
+            sizes = placed.groupBy(*KEYS, "first", "seg").agg(F.count("*").alias("n"), F.sum(line_bytes(F.col("value"))).alias("bytes"))
+            written = sizes.groupBy(*KEYS, "first").agg(F.sum("bytes").alias("bytes"))
+            dealt = placed.repartition(_tasks(written), *KEYS, "first").sortWithinPartitions(*KEYS, "first", "seg", "partition", "offset")
+            mark = F.concat(F.col("seg").cast("string"), F.lit("\t"))
+            marked = F.concat(mark, F.replace("value", F.lit("\n"), F.concat(F.lit("\n"), mark))).alias("value")
+            writer = dealt.select(*KEYS, "first", marked).write.mode("overwrite").partitionBy(*KEYS, "first")
             writer.option("compression", "gzip").text(f"{work}/segments/batch={batch_id}")
             moment = _moment(spark, work, batch_id, clock)
             at = F.lit(moment).cast("timestamp").alias("at")
-            sizes = placed.groupBy(*KEYS, "seg").agg(F.count("*").alias("n"), F.sum(line_bytes(F.col("value"))).alias("bytes"))
             tick = spark.range(1).selectExpr(
-                *[f"CAST(NULL AS STRING) AS {k}" for k in KEYS], "0L AS seg", "0L AS n", "0L AS bytes"
+                *[f"CAST(NULL AS STRING) AS {k}" for k in KEYS], "0L AS first", "0L AS seg", "0L AS n", "0L AS bytes"
             )
             sizes.unionByName(tick).select("*", at).coalesce(8).write.mode("overwrite").parquet(manifest)
         finally:
@@ -71,6 +79,13 @@ def write_segments(
     return _for_each_batch(lines, write, checkpoint, every)
 
 
+def _tasks(files: DataFrame) -> int:
+    """How many tasks write files of known ``bytes``. By bytes alone a few tasks would write very many small files."""
+    found = files.agg(F.count("*").alias("n"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes")).first()
+    cores = files.sparkSession.sparkContext.defaultParallelism
+    return max(1, min(found["n"], max(4 * cores, found["bytes"] // TASK_BYTES + 1)))
+
+
 def _moment(spark: SparkSession, work: str, batch_id: int, clock) -> datetime.datetime:
     now = clock(batch_id) if clock else datetime.datetime.now(datetime.timezone.utc)
     before = f"{work}/manifest/batch={batch_id - 1}"
@@ -141,7 +156,8 @@ def close_rolls(
     whichever is first. Time is that of the manifest; ``ticks``, a stream with a column ``at``, makes
     it pass where no topic has lines. The lines of a closed file are written in order to
     ``out/batch=/name=<name>/``, where ``name`` begins with the batch and number of its first segment and so does
-    not depend on when it was closed. Then the ledger has it in ``run``, and its segments are deleted.
+    not depend on when it was closed. Then the ledger has it in ``run``, and segment files are deleted whose last
+    segment was closed: those of a key are closed in their order.
     """
     schema = f"{SEGMENT}, batch bigint"
     segments = spark.readStream.schema(schema).parquet(f"{work}/manifest")
@@ -166,21 +182,26 @@ def close_rolls(
             if not numbers:
                 return
             folder = f"{out}/batch={batch_id}"
-            tree = "value string, batch string, topic string, dt string, hr string, seg string"
-            held = session.read.schema(tree).option("basePath", f"{work}/segments")
+            tree = "value string, batch string, topic string, dt string, hr string, first string"
+            held = session.read.schema(tree).option("basePath", f"{work}/segments").option("lineSep", "\n")
             lines = held.text([f"{work}/segments/batch={n}" for n in numbers])
-            lines = lines.withColumn("seq", F.monotonically_increasing_id())  # a compressed file is read in order
-            found = lookup_join(lines, parts, [*KEYS, "batch", "seg"], "inner", ["seq"])
+            seq = F.monotonically_increasing_id().alias("seq")  # a compressed file is read in order
+            own = F.substring_index("value", "\t", 1).alias("seg"), F.substr("value", F.instr("value", "\t") + 1).alias("value")
+            lines = lines.select(*KEYS, "batch", *own, seq)
+            found = lookup_join(lines, parts, [*KEYS, "batch", "seg"], "inner")  # no more lines of a key than a segment has
             order = [F.col("batch").cast("bigint"), F.col("seg").cast("bigint"), F.col("seq")]
-            dealt = found.repartition("name").sortWithinPartitions("name", *order).select("name", "value")
+            dealt = found.repartition(_tasks(closed), "name").sortWithinPartitions("name", *order).select("name", "value")
             dealt.write.mode("overwrite").partitionBy("name").option("compression", "gzip").text(folder)
             written = list_files(session, folder, "*.txt*", deep=True)
             units = written.select(F.lit(ds).alias("ds"), F.col("path").alias("id"))
             ledger.mark_run(units, F.current_timestamp() if at is None else at, name)
+            manifest = session.read.schema(schema).option("basePath", f"{work}/manifest")
+            ends = manifest.parquet(*[f"{work}/manifest/batch={n}" for n in numbers]).groupBy(*KEYS, "batch", "first").agg(F.max("seg").alias("seg"))
+            ends = ends.select(*KEYS, *[F.col(c).cast("string").alias(c) for c in ("batch", "first", "seg")])
+            over = ends.join(parts, [*KEYS, "batch", "seg"], "left_semi")
             used = list_files(session, [f"{work}/segments/batch={n}" for n in numbers], "*.txt*", deep=True)
-            key = [F.regexp_extract("path", f"/{c}=([^/]+)/", 1).alias(c) for c in (*KEYS, "batch", "seg")]
-            used = used.select("path", *key)
-            delete_files(used.join(parts, [*KEYS, "batch", "seg"], "left_semi")).count()
+            key = [F.regexp_extract("path", f"/{c}=([^/]+)/", 1).alias(c) for c in (*KEYS, "batch", "first")]
+            delete_files(used.select("path", *key).join(over, [*KEYS, "batch", "first"], "left_semi")).count()
         finally:
             closed.unpersist()
 

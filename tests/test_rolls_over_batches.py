@@ -83,6 +83,20 @@ def test_a_large_batch_makes_files_of_about_the_roll_size(spark, tmp_path):
     assert got == [f"{i:08d}" for i in range(len(got))]
 
 
+def test_small_segments_share_a_file_that_goes_with_the_last_of_them(spark, tmp_path):
+    r = Rolling(spark, str(tmp_path), roll_bytes=80)  # segments of 10 bytes
+    lines = [f"{i:08d}" for i in range(100)] + ["a\tb\nc\td", "", "12345678", "z"]
+    r.batch(hot=lines)
+    segments = lambda: len(list((tmp_path / "work/segments").rglob("*.txt.gz")))
+    assert spark.read.parquet(f"{tmp_path}/work/manifest/batch=0").count() > 80 and segments() == 1  # some of them are open
+    r.batch(hot=["x" * 100])
+    r.batch(cold=["y"])
+    r.batch(cold=["y"])
+    first = lambda kv: tuple(map(int, kv[0].split("_")[1].split("-")))
+    got = [line for name, found in sorted(r.closed().items(), key=first) if name.startswith("hot") for line in found]
+    assert got == [*lines[:100], "a\tb", "c\td", "", "12345678", "z", "x" * 100] and segments() == 2  # those of cold
+
+
 def test_a_repeated_batch_changes_nothing(spark, tmp_path):
     r = Rolling(spark, str(tmp_path), roll_bytes=10)
     r.batch(a=["x" * 20], b=["y" * 20])
