@@ -252,6 +252,7 @@ def hourly_stream(spark, sf_dir):
 
 
 TARGET_BYTES = 4_000
+FILE_ROWS = 250_000  # most rows of a landed file, which one task decodes and keeps
 
 
 @query(ON_PROCESSED + """, lines AS (
@@ -264,8 +265,9 @@ def compact_hours(spark, sf_dir):
     chosen = settings(messages(spark, sf_dir))
     landed, out, work = (new_folder(spark, n) for n in ("topics", "hourly", "stream"))
     records = messages(spark, sf_dir).select("topic", "partition", "offset", "value", "ts_ms")
-    records.repartition(3, "offset").write.parquet(landed)
-    stream = topic_source.read_topic_files(spark, landed, RECORDS, per_trigger=1).drop("ts_ms")
+    files_each = 1 + records.count() // (3 * FILE_ROWS)
+    records.repartition(3 * files_each, "offset").write.parquet(landed)
+    stream = topic_source.read_topic_files(spark, landed, RECORDS, per_trigger=files_each).drop("ts_ms")
     jobs.hourly_stream(stream, chosen, out, work, now_ms=F.lit(NOW_MS).cast("bigint"), every=None, salts=1).awaitTermination()
     hours = compaction.hour_files(spark, out).agg(F.min("hr").alias("lo"), F.max("hr").alias("hi")).first()
     middle = compaction.hour_files(spark, out).agg(F.percentile_approx(F.col("hr").cast("bigint"), 0.5).alias("m")).first()["m"]

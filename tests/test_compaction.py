@@ -201,3 +201,17 @@ def test_hours_are_packed_as_the_watermark_passes_them(spark, tree, tmp_path):
     packed = tree.files(newest=False)
     assert packed[("a", H0)] == packed[("a", H1)] == 1 and packed[("a", H2)] == many[("a", H2)]
     tree.check()
+
+
+def test_the_query_lands_files_of_bounded_rows(spark, tmp_path, monkeypatch):
+    from millrace.plans import jobs as plans
+
+    monkeypatch.setattr(plans, "FILE_ROWS", 50)
+    monkeypatch.setattr(plans, "new_folder", lambda session, name: str(tmp_path / name))
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet").limit(400)
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    got = plans.compact_hours(spark, str(tmp_path))
+    rows = spark.read.parquet(str(tmp_path / "topics")).groupBy(F.input_file_name()).count().collect()
+    assert sum(r["count"] for r in rows) == 400 and len(rows) == 9 and max(r["count"] for r in rows) < 100
+    hours = plans.processed(spark, str(tmp_path)).count()
+    assert got.count() == hours and not got.where("not packed").count()
