@@ -418,8 +418,14 @@ def rolls_to_done(spark, sf_dir):
     return sizes.join(done, "name").select("name", "status", "n", "bytes")
 
 
+FILE_DOCS = 10_000
+
+
 def grow(docs: DataFrame, folder: str, whole: bool, files: int = 16) -> None:
-    """Write documents into text files, or the even half of them and the beginning of one more."""
+    """Write documents into text files, or the even half of them and the beginning of one more.
+
+    There are at least ``files``, and more where a file would get more than about ``FILE_DOCS``, as a task sorts one.
+    """
 
     def write(batches):
         system, base = fs.FileSystem.from_uri(folder)
@@ -434,7 +440,7 @@ def grow(docs: DataFrame, folder: str, whole: bool, files: int = 16) -> None:
         yield pd.DataFrame({"done": [True]})
 
     rows = docs.select((F.col("doc_id") % 2 == 1).alias("odd"), "doc_id", "text")
-    dealt = rows.repartition(files, "doc_id").sortWithinPartitions("odd", "doc_id")
+    dealt = rows.repartition(max(files, docs.count() // FILE_DOCS), "doc_id").sortWithinPartitions("odd", "doc_id")
     dealt.mapInPandas(write, "done boolean").count()
 
 

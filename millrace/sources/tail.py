@@ -1,7 +1,7 @@
 """Growing text files as a stream: only what was appended is read.
 
 The offset of the stream is the size of every file, kept in the stream's checkpoint. A micro-batch reads the
-byte ranges between two offsets by seeking, cut into partitions of bounded size. A line belongs to
+byte ranges between two offsets by seeking, cut to a bounded size; small ranges share a partition. A line belongs to
 the range that holds its newline: a range begins by looking back for the beginning of its first line, and
 a last line without newline is left to the range that brings it. So a cut may fall anywhere.
 """
@@ -21,6 +21,7 @@ from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPart
 SCHEMA = "file string, range_start bigint, seq bigint, start bigint, end bigint, value string"
 FORMAT = "growing_lines"
 SPLIT_BYTES = 64 << 20
+TASK_BYTES = 8 << 20  # read by one task, in as many ranges as that takes
 CHUNK_BYTES = 4 << 20
 LOOK_BACK = 1 << 14
 BYTE_MARK = "﻿"
@@ -34,6 +35,23 @@ class ByteRange(InputPartition):
     last: bool  # nothing follows, so that a line without newline is whole
 
 
+@dataclass
+class ByteRanges(InputPartition):
+    ranges: list[ByteRange]
+
+
+def dealt(ranges: list[ByteRange], task_bytes: int = TASK_BYTES) -> list[InputPartition]:
+    """Ranges in their order as partitions of about ``task_bytes``: a task costs far more than a small range."""
+    parts, held = [], task_bytes
+    for r in ranges:
+        if held >= task_bytes:
+            parts.append([])
+            held = 0
+        parts[-1].append(r)
+        held += r.end - r.start
+    return [ByteRanges(p) if len(p) > 1 else p[0] for p in parts]
+
+
 def line_start(source: pa.NativeFile, at: int) -> int:
     """Where the line begins that the byte before ``at`` belongs to or follows."""
     stop = at
@@ -85,7 +103,7 @@ class TailReader(DataSourceStreamReader):
             if f.type == fs.FileType.File and f.base_name[0] not in "._" and fnmatch.fnmatch(f.base_name, self.pattern)
         }
 
-    def partitions(self, start: dict, end: dict) -> list[ByteRange]:
+    def partitions(self, start: dict, end: dict) -> list[InputPartition]:
         parts = []
         for file, size in end.items():
             at = start.get(file, 0)
@@ -94,9 +112,13 @@ class TailReader(DataSourceStreamReader):
                 stop = min(size, at + self.split)
                 parts.append(ByteRange(file, at, stop, self.closed and stop == size))
                 at = stop
-        return parts
+        return dealt(parts)
+
+    def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
+        for part in partition.ranges if isinstance(partition, ByteRanges) else [partition]:
+            yield from self.read_range(part)
 
-    def read(self, partition: ByteRange) -> Iterator[pa.RecordBatch]:
+    def read_range(self, partition: ByteRange) -> Iterator[pa.RecordBatch]:
         system, name = fs.FileSystem.from_uri(partition.file)
         seq = 0
         with system.open_input_file(name) as source:

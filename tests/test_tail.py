@@ -54,6 +54,18 @@ def test_every_line_once_wherever_polls_and_splits_cut(tmp_path, split):
     assert all(whole[row["start"] : row["end"]].decode() == row["value"] + "\n" for row in rows)
 
 
+def test_small_ranges_share_a_task(tmp_path):
+    r = reader(tmp_path, splitbytes=64)
+    for name in ("a", "b"):
+        (tmp_path / f"{name}.txt").write_bytes(b"0123456789\n" * 1000)
+    now = r.latestOffset()
+    (part,) = r.partitions({}, now)  # not one for each of 344 ranges
+    assert len(part.ranges) == 344 and max(p.end - p.start for p in part.ranges) == 64
+    rows = read(r, {}, now)
+    assert len(rows) == 2000 and len({(row["file"], row["range_start"]) for row in rows}) == 344
+    assert [len(getattr(p, "ranges", [p])) for p in tail.dealt(part.ranges[:5], 128)] == [2, 2, 1]
+
+
 def test_only_appended_bytes_are_read(tmp_path):
     path, r, seen = tmp_path / "a.txt", reader(tmp_path), []
     path.write_bytes(b"0123456789\n" * 1_000_000)
