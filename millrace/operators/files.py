@@ -21,6 +21,8 @@ RANGE_CELL = 1 << 20
 SPAN_CELLS = 4096
 # Bytes of a UTF-8 mark at the head of a file, which the text reader leaves out.
 BYTE_MARK = 3
+# Lines are placed in pieces of so many (a power of two) of the part of a file they were read from.
+PIECE_BITS = 16
 
 # --- listings and progress ---------------------------------------------------------------
 
@@ -79,16 +81,21 @@ def _measures() -> dict[str, Column]:
     return {"start": F.col("bytes"), "line_no": F.lit(1)}
 
 
+def _piece() -> Column:
+    """A bounded piece of the part a line was read from: a part has as many lines as the reader's split has."""
+    return F.struct("block", F.shiftright("seq", PIECE_BITS).alias("piece"))
+
+
 def line_totals(lines: DataFrame) -> DataFrame:
-    """Bytes and lines of every block of a file, and those before it.
+    """Bytes and lines of every piece of a file, and those before it.
 
     Where the file size is known, a file that is three bytes longer than its lines has a byte
     mark at its head, which moves all its lines.
     """
     if "file_size" not in lines.columns:
-        return block_totals(lines, ["file"], F.col("block"), _measures())
+        return block_totals(lines, ["file"], _piece(), _measures())
     size = F.max("file_size").alias("_size")
-    totals = block_totals(lines, ["file"], F.col("block"), _measures(), [size])
+    totals = block_totals(lines, ["file"], _piece(), _measures(), [size])
     counted = F.sum("start").over(Window.partitionBy("file"))
     mark = F.when(F.col("_size") - counted >= BYTE_MARK - 1, BYTE_MARK).otherwise(0)
     return totals.withColumn("start_before", F.col("start_before") + mark)
@@ -104,11 +111,11 @@ def _with_end(placed: DataFrame) -> DataFrame:
 def line_offsets(lines: DataFrame) -> DataFrame:
     """Add ``start``, ``end`` and ``line_no`` (from 0) to lines ``(file, block, seq, bytes, ...)``.
 
-    ``block`` is the start of the part of the file a line was read from; parts are summed first
-    and each line is placed inside its part, so no task sees more than one part.
+    ``block`` is the start of the part of the file a line was read from, in which ``seq`` rises. Pieces of parts are
+    summed first and each line is placed inside its piece, so no task has to hold a part.
     """
     totals = line_totals(lines)
-    return _with_end(running_totals(lines, ["file"], ["seq"], F.col("block"), _measures(), totals))
+    return _with_end(running_totals(lines, ["file"], ["seq"], _piece(), _measures(), totals))
 
 
 def read_new_lines(lines: DataFrame, positions: DataFrame, closed: bool = False) -> DataFrame:
@@ -126,7 +133,7 @@ def read_new_lines(lines: DataFrame, positions: DataFrame, closed: bool = False)
         .select("file", "_block", "sent_size", "start_before", "line_no_before")
     )
     # file and part are unique together, so this join has no heavy key
-    unread = lines.withColumn("_block", F.col("block")).join(open_parts, ["file", "_block"])
+    unread = lines.withColumn("_block", _piece()).join(open_parts, ["file", "_block"])
     placed = running_from(unread, ["file"], ["seq"], _measures())
     if "file_size" in lines.columns and not closed:
         placed = placed.where("start + bytes <= file_size")

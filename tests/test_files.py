@@ -209,3 +209,18 @@ def test_a_poll_that_was_stopped_is_repeated_whole(spark, tmp_path, monkeypatch,
     assert lines_of(again) == ["1", "2", "3"]
     assert lines_of(poll_files(spark, str(folder), str(work), table, "ns", 1)) == []
     assert f.tracked_ranges(table.state()).count() == 1
+
+
+def test_a_part_of_a_file_is_placed_in_bounded_pieces(spark):
+    """A part has as many lines as the reader's split holds; a task should not hold them all."""
+    n = 3 * (1 << 16) + 5
+    seq = F.col("id") + (1 << 33)  # as monotonically_increasing_id gives it in the second task
+    size = F.lit(2 * n).cast("bigint").alias("file_size")
+    lines = spark.range(n).select(
+        F.lit("f").alias("file"), size, F.lit(0).cast("bigint").alias("block"), seq.alias("seq"), F.lit(2).cast("bigint").alias("bytes"),
+        F.lit("x").alias("value"), "id",
+    )
+    assert f.line_totals(lines).count() == 4
+    assert f.line_offsets(lines).where("start = 2 * id and end = start + 2 and line_no = id").count() == n
+    sent = spark.createDataFrame([("f", 2 * (1 << 16) + 10)], "file string, sent_size bigint")
+    assert f.read_new_lines(lines, sent).where("start = 2 * id and line_no = id").count() == n - (1 << 16) - 5
